@@ -30,6 +30,7 @@ Supported results (all within the group, in the given order):
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,10 +73,15 @@ def _local_scan(group, lead, first, ffill, marker):
             starts = pdf[src][run_start.values].reset_index(drop=True)
             pdf[out] = starts.iloc[(run_id.values - 1)].reset_index(drop=True)
         if ffill:
+            # Carry the whole latest marker row (a NULL in it is a value, not
+            # a gap to fill), by forward-filling its position within the run.
             m = pdf[marker].fillna(False).astype(bool)
-            pdf[_SEEN] = m.groupby(run_id).cummax()
+            pos = pd.Series(np.where(m.values, np.arange(n), np.nan)).groupby(run_id.values).ffill()
+            seen = pos.notna().values
+            take = pos.fillna(0).astype(np.int64).values
+            pdf[_SEEN] = seen
             for out, src in ffill.items():
-                pdf[out] = pdf[src].where(m).groupby(run_id).ffill()
+                pdf[out] = pd.Series(pdf[src].values[take]).where(seen)
         else:
             pdf[_SEEN] = False
         pdf[_PID] = TaskContext.get().partitionId()
@@ -149,9 +155,11 @@ def group_scan(df: DataFrame, group: str, order, *, lead: dict | None = None,
     if ffill and not marker:
         raise ValueError("ffill needs a marker column")
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = _sort_exprs(group, order)
-    srt = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+    # Without an explicit count AQE may merge adjacent small range partitions;
+    # merged partitions stay contiguous, so partition order is still data order.
+    rp = df.repartitionByRange(num_partitions, *sort) if num_partitions else df.repartitionByRange(*sort)
+    srt = rp.sortWithinPartitions(*sort)
 
     fields = {f.name: f for f in df.schema.fields}
     out_fields = list(df.schema.fields)
