@@ -13,7 +13,9 @@ needs one shuffle, no self-join and one scan per source. The "two_pass" form
 reference for tests and benchmarks. The per-creator flag compares each pair
 with ``max(updated_at)`` per creator, computed by a partial aggregate and
 joined back, so a hot creator id (e.g. the blank id) is split by AQE's skew
-join instead of landing in one window partition.
+join instead of landing in one window partition. The pair table is written
+once to the checkpoint folder because both sides of that join read it
+(Catalyst would otherwise plan two scans of all six sources).
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from idloom.config import PipelineConfig
 from idloom.functions.keys import email_key
+from idloom.session import materialize
 
 # Fixed values: (cleaned model, source tag, id, email, created, updated)
 EMAIL_SOURCES = (
@@ -115,7 +118,9 @@ def flag_latest_per_creator(pairs: DataFrame, flag: str = "is_current",
 
 def email_dimension(clean: dict[str, DataFrame], config: PipelineConfig | None = None) -> DataFrame:
     config = config or PipelineConfig()
-    pairs = email_pairs(email_observations(clean), config)
+    # The pair table feeds the per-creator max and the join back; writing it
+    # once keeps the six sources to a single scan.
+    pairs = materialize(email_pairs(email_observations(clean), config))
     flagged = flag_latest_per_creator(pairs)
     return flagged.select(
         email_key("tiktok_id", "email", config.email_key_style).alias("creator_email_id"),

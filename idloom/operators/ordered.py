@@ -12,9 +12,10 @@ the same per-group results without that limit:
    per range partition) and computes the results within the partition, with
    flags marking the rows whose value depends on an earlier or later
    partition.
-3. The scanned rows are checkpointed to the shared checkpoint folder: the
-   range bounds come from sampling, so the two readers below must see one
-   materialisation, and the checkpoint also survives a lost executor.
+3. The scanned rows are written once to the shared checkpoint folder
+   (``session.materialize``): the range bounds come from sampling, so the
+   two readers below must see one evaluation, and the copy also survives a
+   lost executor.
 4. Only the first and last row of each partition (at most two rows per
    partition) are gathered into one small task that resolves the carries in
    partition order. The resulting table has one row per range partition, so
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from idloom.session import ensure_checkpoint_dir
+from idloom.session import materialize
 
 _PID, _FR, _LR, _FRUN, _SEEN = "_gs_pid", "_gs_first_row", "_gs_last_row", "_gs_first_run", "_gs_seen"
 _HAS, _CSEEN = "_gs_carry", "_gs_carry_seen"
@@ -171,8 +172,7 @@ def group_scan(df: DataFrame, group: str, order, *, lead: dict | None = None,
                    T.StructField(_FRUN, T.BooleanType())]
     scanned = srt.mapInPandas(_local_scan(group, lead, first, ffill, marker),
                               T.StructType(out_fields))
-    ensure_checkpoint_dir(spark)
-    scanned = scanned.checkpoint(eager=True)
+    scanned = materialize(scanned, "group-scan")
 
     carry_fields = [T.StructField(_PID, T.IntegerType()), T.StructField(_HAS, T.BooleanType()),
                     T.StructField(_CSEEN, T.BooleanType())]

@@ -100,13 +100,11 @@ def spine_from_parts(current: DataFrame, ids_only: DataFrame, handles_only: Data
 def creator_spine(obs: DataFrame, config: PipelineConfig | None = None,
                   num_partitions: int | None = None) -> DataFrame:
     config = config or PipelineConfig()
-    from idloom.session import ensure_checkpoint_dir
+    from idloom.session import materialize
 
-    summary = observation_summary(obs)
-    ensure_checkpoint_dir(obs.sparkSession)
-    # The summary feeds three consumers; checkpointing it (to the shared
-    # checkpoint folder) means the raw sources are scanned once.
-    summary = summary.checkpoint(eager=True)
+    # The summary feeds three consumers; writing it once to the shared
+    # checkpoint folder means the raw sources are scanned once.
+    summary = materialize(observation_summary(obs), "observation-summary")
     tl = timeline_from_pairs(pairs_from_summary(summary), strategy=config.timeline_strategy,
                              num_partitions=num_partitions)
     current = tl.filter(F.col("is_current_owner")).select(

@@ -15,6 +15,7 @@ from idloom.operators import email as email_ops
 from idloom.operators import idmap, quality, spine, staging, timeline
 from idloom.operators.observe import observation_map
 from idloom.plans.writers import write_table
+from idloom.session import materialize
 
 # Model folders and the published (table) models.
 CORE_MODELS = ("dim_creator_handle_log", "dim_creator_id_map", "dim_creator_email")
@@ -76,7 +77,11 @@ class Pipeline:
                 "dim_creator_email": self.email}
 
     def quality_summary(self, tables: dict[str, DataFrame] | None = None) -> DataFrame:
-        return quality.summary(tables or self.core_tables())
+        """Checks run on built tables: each core table is materialised once
+        (as publishing would) and every check reads that copy."""
+        if tables is None:
+            tables = {n: materialize(df) for n, df in self.core_tables().items()}
+        return quality.summary(tables)
 
     def publish(self, spark: SparkSession, root: str | None = None, fmt: str = "parquet") -> dict:
         """Write the three core tables (full rebuild) and return them read

@@ -51,3 +51,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def materialize(df, label: str = "stage"):
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder
+    and return a DataFrame reading it back.
+
+    Used where one reduced result feeds several consumers, or where later
+    readers must see exactly one evaluation (e.g. sampled range bounds). The
+    write is a single job (an eager RDD ``checkpoint()`` would compute its
+    last stage twice: once to count, once to save), the copy is columnar so
+    readers get column pruning and filter push-down, and it lives on shared
+    storage, so a lost executor does not force recomputation from the raw
+    sources. The folders are not deleted by the pipeline; the checkpoint
+    folder's retention policy owns them.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/idloom-{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The pipeline has no streaming operator: every model is a batch full rebuild
+(views recomputed on read, tables overwritten), with no incremental model,
+snapshot, watermark or stateful operator to carry over. Structured
+Streaming would only be needed for a feature the pipeline does not have, so
+this package stays empty on purpose.
+"""
