@@ -83,6 +83,37 @@ class Pipeline:
             tables = {n: materialize(df) for n, df in self.core_tables().items()}
         return quality.summary(tables)
 
+    def models(self) -> dict[str, DataFrame]:
+        """Every model under its original name (lazy; nothing runs yet)."""
+        out = {f"stg_{n.lower()}": df for n, df in self.clean.items()}
+        out.update({"stg_tiktok_id_handle_map": self.observations,
+                    "stg_tiktok_id_handle_map_time": self.timeline,
+                    "stg_creator": self.spine})
+        out.update(self.core_tables())
+        return out
+
+    def register_views(self, names=None) -> list[str]:
+        """Expose models as temp views for SQL users (``spark.sql("select ..
+        from dim_creator_email")``). Models whose inputs are missing are
+        skipped. Note: the timeline, spine and email models write their
+        shared intermediate once when first built."""
+        done = []
+        for name in names or ("stg_" + n.lower() for n in self.raw):
+            df = self._model(name)
+            df.createOrReplaceTempView(name)
+            done.append(name)
+        return done
+
+    def _model(self, name: str) -> DataFrame:
+        if name.startswith("stg_") and name[4:].upper() in self.raw:
+            return self.clean[name[4:].upper()]
+        return {"stg_tiktok_id_handle_map": lambda: self.observations,
+                "stg_tiktok_id_handle_map_time": lambda: self.timeline,
+                "stg_creator": lambda: self.spine,
+                "dim_creator_handle_log": lambda: self.handle_log,
+                "dim_creator_id_map": lambda: self.id_map,
+                "dim_creator_email": lambda: self.email}[name]()
+
     def publish(self, spark: SparkSession, root: str | None = None, fmt: str = "parquet") -> dict:
         """Write the three core tables (full rebuild) and return them read
         back from storage, so checks run on what was published."""

@@ -60,6 +60,9 @@ def write_table(spark: SparkSession, df: DataFrame, name: str, schema: str | Non
     full = f"{schema}.{name}" if schema else name
     if schema:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
-    (out.write.mode("overwrite").format(fmt)
-        .option("comment", TABLE_COMMENTS.get(name, "")).saveAsTable(full))
+    out.write.mode("overwrite").format(fmt).saveAsTable(full)
+    comment = TABLE_COMMENTS.get(name)
+    if comment:
+        quoted = comment.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"COMMENT ON TABLE {full} IS '{quoted}'")
     return spark.table(full)

@@ -65,3 +65,34 @@ def test_write_table_with_comments(spark, tmp_path):
     back = write_table(spark, df, "dim_creator_handle_log", schema="CORE", root=str(tmp_path))
     assert back.count() == 1
     assert (tmp_path / "CORE" / "dim_creator_handle_log").exists()
+
+
+def test_registry_reads_sources(spark, tmp_path):
+    from idloom.sources.registry import SourceRegistry
+    raw = raw_sources(spark, SF_SMALL, ["ECHO"])["ECHO"]
+    raw.write.parquet(str(tmp_path / "echo"))
+    reg = SourceRegistry().register("echo", "parquet", str(tmp_path / "echo"))
+    assert reg.read(spark)["ECHO"].count() == raw.count()
+    with pytest.raises(KeyError):
+        reg.register("NOPE", "parquet", "x")
+
+
+def test_register_views_sql(spark):
+    p = _pipe(spark, SF_SMALL)
+    names = p.register_views(["stg_echo", "dim_creator_id_map", "stg_tiktok_id_handle_map"])
+    assert names == ["stg_echo", "dim_creator_id_map", "stg_tiktok_id_handle_map"]
+    n = spark.sql("select count(*) from dim_creator_id_map").collect()[0][0]
+    assert n == p.id_map.count()
+    assert spark.sql("select count(*) from stg_echo").collect()[0][0] == p.raw["ECHO"].count()
+
+
+def test_publish_and_check(spark, tmp_path):
+    p = _pipe(spark, SF_SMALL)
+    tables = p.publish(spark, root=str(tmp_path))
+    assert set(tables) == {"dim_creator_handle_log", "dim_creator_id_map", "dim_creator_email"}
+    s = {r.check_name: r.failures for r in p.quality_summary(tables).collect()}
+    assert len(s) == 17
+    assert s["not_null_dim_creator_email_creator_email_id"] == 0
+    assert (tmp_path / "analytics" / "dim_creator_email").exists()
+    meta = tables["dim_creator_email"].schema["email"].metadata
+    assert "comment" in meta  # Parquet keeps Spark field metadata
