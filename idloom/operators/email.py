@@ -7,8 +7,9 @@ dates ranked first (the source warehouse treats NULL as the largest value),
 then data_source ascending so ties are deterministic.
 
 Plan ("one_pass", default): the min/max dates and the latest source come
-from ONE aggregate (``min_by`` over an ordering struct), so the pair table
-needs one shuffle, no self-join and one scan per source. The "two_pass" form
+from ONE hash aggregate (``min`` over a packed ordering key, see
+``latest_order_key``), so the pair table needs one shuffle, no self-join and
+one scan per source. The "two_pass" form
 (aggregate, top-1 per pair, join) mirrors the original text and is kept as a
 reference for tests and benchmarks. The per-creator flag compares each pair
 with ``max(updated_at)`` per creator, computed by a partial aggregate and
@@ -40,7 +41,61 @@ EMAIL_SOURCES = (
     ("ECHO", "ECHO", "tiktok_id", "email", "created_time", "last_updated_time"),
 )
 
-_EPOCH_SQL = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+# Packed ordering key. The latest row of a pair is the minimum of
+#   (updated rank, created rank, source index)
+# where a rank is 0 for NULL (NULLs first; 2^59 for NULLs last), else
+# 2^59 - (micros + 2^58): every timestamp Spark can hold (years 1-9999) lies
+# within +-2^58 microseconds of 1970, so ranks fit in 60 bits and the whole key
+# (60 + 60 + source bits <= 126) fits exactly in DECIMAL(38,0). A plain
+# ``min`` over that decimal runs as a hash aggregate with partial
+# aggregation; ``min_by`` over a struct would force a sort-based aggregate
+# (about 1.6x slower on the same rows).
+_SHIFT = 2 ** 58
+_SPAN = 2 ** 59
+_WIDTH = 2 ** 60
+SOURCE_TAGS = tuple(sorted(tag for _, tag, *_ in EMAIL_SOURCES))
+
+
+def ntz_micros(col) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, independent of the
+    session time zone (casting NTZ to TIMESTAMP would apply it, and in a zone
+    with daylight saving two wall-clock times could collide)."""
+    c = F.col(col) if isinstance(col, str) else col
+    days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    secs = F.hour(c).cast("long") * 3600 + F.minute(c).cast("long") * 60
+    frac = (F.date_part(F.lit("SECOND"), c) * 1000000).cast("long")
+    return days * 86400000000 + secs * 1000000 + frac
+
+
+def _desc_rank(ts: str, null_rank: str) -> Column:
+    desc = F.lit(_SPAN) - (ntz_micros(ts) + F.lit(_SHIFT))
+    null_value = 0 if null_rank == "first" else _SPAN
+    return F.when(F.col(ts).isNull(), F.lit(null_value)).otherwise(desc).cast("decimal(38,0)")
+
+
+def _source_bits(tags) -> int:
+    return max(1, (len(tags) - 1).bit_length())
+
+
+def latest_order_key(null_rank: str = "first", tags=SOURCE_TAGS) -> Column:
+    """DECIMAL(38,0) whose minimum over a pair's rows is the latest row:
+    updated_at DESC, created_at DESC (NULL rank as given), data_source ASC."""
+    bits = _source_bits(tags)
+    if 120 + bits > 126:
+        raise ValueError("too many source tags for the packed key")
+    idx = F.array_position(F.array(*[F.lit(t) for t in tags]), F.col("data_source")) - 1
+    idx = F.when(idx >= 0, idx).otherwise(
+        F.raise_error(F.concat(F.lit("unknown data_source: "), F.col("data_source"))).cast("long"))
+    d = lambda v: F.lit(v).cast("decimal(38,0)")
+    return ((_desc_rank("updated_at", null_rank) * d(_WIDTH) + _desc_rank("created_at", null_rank))
+            * d(2 ** bits) + idx.cast("decimal(38,0)"))
+
+
+def source_of_key(key: Column, tags=SOURCE_TAGS) -> Column:
+    """The data_source packed in the low bits of ``latest_order_key``."""
+    bits = _source_bits(tags)
+    return F.element_at(F.array(*[F.lit(t) for t in tags]),
+                        (F.pmod(key, F.lit(2 ** bits).cast("decimal(38,0)")).cast("int") + 1))
 
 
 def email_observations(clean: dict[str, DataFrame]) -> DataFrame:
@@ -54,22 +109,6 @@ def email_observations(clean: dict[str, DataFrame]) -> DataFrame:
     return u.filter(F.col("tiktok_id").isNotNull() & F.col("email").isNotNull())
 
 
-def _desc_key(ts: str, null_rank: str) -> list[Column]:
-    """Ascending sort key equal to ``ts DESC NULLS FIRST|LAST``."""
-    isnull = F.col(ts).isNull()
-    rank = F.when(isnull, 0 if null_rank == "first" else 1).otherwise(1 if null_rank == "first" else 0)
-    micros = F.coalesce(-F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_SQL), F.col(ts)), F.lit(0))
-    return [rank, micros]
-
-
-def latest_order_key(null_rank: str = "first") -> Column:
-    """Struct whose minimum is the latest row: updated desc, created desc,
-    data_source asc. All fields are non-NULL, so struct ordering is exact."""
-    u, c = _desc_key("updated_at", null_rank), _desc_key("created_at", null_rank)
-    return F.struct(u[0].alias("u_null"), u[1].alias("u_desc"), c[0].alias("c_null"),
-                    c[1].alias("c_desc"), F.col("data_source").alias("src"))
-
-
 def email_pair_span(obs: DataFrame) -> DataFrame:
     return obs.groupBy("tiktok_id", "email").agg(F.min("created_at").alias("created_at"),
                                                  F.max("updated_at").alias("updated_at"))
@@ -97,9 +136,11 @@ def email_pairs(obs: DataFrame, config: PipelineConfig | None = None) -> DataFra
         return span.join(latest, ["tiktok_id", "email"], "inner").select(
             "tiktok_id", "email", "data_source", "created_at", "updated_at")
     return (obs.groupBy("tiktok_id", "email")
-               .agg(F.min_by("data_source", latest_order_key(config.null_rank)).alias("data_source"),
+               .agg(F.min(latest_order_key(config.null_rank)).alias("_latest"),
                     F.min("created_at").alias("created_at"),
-                    F.max("updated_at").alias("updated_at")))
+                    F.max("updated_at").alias("updated_at"))
+               .select("tiktok_id", "email", source_of_key(F.col("_latest")).alias("data_source"),
+                       "created_at", "updated_at"))
 
 
 def flag_latest_per_creator(pairs: DataFrame, flag: str = "is_current",

@@ -44,7 +44,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     the system temp dir set; on a cluster the setting must point at shared
     storage so a lost executor's checkpointed data survives it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. a Spark Connect session: no SparkContext handle
+        sc = None
+    if sc is None:
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            d = tempfile.mkdtemp(prefix="idloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        return d
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="idloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -102,3 +102,37 @@ def test_flag_window_equals_join(spark):
     b = sorted(tuple(r) for r in flag_latest_per_creator(df, strategy="window")
                .select("tiktok_id", "email", "updated_at", "is_current").collect())
     assert [x[3] for x in a] == [x[3] for x in b]
+
+
+def test_ntz_micros_exact(spark):
+    import datetime as dt
+    from idloom.operators.email import ntz_micros
+    vals = [dt.datetime(1970, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59, 999999),
+            dt.datetime(2024, 3, 10, 2, 30, 0, 123456), dt.datetime(1, 1, 1), dt.datetime(9999, 12, 31, 23, 59, 59)]
+    df = spark.createDataFrame([(v,) for v in vals], "t timestamp_ntz")
+    got = [r[0] for r in df.select(ntz_micros("t")).collect()]
+    want = [(v - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1) for v in vals]
+    assert got == want
+
+
+def test_latest_source_independent_of_session_zone(spark):
+    # 02:30 on 2024-03-10 does not exist in New York; it must still rank
+    # below 03:15, as wall-clock NTZ values.
+    rows = [("BRAVO_V1", "A", "e", None, "2024-03-10 02:30:00"),
+            ("BRAVO_V2", "A", "e", None, "2024-03-10 03:15:00")]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        d = dim(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert d[("A", "e")].data_source == "BRAVO_V2"
+
+
+def test_unknown_source_rejected(spark):
+    from pyspark.errors import PySparkException
+    from idloom.operators.email import email_pairs
+    df = spark.createDataFrame([("A", "e", "ELSEWHERE", None, None)],
+                               "tiktok_id string, email string, data_source string, created_at timestamp_ntz, updated_at timestamp_ntz")
+    with pytest.raises(PySparkException, match="unknown data_source"):
+        email_pairs(df).collect()
