@@ -6,6 +6,7 @@ DataFrames; the three published tables are written with a full rebuild.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,25 @@ def target_schema(env: str, custom_schema: str | None, base_schema: str) -> str:
     return base_schema
 
 
+class CleanModels(Mapping):
+    """Cleaned models, built on first access (lazy like the original views)."""
+
+    def __init__(self, raw, mode: str, missing: str):
+        self._raw, self._mode, self._missing = raw, mode, missing
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = staging.clean_source(self._raw[name], name, self._mode, self._missing)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._raw)
+
+    def __len__(self):
+        return len(self._raw)
+
+
 class Pipeline:
     """Lazy model graph over a ``{SOURCE: DataFrame}`` dict of raw tables."""
 
@@ -42,9 +62,8 @@ class Pipeline:
 
     # cleaning layer (views)
     @cached_property
-    def clean(self) -> dict[str, DataFrame]:
-        return {name: staging.clean_source(df, name, self.config.cast_mode, self.missing)
-                for name, df in self.raw.items()}
+    def clean(self) -> "CleanModels":
+        return CleanModels(self.raw, self.config.cast_mode, self.missing)
 
     # staging (views)
     @cached_property

@@ -80,4 +80,4 @@ def materialize(df, label: str = "stage"):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/idloom-{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,6 +11,8 @@ cope with.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from idloom.sources.registry import read_driver_tables
@@ -94,15 +96,40 @@ def adapter_ctes(names) -> str:
     return ",\n".join(f"raw_{n.lower()} as ({adapter_sql_for(n)}\n)" for n in names)
 
 
-def raw_sources(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
+class LazySources(Mapping):
+    """``{SOURCE: DataFrame}`` whose adapters are analysed on first access, so
+    a query that needs one source does not pay for analysing all ten."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, names=None):
+        self._spark, self._dir = spark, sf_dir
+        self._names = tuple(names or ADAPTER_SQL)
+        self._tables: dict[str, DataFrame] = {}
+        self._built: dict[str, DataFrame] = {}
+
+    def _table(self, t: str) -> DataFrame:
+        if t not in self._tables:
+            self._tables[t] = read_driver_tables(self._spark, self._dir, [t])[t]
+        return self._tables[t]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._built:
+            text = ADAPTER_SQL[name]
+            kwargs = {t: self._table(t) for t in _TABLES_USED if "{" + t + "}" in text}
+            self._built[name] = self._spark.sql(text, **kwargs)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self):
+        return len(self._names)
+
+
+def raw_sources(spark: SparkSession, sf_dir: str, names=None) -> Mapping:
     """``{SOURCE: DataFrame}`` shaped from the driver tables under ``sf_dir``."""
-    tables = read_driver_tables(spark, sf_dir, _TABLES_USED)
-    out = {}
-    for n in names or ADAPTER_SQL:
-        text = ADAPTER_SQL[n]
-        kwargs = {t: df for t, df in tables.items() if "{" + t + "}" in text}
-        out[n] = spark.sql(text, **kwargs)
-    return out
+    return LazySources(spark, sf_dir, names)
 
 
 # Columns each adapter produces (checked against Spark's schema in tests).
