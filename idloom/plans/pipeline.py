@@ -16,7 +16,6 @@ from idloom.operators import email as email_ops
 from idloom.operators import idmap, quality, spine, staging, timeline
 from idloom.operators.observe import observation_map
 from idloom.plans.writers import write_table
-from idloom.session import materialize
 
 # Model folders and the published (table) models.
 CORE_MODELS = ("dim_creator_handle_log", "dim_creator_id_map", "dim_creator_email")
@@ -96,11 +95,11 @@ class Pipeline:
                 "dim_creator_email": self.email}
 
     def quality_summary(self, tables: dict[str, DataFrame] | None = None) -> DataFrame:
-        """Checks run on built tables: each core table is materialised once
-        (as publishing would) and every check reads that copy."""
-        if tables is None:
-            tables = {n: materialize(df) for n, df in self.core_tables().items()}
-        return quality.summary(tables)
+        """Checks over the core tables: pass the published tables (``publish``
+        returns them read back from storage); by default the lazy tables are
+        used, whose expensive parts (timeline scan, email pairs) are already
+        written once, so each check only re-reads those copies."""
+        return quality.summary(tables if tables is not None else self.core_tables())
 
     def models(self) -> dict[str, DataFrame]:
         """Every model under its original name (lazy; nothing runs yet)."""
