@@ -136,3 +136,28 @@ def test_unknown_source_rejected(spark):
                                "tiktok_id string, email string, data_source string, created_at timestamp_ntz, updated_at timestamp_ntz")
     with pytest.raises(PySparkException, match="unknown data_source"):
         email_pairs(df).collect()
+
+
+def test_email_invariants_on_adapters(spark):
+    """One row per (tiktok_id, email); is_current rows carry the creator's
+    max updated_at; keys unique."""
+    from pyspark.sql import functions as F
+    from idloom.plans.catalog import _pipe
+    e = _pipe(spark, "/root/testdata/sf0.001").email
+    assert e.count() == e.select("tiktok_id", "email").distinct().count()
+    assert e.select("creator_email_id").distinct().count() == e.count()
+    mx = e.groupBy("tiktok_id").agg(F.max("updated_at").alias("mx"))
+    bad = e.join(mx, "tiktok_id").filter(F.col("is_current") & (F.col("updated_at") != F.col("mx")))
+    assert bad.count() == 0
+    missing = e.join(mx, "tiktok_id").filter(~F.col("is_current") & (F.col("updated_at") == F.col("mx")))
+    assert missing.count() == 0
+
+
+def test_keys_stable_under_repartition(spark):
+    from idloom.plans.catalog import _pipe
+    p = _pipe(spark, "/root/testdata/sf0.001")
+    a = sorted(tuple(r) for r in p.email.collect())
+    shuffled = {k: v.repartition(7) for k, v in p.clean.items()}
+    from idloom.operators.email import email_dimension
+    b = sorted(tuple(r) for r in email_dimension(shuffled).collect())
+    assert a == b

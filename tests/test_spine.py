@@ -37,3 +37,20 @@ def test_parts_disjoint(spark):
     # A has a handle somewhere, so it is not in the id-only part; h has an id.
     assert sorted(((x[1], x[2], x[3], x[4]) for x in r), key=str) == sorted(
         [("A", "h", False, False), ("Z", None, False, True), (None, "q", True, False)], key=str)
+
+
+def test_ordered_spine(spark):
+    from idloom.config import PipelineConfig
+    o = spark.createDataFrame([(i, h, "t", ts(c), None) for i, h, c in [
+        (None, "zz", "2024-01-01"), ("B", "b", "2024-01-01"), ("Z", None, "2024-01-01"),
+        ("A", "a", "2024-01-01")]], OBS)
+    got = [(r.tiktok_id, r.handle) for r in creator_spine(o, PipelineConfig(ordered=True)).collect()]
+    assert got == [("A", "a"), ("B", "b"), ("Z", None), (None, "zz")]
+
+
+def test_spine_strategies_agree_on_adapters(spark):
+    from idloom.config import PipelineConfig
+    from idloom.plans.catalog import _pipe
+    a = _pipe(spark, "/root/testdata/sf0.001").spine
+    b = _pipe(spark, "/root/testdata/sf0.001", PipelineConfig(timeline_strategy="window")).spine
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)

@@ -123,3 +123,41 @@ def test_blank_handles_and_ids_collapse(spark):
         "tiktok_id string, handle_name string, create_date timestamp_ntz, last_update timestamp_ntz")}
     r = observation_map(raw).collect()[0]
     assert r.tiktok_id is None and r.handle_name == "h"
+
+
+def test_hot_handle_is_split_across_tasks(spark):
+    """The range scan spreads one hot handle over several partitions (a
+    window would put all of it in one task) and still stitches it back."""
+    from pyspark.sql import functions as F
+    from idloom.operators import ordered
+    rows = [("hot", f"id{i:05d}", ts(f"2024-01-{1 + i % 27:02d}")) for i in range(4000)]
+    rows += [(f"h{i}", "x", ts("2024-01-01")) for i in range(50)]
+    pairs = spark.createDataFrame(rows, "handle_name string, tiktok_id string, handle_start timestamp_ntz")
+    captured = {}
+    real = ordered.materialize
+
+    def spy(df, label="stage"):
+        out = real(df, label)
+        captured["scanned"] = out
+        return out
+
+    ordered.materialize = spy
+    try:
+        tl = timeline_from_pairs(pairs, strategy="range", num_partitions=8)
+        got = rows_of(tl)
+    finally:
+        ordered.materialize = real
+    per_pid = (captured["scanned"].filter(F.col("handle_name") == "hot")
+               .groupBy(ordered._PID).count().collect())
+    assert len(per_pid) >= 4 and max(r["count"] for r in per_pid) < 4000 * 0.5
+    assert got == rows_of(timeline_from_pairs(pairs, strategy="window"))
+    hot = [r for r in got if r[1] == "hot"]
+    assert sum(1 for r in hot if r[4]) == 1 and {r[5] for r in hot} == {ts("2024-01-01")}
+
+
+def test_ordered_option_sorts_output(spark):
+    o = obs(spark, [("B", "h2", "2024-01-02", None), ("A", "h1", "2024-01-01", None),
+                    ("C", "h1", "2024-01-03", None)])
+    got = [(r.handle_name, r.tiktok_id) for r in
+           ownership_timeline(o, PipelineConfig(ordered=True)).collect()]
+    assert got == [("h1", "A"), ("h1", "C"), ("h2", "B")]
