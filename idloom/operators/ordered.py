@@ -104,8 +104,10 @@ def _resolve(group, lead, first, ffill):
         if not frames:
             return
         pdf = pd.concat(frames, ignore_index=True)
-        firsts = {int(r[_PID]): r for _, r in pdf[pdf[_FR]].iterrows()}
-        lasts = {int(r[_PID]): r for _, r in pdf[pdf[_LR]].iterrows()}
+        # Plain dicts: this loop is sequential over up to two rows per range
+        # partition, so it must stay cheap per row even for 10^5 partitions.
+        firsts = {int(r[_PID]): r for r in pdf[pdf[_FR]].to_dict("records")}
+        lasts = {int(r[_PID]): r for r in pdf[pdf[_LR]].to_dict("records")}
         pids = sorted(firsts)
         recs = []
         state = None  # (group value, {first out: value}, {ffill out: value}, seen)
