@@ -96,6 +96,12 @@ def _local_scan(group, lead, first, ffill, marker):
     return scan
 
 
+def _same(a, b) -> bool:
+    """Group equality where NULL equals NULL (NULL keys form one group)."""
+    a_null, b_null = a is None or a != a, b is None or b != b
+    return (a_null and b_null) or (not a_null and not b_null and a == b)
+
+
 def _resolve(group, lead, first, ffill):
     """Single-task resolution of carries over the partition boundary rows."""
 
@@ -113,7 +119,7 @@ def _resolve(group, lead, first, ffill):
         state = None  # (group value, {first out: value}, {ffill out: value}, seen)
         for i, p in enumerate(pids):
             fr, lr = firsts[p], lasts[p]
-            carry = state if state is not None and state[0] == fr[group] else None
+            carry = state if state is not None and _same(state[0], fr[group]) else None
             rec = {_PID: p, _HAS: carry is not None,
                    _CSEEN: bool(carry[3]) if carry is not None else False}
             for out in first:
@@ -122,7 +128,7 @@ def _resolve(group, lead, first, ffill):
                 rec["_gs_cff_" + out] = carry[2][out] if carry is not None and carry[3] else None
             nxt = firsts[pids[i + 1]] if i + 1 < len(pids) else None
             for out, src in lead.items():
-                rec["_gs_cn_" + out] = nxt[src] if nxt is not None and nxt[group] == lr[group] else None
+                rec["_gs_cn_" + out] = nxt[src] if nxt is not None and _same(nxt[group], lr[group]) else None
             recs.append(rec)
             if bool(lr[_FRUN]) and carry is not None:
                 fvals = carry[1]

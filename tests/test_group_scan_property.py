@@ -47,3 +47,12 @@ def test_group_scan_matches_reference(spark, rows, parts):
     have = {(r.g, r.k): (r.nt, r.ft, r.fv, r.ftm) for r in got.collect()}
     assert have == reference(data)
     assert got.count() == len(data)
+
+
+def test_null_group_spans_partitions(spark):
+    rows = [(None if i % 2 else 7, BASE + dt.timedelta(hours=i), i) for i in range(200)]
+    df = spark.createDataFrame(rows, "g long, t timestamp_ntz, k long")
+    got = group_scan(df, "g", ["t", "k"], first={"ft": "t"}, lead={"nt": "t"}, num_partitions=6)
+    firsts = {r.g: r.ft for r in got.collect()}
+    assert firsts == {7: BASE, None: BASE + dt.timedelta(hours=1)}
+    assert sum(1 for r in got.collect() if r.nt is None) == 2
