@@ -8,8 +8,8 @@ the same per-group results without that limit:
 1. ``repartitionByRange`` on (group, order keys) followed by a sort within
    partitions: the data is globally ordered and a hot group is split over
    several range partitions by its order keys.
-2. ``mapInPandas`` scans each partition once (vectorised pandas, one task
-   per range partition) and computes the results within the partition, with
+2. ``mapInArrow`` scans each partition once (vectorised Arrow compute and
+   numpy, one task per range partition) and computes the results within the partition, with
    flags marking the rows whose value depends on an earlier or later
    partition.
 3. The scanned rows are written once to the shared checkpoint folder
@@ -50,48 +50,78 @@ def _sort_exprs(group: str, order) -> list[Column]:
     return exprs
 
 
+_OUT_SLICE = 65536  # rows per output Arrow batch
+
+
 def _local_scan(group, lead, first, ffill, marker):
-    """Per-partition scan; returns the function handed to mapInPandas."""
+    """Per-partition scan over Arrow arrays; returns the mapInArrow function.
+
+    All work is vectorised (Arrow compute and numpy): runs of equal group
+    values are found by comparing each row with the previous one; ``lead`` is
+    a shifted copy masked at run ends; ``first`` gathers each run's first
+    value; ``ffill`` takes the latest marker position at or before each row
+    with a running maximum and keeps it only while it lies in the row's run.
+    """
 
     def scan(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        frames = [b for b in batches if len(b)]
-        if not frames:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
             return
-        pdf = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0].reset_index(drop=True)
-        n = len(pdf)
-        g = pdf[group].astype(object).where(pdf[group].notna(), "\x00<null>")
-        prev_same = g.eq(g.shift(1))
-        prev_same.iloc[0] = False
-        next_same = g.eq(g.shift(-1))
-        next_same.iloc[n - 1] = False
+        tbl = pa.Table.from_batches(batches).combine_chunks()
+        n = tbl.num_rows
+
+        def col(name):
+            c = tbl.column(name)
+            return c.chunk(0) if c.num_chunks == 1 else pa.concat_arrays(c.chunks)
+
+        g = col(group)
+        if n > 1:
+            cur, prev = g.slice(1), g.slice(0, n - 1)
+            same = pc.or_(pc.fill_null(pc.equal(cur, prev), False),
+                          pc.and_(pc.is_null(cur), pc.is_null(prev)))
+            same = same.to_numpy(zero_copy_only=False)
+        else:
+            same = np.zeros(0, dtype=bool)
+        prev_same = np.concatenate([[False], same])
+        next_same = pa.array(np.concatenate([same, [False]]))
         run_start = ~prev_same
-        run_id = run_start.cumsum()
+        run_id = np.cumsum(run_start)
+        row_run_start = np.flatnonzero(run_start)[run_id - 1]
+
+        names, arrays = list(tbl.column_names), [col(c) for c in tbl.column_names]
         for out, src in lead.items():
-            pdf[out] = pdf[src].shift(-1).where(next_same)
+            v = col(src)
+            shifted = pa.concat_arrays([v.slice(1), pa.nulls(1, v.type)])
+            names.append(out)
+            arrays.append(pc.if_else(next_same, shifted, pa.nulls(n, v.type)))
         for out, src in first.items():
-            starts = pdf[src][run_start.values].reset_index(drop=True)
-            pdf[out] = starts.iloc[(run_id.values - 1)].reset_index(drop=True)
+            names.append(out)
+            arrays.append(pc.take(col(src), pa.array(row_run_start)))
         if ffill:
-            # Carry the whole latest marker row (a NULL in it is a value, not
-            # a gap to fill), by forward-filling its position within the run.
-            m = pdf[marker].fillna(False).astype(bool)
-            pos = pd.Series(np.where(m.values, np.arange(n), np.nan)).groupby(run_id.values).ffill()
-            seen = pos.notna().values
-            take = pos.fillna(0).astype(np.int64).values
-            pdf[_SEEN] = seen
+            m = pc.fill_null(col(marker), False).to_numpy(zero_copy_only=False)
+            last = np.maximum.accumulate(np.where(m, np.arange(n), -1))
+            seen = last >= row_run_start
+            take = pa.array(np.where(seen, last, 0))
+            seen_arr = pa.array(seen)
             for out, src in ffill.items():
-                pdf[out] = pd.Series(pdf[src].values[take]).where(seen)
+                v = col(src)
+                names.append(out)
+                arrays.append(pc.if_else(seen_arr, pc.take(v, take), pa.nulls(n, v.type)))
         else:
-            pdf[_SEEN] = False
-        pdf[_PID] = TaskContext.get().partitionId()
-        pdf[_FR] = False
-        pdf.loc[0, _FR] = True
-        pdf[_LR] = False
-        pdf.loc[n - 1, _LR] = True
-        pdf[_FRUN] = (run_id == 1).values
-        yield pdf
+            seen_arr = pa.array(np.zeros(n, dtype=bool))
+        flags = np.zeros(n, dtype=bool)
+        first_row, last_row = flags.copy(), flags.copy()
+        first_row[0], last_row[n - 1] = True, True
+        names += [_SEEN, _PID, _FR, _LR, _FRUN]
+        arrays += [seen_arr, pa.array(np.full(n, TaskContext.get().partitionId(), dtype=np.int32)),
+                   pa.array(first_row), pa.array(last_row), pa.array(run_id == 1)]
+        out = pa.RecordBatch.from_arrays(arrays, names=names)
+        for off in range(0, n, _OUT_SLICE):
+            yield out.slice(off, _OUT_SLICE)
 
     return scan
 
@@ -178,8 +208,8 @@ def group_scan(df: DataFrame, group: str, order, *, lead: dict | None = None,
     out_fields += [T.StructField(_SEEN, T.BooleanType()), T.StructField(_PID, T.IntegerType()),
                    T.StructField(_FR, T.BooleanType()), T.StructField(_LR, T.BooleanType()),
                    T.StructField(_FRUN, T.BooleanType())]
-    scanned = srt.mapInPandas(_local_scan(group, lead, first, ffill, marker),
-                              T.StructType(out_fields))
+    scanned = srt.mapInArrow(_local_scan(group, lead, first, ffill, marker),
+                             T.StructType(out_fields))
     scanned = materialize(scanned, "group-scan")
 
     carry_fields = [T.StructField(_PID, T.IntegerType()), T.StructField(_HAS, T.BooleanType()),
