@@ -43,6 +43,9 @@ class CleanModels(Mapping):
             self._built[name] = staging.clean_source(self._raw[name], name, self._mode, self._missing)
         return self._built[name]
 
+    def __contains__(self, name) -> bool:
+        return name in self._raw
+
     def __iter__(self):
         return iter(self._raw)
 

@@ -3,7 +3,7 @@
 usage:
   python -m idloom.plans.run --sources sources.json [--out ROOT] [--env prod]
                              [--base-schema analytics] [--null-rank first|last]
-                             [--cast-mode strict|lenient]
+                             [--cast-mode strict|lenient] [--missing error|null|drop]
 
 ``sources.json`` maps raw source names to ``{"format": .., "path": ..,
 "options": {..}}``, e.g. ``{"CREATORINFO": {"format": "parquet", "path":
@@ -33,6 +33,8 @@ def main(argv=None) -> int:
     ap.add_argument("--base-schema", default="analytics")
     ap.add_argument("--null-rank", default="first", choices=["first", "last"])
     ap.add_argument("--cast-mode", default="strict", choices=["strict", "lenient"])
+    ap.add_argument("--missing", default="error", choices=["error", "null", "drop"],
+                    help="raw columns a cleaning spec lists but the source lacks")
     a = ap.parse_args(argv)
     with open(a.sources) as fh:
         spec = json.load(fh)
@@ -41,7 +43,7 @@ def main(argv=None) -> int:
     spark = SparkSession.builder.getOrCreate()
     cfg = PipelineConfig(env=a.env, base_schema=a.base_schema, null_rank=a.null_rank,
                          cast_mode=a.cast_mode)
-    pipe = Pipeline(reg.read(spark), cfg)
+    pipe = Pipeline(reg.read(spark), cfg, missing=a.missing)
     published = pipe.publish(spark, root=a.out)
     failed = 0
     for r in pipe.quality_summary(published).collect():

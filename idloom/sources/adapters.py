@@ -120,6 +120,9 @@ class LazySources(Mapping):
             self._built[name] = self._spark.sql(text, **kwargs)
         return self._built[name]
 
+    def __contains__(self, name) -> bool:  # membership must not build the adapter
+        return name in self._names
+
     def __iter__(self):
         return iter(self._names)
 
