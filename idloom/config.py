@@ -25,6 +25,9 @@ class PipelineConfig:
     email_strategy: str = "one_pass"
     # Email key: "md5" (portable 128-bit hex) or "int64" (abs(xxhash64)).
     email_key_style: str = "md5"
+    # Cleaning layer: ids are cast but not trimmed, so a blank id is a
+    # "creator" in the email table. True turns blank ids into NULL there.
+    blank_id_to_null: bool = False
     # External-id map: drop exact duplicate rows.
     dedupe_id_map: bool = False
     # Deployment environment for schema naming ("prod" upper-cases folders).

@@ -339,11 +339,13 @@ def _parse(source: str, text: str) -> StagingSpec:
 SPECS: dict[str, StagingSpec] = {s: _parse(s, t) for s, t in _SPEC_TEXT.items()}
 
 
-def column_expr(c: ColumnSpec, df: DataFrame, mode: str) -> Column:
+def column_expr(c: ColumnSpec, df: DataFrame, mode: str, blank_ids: bool = False) -> Column:
     if c.rule == "TL":
         x = clean_lower(c.name)
     elif c.rule == "T":
         x = clean_text(c.name)
+    elif blank_ids and c.name in _ID_COLUMNS and c.wtype == "varchar":
+        x = clean_text(c.name)
     else:
         x = F.col(c.name)
     src_type = df.schema[c.name].dataType if c.rule == "C" else None
@@ -353,7 +355,7 @@ def column_expr(c: ColumnSpec, df: DataFrame, mode: str) -> Column:
 
 
 def apply_spec(df: DataFrame, spec: StagingSpec, mode: str = "strict",
-               missing: str = "error") -> DataFrame:
+               missing: str = "error", blank_ids: bool = False) -> DataFrame:
     """Project ``df`` through ``spec``: one ``select``, row count unchanged.
 
     ``missing`` decides what happens to spec columns the raw table lacks:
@@ -364,7 +366,7 @@ def apply_spec(df: DataFrame, spec: StagingSpec, mode: str = "strict",
     exprs = []
     for c in spec.columns:
         if c.name.lower() in present:
-            exprs.append(column_expr(c, df, mode))
+            exprs.append(column_expr(c, df, mode, blank_ids))
         elif missing == "null":
             exprs.append(F.lit(None).cast(c.spark_type).alias(c.name))
         elif missing == "drop":
@@ -375,8 +377,8 @@ def apply_spec(df: DataFrame, spec: StagingSpec, mode: str = "strict",
 
 
 def clean_source(df: DataFrame, source: str, mode: str = "strict",
-                 missing: str = "error") -> DataFrame:
-    return apply_spec(df, SPECS[source.upper()], mode, missing)
+                 missing: str = "error", blank_ids: bool = False) -> DataFrame:
+    return apply_spec(df, SPECS[source.upper()], mode, missing, blank_ids)
 
 
 def sql_expr(c: ColumnSpec) -> str:

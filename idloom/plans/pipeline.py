@@ -34,13 +34,14 @@ def target_schema(env: str, custom_schema: str | None, base_schema: str) -> str:
 class CleanModels(Mapping):
     """Cleaned models, built on first access (lazy like the original views)."""
 
-    def __init__(self, raw, mode: str, missing: str):
-        self._raw, self._mode, self._missing = raw, mode, missing
+    def __init__(self, raw, mode: str, missing: str, blank_ids: bool = False):
+        self._raw, self._mode, self._missing, self._blank = raw, mode, missing, blank_ids
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = staging.clean_source(self._raw[name], name, self._mode, self._missing)
+            self._built[name] = staging.clean_source(self._raw[name], name, self._mode,
+                                                     self._missing, self._blank)
         return self._built[name]
 
     def __contains__(self, name) -> bool:
@@ -65,7 +66,8 @@ class Pipeline:
     # cleaning layer (views)
     @cached_property
     def clean(self) -> "CleanModels":
-        return CleanModels(self.raw, self.config.cast_mode, self.missing)
+        return CleanModels(self.raw, self.config.cast_mode, self.missing,
+                           self.config.blank_id_to_null)
 
     # staging (views)
     @cached_property

@@ -90,3 +90,15 @@ def test_ids_not_blank_collapsed(spark):
     df = spark.createDataFrame([(" ", "e@x")], "tiktok_id string, email string")
     r = clean_source(df, "BRAVO_V1", missing="drop").collect()[0]
     assert r["tiktok_id"] == " "
+
+
+def test_blank_id_to_null_option(spark):
+    from idloom.config import PipelineConfig
+    from idloom.operators.email import email_dimension
+    from idloom.plans.pipeline import Pipeline
+    raw = {"BRAVO_V1": spark.createDataFrame([(" ", "e@x", None, None), ("7", "f@x", None, None)],
+                                             "tiktok_id string, email string, created_at timestamp_ntz, updated_at timestamp_ntz")}
+    keep = Pipeline(raw, missing="drop")
+    assert {r.tiktok_id for r in keep.email.collect()} == {" ", "7"}
+    drop = Pipeline(raw, PipelineConfig(blank_id_to_null=True), missing="drop")
+    assert {r.tiktok_id for r in drop.email.collect()} == {"7"}
