@@ -40,9 +40,10 @@ def build_session(master: str = "local[*]", app: str = "idloom", shuffle_partiti
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a scratch folder under
-    the system temp dir set; on a cluster the setting must point at shared
-    storage so a lost executor's checkpointed data survives it.
+    Only in local mode (tests), when the session names none, is a scratch
+    folder under the system temp dir used. On a cluster the setting must
+    point at shared storage, and a missing setting is an error rather than a
+    silent fall-back to executor-local disks.
     """
     try:
         sc = spark.sparkContext
@@ -55,6 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                "(HDFS, object store) so written intermediates survive a lost executor")
         d = tempfile.mkdtemp(prefix="idloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
