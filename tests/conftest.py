@@ -13,7 +13,10 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", app="idloom-tests", shuffle_partitions=8)
+    import tempfile
+    wh = tempfile.mkdtemp(prefix="idloom-warehouse-")
+    s = build_session("local[*]", app="idloom-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 

@@ -115,3 +115,13 @@ def test_command_line_end_to_end(spark, tmp_path):
     assert code == 1
     for t in ("dim_creator_handle_log", "dim_creator_id_map", "dim_creator_email"):
         assert (tmp_path / "wh" / "CORE" / t).exists()
+
+
+def test_catalog_write_keeps_comments(spark):
+    df = spark.createDataFrame([("A", "e")], "tiktok_id string, email string")
+    t = write_table(spark, df, "dim_creator_email", schema="CORE")
+    assert t.count() == 1
+    desc = {r.col_name: r.comment for r in spark.sql("describe table CORE.dim_creator_email").collect()}
+    assert desc["email"].startswith("Creator email address")
+    ext = {r.col_name: r.data_type for r in spark.sql("describe table extended CORE.dim_creator_email").collect()}
+    assert ext["Comment"].startswith("A table of creator email addresses")
