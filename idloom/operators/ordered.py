@@ -187,8 +187,10 @@ def group_scan(df: DataFrame, group: str, order, *, lead: dict | None = None,
     ``order``: column names (ascending, NULLs last) or sort expressions.
     ``lead`` / ``first`` / ``ffill``: ``{output column: source column}``.
     ``marker``: boolean column selecting the rows ``ffill`` may pick.
-    ``num_partitions``: range partitions (default: shuffle partitions); size
-    it so one partition is a few hundred MB at most.
+    ``num_partitions``: range partitions (default: shuffle partitions, which
+    AQE may merge). The Python worker holds one range partition in Arrow
+    memory (about 2-3x its size with the outputs), so size partitions at a
+    few hundred MB at most.
     """
     lead, first, ffill = dict(lead or {}), dict(first or {}), dict(ffill or {})
     if ffill and not marker:

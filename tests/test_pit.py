@@ -52,3 +52,13 @@ def test_start_inclusive_end_exclusive(spark):
     got = {(r.ts, r.handle): r.tiktok_id for r in owner_at(facts, log).collect()}
     assert got == {(ts("2024-01-01"), "h"): "A", (ts("2024-02-01"), "h"): "B",
                    (ts("2023-12-31"), "h"): None, (ts("2024-01-01"), "x"): None}
+
+
+def test_facts_without_handle_or_time_pass_through(spark):
+    log = spark.createDataFrame([("A", "h", ts("2024-01-01"), None)],
+                                "tiktok_id string, handle string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    facts = spark.createDataFrame([(None, ts("2024-02-01"), 1), ("h", None, 2), ("h", ts("2024-02-01"), 3)],
+                                  "handle string, ts timestamp_ntz, n int")
+    got = {r.n: r.tiktok_id for r in owner_at(facts, log).collect()}
+    assert got == {1: None, 2: None, 3: "A"}
+    assert owner_at(facts, log).columns == ["handle", "ts", "n", "tiktok_id", "valid_from", "valid_to"]
