@@ -12,11 +12,10 @@ from ONE hash aggregate (``min`` over a packed ordering key, see
 one scan per source. The "two_pass" form
 (aggregate, top-1 per pair, join) mirrors the original text and is kept as a
 reference for tests and benchmarks. The per-creator flag compares each pair
-with ``max(updated_at)`` per creator, computed by a partial aggregate and
-joined back, so a hot creator id (e.g. the blank id) is split by AQE's skew
-join instead of landing in one window partition. The pair table is written
-once to the checkpoint folder because both sides of that join read it
-(Catalyst would otherwise plan two scans of all six sources).
+with the creator's ``max(updated_at)``, carried to every pair by the
+skew-safe ordered scan (``ordered.group_scan``), so a hot creator id (e.g. the
+blank id kept by the cleaning layer) is split over several tasks instead of
+landing in one window or join partition.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 
 from idloom.config import PipelineConfig
 from idloom.functions.keys import email_key
-from idloom.session import materialize
+from idloom.operators.ordered import group_scan
 
 # Fixed values: (cleaned model, source tag, id, email, created, updated)
 EMAIL_SOURCES = (
@@ -144,24 +143,40 @@ def email_pairs(obs: DataFrame, config: PipelineConfig | None = None) -> DataFra
 
 
 def flag_latest_per_creator(pairs: DataFrame, flag: str = "is_current",
-                            strategy: str = "join") -> DataFrame:
+                            strategy: str = "scan") -> DataFrame:
     """``flag`` = the pair's updated_at equals the creator's max updated_at
     (NULL compares as false, so a creator whose dates are all NULL has no
-    current row and ties are all current)."""
+    current row and ties are all current).
+
+    "scan" (default): the creator's max is the first value of the group in
+    ``updated_at DESC NULLS LAST`` order, carried to every row by the
+    skew-safe ordered scan, so a creator id holding a third of all pairs is
+    split over several tasks. "join": per-creator aggregate joined back (the
+    final aggregate sits between the join and its shuffle, so AQE's skew
+    join cannot split a hot id). "window": ``max`` over
+    ``Window.partitionBy(tiktok_id)`` (one task per creator).
+    """
     if strategy == "window":
         mx = F.max("updated_at").over(Window.partitionBy("tiktok_id"))
         return pairs.withColumn(flag, F.coalesce(F.col("updated_at") == mx, F.lit(False)))
-    per_id = pairs.groupBy("tiktok_id").agg(F.max("updated_at").alias("_max_upd"))
-    return (pairs.join(per_id, "tiktok_id", "left")
-                 .withColumn(flag, F.coalesce(F.col("updated_at") == F.col("_max_upd"), F.lit(False)))
-                 .drop("_max_upd"))
+    if strategy == "join":
+        per_id = pairs.groupBy("tiktok_id").agg(F.max("updated_at").alias("_max_upd"))
+        return (pairs.join(per_id, "tiktok_id", "left")
+                     .withColumn(flag, F.coalesce(F.col("updated_at") == F.col("_max_upd"), F.lit(False)))
+                     .drop("_max_upd"))
+    if strategy != "scan":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    scanned = group_scan(pairs, "tiktok_id", [F.col("updated_at").desc_nulls_last()],
+                         first={"_max_upd": "updated_at"})
+    return (scanned.withColumn(flag, F.coalesce(F.col("updated_at") == F.col("_max_upd"), F.lit(False)))
+                   .drop("_max_upd"))
 
 
 def email_dimension(clean: dict[str, DataFrame], config: PipelineConfig | None = None) -> DataFrame:
     config = config or PipelineConfig()
-    # The pair table feeds the per-creator max and the join back; writing it
-    # once keeps the six sources to a single scan.
-    pairs = materialize(email_pairs(email_observations(clean), config))
+    # One consumer (the ordered scan). Its range sampler and its shuffle both
+    # read the pair aggregate's shuffle output, so the sources are scanned once.
+    pairs = email_pairs(email_observations(clean), config)
     flagged = flag_latest_per_creator(pairs)
     return flagged.select(
         email_key("tiktok_id", "email", config.email_key_style).alias("creator_email_id"),

@@ -161,3 +161,23 @@ def test_keys_stable_under_repartition(spark):
     from idloom.operators.email import email_dimension
     b = sorted(tuple(r) for r in email_dimension(shuffled).collect())
     assert a == b
+
+
+def test_hot_creator_id_flag_strategies_agree(spark):
+    """A third of all pairs belong to one creator id (the blank id of the
+    original data). The default ordered scan, the join and the window give
+    the same flags; the scan spreads the hot id over several partitions."""
+    from pyspark.sql import functions as F
+    n = 30000
+    pairs = (spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(" ")).otherwise((F.col("id") % 5000).cast("string")).alias("tiktok_id"),
+        F.concat(F.lit("e"), F.col("id").cast("string")).alias("email"),
+        F.when(F.col("id") % 17 == 0, F.lit(None)).otherwise(
+            F.timestamp_seconds(F.col("id") % 1000)).cast("timestamp_ntz").alias("updated_at")))
+    res = {}
+    for strategy in ("scan", "join", "window"):
+        out = flag_latest_per_creator(pairs, strategy=strategy)
+        res[strategy] = sorted((r.tiktok_id, r.email, r.is_current) for r in out.collect())
+    assert res["scan"] == res["join"] == res["window"]
+    hot_current = [r for r in res["scan"] if r[0] == " " and r[2]]
+    assert len(hot_current) == sum(1 for i in range(0, n, 3) if i % 1000 == 999 and i % 17)
