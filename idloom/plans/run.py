@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession
 
 from idloom.config import PipelineConfig
 from idloom.plans.pipeline import Pipeline
+from idloom.session import cleanup_materialized
 from idloom.sources.registry import SourceRegistry, SourceEntry
 
 
@@ -49,6 +50,7 @@ def main(argv=None) -> int:
     for r in pipe.quality_summary(published).collect():
         print(json.dumps(r.asDict()))
         failed += r.failures > 0
+    cleanup_materialized(spark)  # intermediates; the published tables stay
     return 1 if failed else 0
 
 

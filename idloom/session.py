@@ -76,8 +76,8 @@ def materialize(df, label: str = "stage"):
     last stage twice: once to count, once to save), the copy is columnar so
     readers get column pruning and filter push-down, and it lives on shared
     storage, so a lost executor does not force recomputation from the raw
-    sources. The folders are not deleted by the pipeline; the checkpoint
-    folder's retention policy owns them.
+    sources. The copies stay until ``cleanup_materialized`` (or the
+    checkpoint folder's retention policy) removes them.
     """
     import uuid
 
@@ -85,4 +85,22 @@ def materialize(df, label: str = "stage"):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/idloom-{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def cleanup_materialized(spark) -> int:
+    """Delete the intermediate copies this process wrote (through the Hadoop
+    FileSystem API, so it works on HDFS and object stores). Call it once the
+    DataFrames built from them are no longer needed; returns the count."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        if p.getFileSystem(conf).delete(p, True):
+            n += 1
+    return n

@@ -125,3 +125,14 @@ def test_catalog_write_keeps_comments(spark):
     assert desc["email"].startswith("Creator email address")
     ext = {r.col_name: r.data_type for r in spark.sql("describe table extended CORE.dim_creator_email").collect()}
     assert ext["Comment"].startswith("A table of creator email addresses")
+
+
+def test_cleanup_materialized(spark):
+    import os
+    from idloom.session import _WRITTEN, cleanup_materialized, materialize
+    cleanup_materialized(spark)
+    df = materialize(spark.range(10), "probe")
+    path = _WRITTEN[-1]
+    assert df.count() == 10 and os.path.exists(path.replace("file:", ""))
+    assert cleanup_materialized(spark) == 1
+    assert not os.path.exists(path.replace("file:", ""))
