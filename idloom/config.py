@@ -17,9 +17,12 @@ class PipelineConfig:
     swap_market_dates: bool = True
     # Final ORDER BY of the timeline / spine views (a global range shuffle).
     ordered: bool = False
-    # Ownership timeline strategy: "range" (skew-safe ordered scan) or
-    # "window" (Window.partitionBy(handle)).
-    timeline_strategy: str = "range"
+    # Ordered scans (ownership timeline, point-in-time lookup, email current
+    # flag): "range" (skew-safe range-partitioned scan), "window"
+    # (Window.partitionBy(group)), or "auto": window when Catalyst estimates
+    # the input at 32 MB or less (then no group can outgrow one task), else
+    # range.
+    scan_strategy: str = "auto"
     # Email dimension: "one_pass" (single aggregate) or "two_pass"
     # (aggregate + top-1 + join, as written in the reference).
     email_strategy: str = "one_pass"
@@ -40,8 +43,8 @@ class PipelineConfig:
             raise ValueError(f"null_rank must be 'first' or 'last', got {self.null_rank!r}")
         if self.cast_mode not in ("strict", "lenient"):
             raise ValueError(f"cast_mode must be 'strict' or 'lenient', got {self.cast_mode!r}")
-        if self.timeline_strategy not in ("range", "window"):
-            raise ValueError(f"unknown timeline_strategy {self.timeline_strategy!r}")
+        if self.scan_strategy not in ("auto", "range", "window"):
+            raise ValueError(f"unknown scan_strategy {self.scan_strategy!r}")
         if self.email_strategy not in ("one_pass", "two_pass"):
             raise ValueError(f"unknown email_strategy {self.email_strategy!r}")
         if self.email_key_style not in ("md5", "int64"):

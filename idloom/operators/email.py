@@ -143,7 +143,7 @@ def email_pairs(obs: DataFrame, config: PipelineConfig | None = None) -> DataFra
 
 
 def flag_latest_per_creator(pairs: DataFrame, flag: str = "is_current",
-                            strategy: str = "scan") -> DataFrame:
+                            strategy: str = "scan", scan_strategy: str = "auto") -> DataFrame:
     """``flag`` = the pair's updated_at equals the creator's max updated_at
     (NULL compares as false, so a creator whose dates are all NULL has no
     current row and ties are all current).
@@ -167,7 +167,7 @@ def flag_latest_per_creator(pairs: DataFrame, flag: str = "is_current",
     if strategy != "scan":
         raise ValueError(f"unknown strategy {strategy!r}")
     scanned = group_scan(pairs, "tiktok_id", [F.col("updated_at").desc_nulls_last()],
-                         first={"_max_upd": "updated_at"})
+                         first={"_max_upd": "updated_at"}, strategy=scan_strategy)
     return (scanned.withColumn(flag, F.coalesce(F.col("updated_at") == F.col("_max_upd"), F.lit(False)))
                    .drop("_max_upd"))
 
@@ -177,7 +177,7 @@ def email_dimension(clean: dict[str, DataFrame], config: PipelineConfig | None =
     # One consumer (the ordered scan). Its range sampler and its shuffle both
     # read the pair aggregate's shuffle output, so the sources are scanned once.
     pairs = email_pairs(email_observations(clean), config)
-    flagged = flag_latest_per_creator(pairs)
+    flagged = flag_latest_per_creator(pairs, scan_strategy=config.scan_strategy)
     return flagged.select(
         email_key("tiktok_id", "email", config.email_key_style).alias("creator_email_id"),
         "tiktok_id", "email", "data_source", "created_at", "updated_at", "is_current")

@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,14 +179,60 @@ def _resolve(group, lead, first, ffill):
     return resolve
 
 
+# Inputs whose estimated size is at most this use the window form: no group
+# can be larger than the whole input, so one task per group is bounded.
+WINDOW_MAX_BYTES = 32 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (from file sizes; None if unknown)."""
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except Exception:  # no JVM handle (e.g. Spark Connect): treat as large
+        return None
+    return int(v) if isinstance(v, int) else int(v.toString())
+
+
+def choose_strategy(df: DataFrame, strategy: str = "auto",
+                    window_max_bytes: int = WINDOW_MAX_BYTES) -> str:
+    if strategy != "auto":
+        return strategy
+    est = estimated_bytes(df)
+    return "window" if est is not None and est <= window_max_bytes else "range"
+
+
+def _window_scan(df: DataFrame, group: str, order, lead: dict, first: dict, ffill: dict,
+                 marker: str | None) -> DataFrame:
+    """The same results with ``Window.partitionBy(group)`` (one task per group)."""
+    w = Window.partitionBy(group).orderBy(*_sort_exprs(group, order)[1:])
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols = [F.col(c) for c in df.columns]
+    cols += [F.lead(src).over(w).alias(out) for out, src in lead.items()]
+    cols += [F.first(src).over(whole).alias(out) for out, src in first.items()]
+    if ffill:
+        row = F.when(F.col(marker), F.struct(*[F.col(src).alias(out) for out, src in ffill.items()]))
+        cols.append(F.last(row, ignorenulls=True).over(upto).alias("_gs_ff"))
+    out = df.select(*cols)
+    if ffill:
+        out = out.select(*df.columns, *lead, *first,
+                         *[F.col("_gs_ff")[o].alias(o) for o in ffill])
+    return out
+
+
 def group_scan(df: DataFrame, group: str, order, *, lead: dict | None = None,
                first: dict | None = None, ffill: dict | None = None,
-               marker: str | None = None, num_partitions: int | None = None) -> DataFrame:
+               marker: str | None = None, num_partitions: int | None = None,
+               strategy: str = "auto", window_max_bytes: int = WINDOW_MAX_BYTES) -> DataFrame:
     """Add per-group ordered results to ``df`` (see module docstring).
 
     ``order``: column names (ascending, NULLs last) or sort expressions.
     ``lead`` / ``first`` / ``ffill``: ``{output column: source column}``.
     ``marker``: boolean column selecting the rows ``ffill`` may pick.
+    ``strategy``: "range" (the skew-safe scan), "window"
+    (``Window.partitionBy(group)``) or "auto" (default): "window" when
+    Catalyst estimates the whole input at ``window_max_bytes`` or less, since
+    then no group can outgrow one task, else "range".
     ``num_partitions``: range partitions (default: shuffle partitions, which
     AQE may merge). The Python worker holds one range partition in Arrow
     memory (about 2-3x its size with the outputs), so size partitions at a
@@ -195,6 +241,11 @@ def group_scan(df: DataFrame, group: str, order, *, lead: dict | None = None,
     lead, first, ffill = dict(lead or {}), dict(first or {}), dict(ffill or {})
     if ffill and not marker:
         raise ValueError("ffill needs a marker column")
+    strategy = choose_strategy(df, strategy, window_max_bytes)
+    if strategy == "window":
+        return _window_scan(df, group, order, lead, first, ffill, marker)
+    if strategy != "range":
+        raise ValueError(f"unknown strategy {strategy!r}")
     spark = df.sparkSession
     sort = _sort_exprs(group, order)
     # Without an explicit count AQE may merge adjacent small range partitions;

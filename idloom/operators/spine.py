@@ -105,7 +105,7 @@ def creator_spine(obs: DataFrame, config: PipelineConfig | None = None,
     # The summary feeds three consumers; writing it once to the shared
     # checkpoint folder means the raw sources are scanned once.
     summary = materialize(observation_summary(obs), "observation-summary")
-    tl = timeline_from_pairs(pairs_from_summary(summary), strategy=config.timeline_strategy,
+    tl = timeline_from_pairs(pairs_from_summary(summary), strategy=config.scan_strategy,
                              num_partitions=num_partitions)
     current = tl.filter(F.col("is_current_owner")).select(
         "handle_name", "tiktok_id", F.col("handle_start").alias("first_observed_at"))

@@ -32,16 +32,16 @@ def first_seen_pairs(obs: DataFrame, key: str = "handle_name", owner: str = "tik
 def timeline_from_pairs(pairs: DataFrame, key: str = "handle_name", owner: str = "tiktok_id",
                         start: str = "handle_start", end: str = "handle_end",
                         first_col: str = "created_at", flag: str = "is_current_owner",
-                        strategy: str = "range", num_partitions: int | None = None) -> DataFrame:
+                        strategy: str = "auto", num_partitions: int | None = None) -> DataFrame:
     if strategy == "window":
         w = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_last(), F.col(owner).asc_nulls_last())
         out = (pairs.withColumn(end, F.lead(start).over(w))
                     .withColumn(first_col, F.min(start).over(Window.partitionBy(key))))
-    elif strategy == "range":
+    elif strategy in ("range", "auto"):
         # min(start) over the key = start of the key's first row, because the
         # order puts NULL starts last.
         out = group_scan(pairs, key, [start, owner], lead={end: start}, first={first_col: start},
-                         num_partitions=num_partitions)
+                         num_partitions=num_partitions, strategy=strategy)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return out.select(key, owner, first_col, start, end, F.col(end).isNull().alias(flag))
@@ -52,7 +52,7 @@ def ownership_timeline(obs: DataFrame, config: PipelineConfig | None = None,
     """``(handle_name, tiktok_id, created_at, handle_start, handle_end,
     is_current_owner)`` from the observation map."""
     config = config or PipelineConfig()
-    tl = timeline_from_pairs(first_seen_pairs(obs), strategy=config.timeline_strategy,
+    tl = timeline_from_pairs(first_seen_pairs(obs), strategy=config.scan_strategy,
                              num_partitions=num_partitions)
     if config.ordered:
         tl = tl.orderBy(F.col("handle_name").asc_nulls_last(), F.col("handle_start").asc_nulls_last())

@@ -43,7 +43,7 @@ def variants(spark, sf):
         return _pipe(spark, sf).handle_log
 
     def handle_log_window():
-        return _pipe(spark, sf, PipelineConfig(timeline_strategy="window")).handle_log
+        return _pipe(spark, sf, PipelineConfig(scan_strategy="window")).handle_log
 
     def email_one():
         return _pipe(spark, sf).email

@@ -31,10 +31,11 @@ def dim(spark, rows, **cfg):
                                                               PipelineConfig(**cfg)).collect()}
 
 
-@pytest.mark.parametrize("strategy", ["one_pass", "two_pass"])
-def test_f11_null_update_wins(spark, strategy):
+@pytest.mark.parametrize("strategy,scan", [("one_pass", "range"), ("two_pass", "window")])
+def test_f11_null_update_wins(spark, strategy, scan):
     d = dim(spark, [("BRAVO_V1", "A", "e", "2024-01-01", None),
-                    ("BRAVO_V2", "A", "e", "2024-01-02", "2024-03-01")], email_strategy=strategy)
+                    ("BRAVO_V2", "A", "e", "2024-01-02", "2024-03-01")], email_strategy=strategy,
+            scan_strategy=scan)
     r = d[("A", "e")]
     assert r.data_source == "BRAVO_V1" and r.updated_at == ts("2024-03-01")
     assert r.created_at == ts("2024-01-01")
@@ -46,9 +47,11 @@ def test_null_rank_last_option(spark):
     assert d[("A", "e")].data_source == "BRAVO_V2"
 
 
-def test_f12_current_ties_and_none(spark):
+@pytest.mark.parametrize("scan", ["range", "window"])
+def test_f12_current_ties_and_none(spark, scan):
     d = dim(spark, [("HYDRATE", "A", "e1", None, "2024-01-05"), ("ECHO", "A", "e2", None, "2024-01-05"),
-                    ("HYDRATE", "A", "e3", None, "2024-01-01"), ("MARKET", "B", "f", "2024-01-01", None)])
+                    ("HYDRATE", "A", "e3", None, "2024-01-01"), ("MARKET", "B", "f", "2024-01-01", None)],
+            scan_strategy=scan)
     assert d[("A", "e1")].is_current and d[("A", "e2")].is_current
     assert not d[("A", "e3")].is_current
     assert d[("B", "f")].is_current is False
@@ -175,9 +178,10 @@ def test_hot_creator_id_flag_strategies_agree(spark):
         F.when(F.col("id") % 17 == 0, F.lit(None)).otherwise(
             F.timestamp_seconds(F.col("id") % 1000)).cast("timestamp_ntz").alias("updated_at")))
     res = {}
-    for strategy in ("scan", "join", "window"):
-        out = flag_latest_per_creator(pairs, strategy=strategy)
-        res[strategy] = sorted((r.tiktok_id, r.email, r.is_current) for r in out.collect())
-    assert res["scan"] == res["join"] == res["window"]
+    for strategy, scan in (("scan", "range"), ("scan", "window"), ("join", None), ("window", None)):
+        out = flag_latest_per_creator(pairs, strategy=strategy, scan_strategy=scan or "auto")
+        res[f"{strategy}-{scan}"] = sorted((r.tiktok_id, r.email, r.is_current) for r in out.collect())
+    assert res["scan-range"] == res["scan-window"] == res["join-None"] == res["window-None"]
+    res["scan"] = res["scan-range"]
     hot_current = [r for r in res["scan"] if r[0] == " " and r[2]]
     assert len(hot_current) == sum(1 for i in range(0, n, 3) if i % 1000 == 999 and i % 17)

@@ -38,12 +38,13 @@ row = st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b", "c"]),
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(row, min_size=1, max_size=120), st.integers(1, 9))
-def test_group_scan_matches_reference(spark, rows, parts):
+@given(st.lists(row, min_size=1, max_size=120), st.integers(1, 9), st.sampled_from(["range", "window"]))
+def test_group_scan_matches_reference(spark, rows, parts, strategy):
     data = [(g, t, i, v, m) for i, (g, t, m, v) in enumerate(rows)]
     df = spark.createDataFrame(data, SCHEMA)
     got = group_scan(df, "g", ["t", "k"], lead={"nt": "t"}, first={"ft": "t"},
-                     ffill={"fv": "v", "ftm": "t"}, marker="m", num_partitions=parts)
+                     ffill={"fv": "v", "ftm": "t"}, marker="m", num_partitions=parts,
+                     strategy=strategy)
     have = {(r.g, r.k): (r.nt, r.ft, r.fv, r.ftm) for r in got.collect()}
     assert have == reference(data)
     assert got.count() == len(data)
@@ -52,7 +53,20 @@ def test_group_scan_matches_reference(spark, rows, parts):
 def test_null_group_spans_partitions(spark):
     rows = [(None if i % 2 else 7, BASE + dt.timedelta(hours=i), i) for i in range(200)]
     df = spark.createDataFrame(rows, "g long, t timestamp_ntz, k long")
-    got = group_scan(df, "g", ["t", "k"], first={"ft": "t"}, lead={"nt": "t"}, num_partitions=6)
+    got = group_scan(df, "g", ["t", "k"], first={"ft": "t"}, lead={"nt": "t"}, num_partitions=6,
+                     strategy="range")
     firsts = {r.g: r.ft for r in got.collect()}
     assert firsts == {7: BASE, None: BASE + dt.timedelta(hours=1)}
     assert sum(1 for r in got.collect() if r.nt is None) == 2
+
+
+def test_auto_picks_window_for_small_and_range_for_large(spark):
+    from idloom.operators.ordered import choose_strategy
+    from pyspark.sql import functions as F
+    small = spark.range(100).select(F.lit("a").alias("g"), F.col("id").alias("k"))
+    assert choose_strategy(small) == "window"
+    # size unknown (rows from Python): treated as large
+    unknown = spark.createDataFrame([("a", BASE, 1)], "g string, t timestamp_ntz, k long")
+    assert choose_strategy(unknown) == "range"
+    assert choose_strategy(small, window_max_bytes=0) == "range"
+    assert choose_strategy(small, "range") == "range"

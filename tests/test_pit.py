@@ -21,8 +21,8 @@ def brute_force(facts, log):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("parts", [1, 4, 12])
-def test_owner_at_matches_range_join(spark, parts):
+@pytest.mark.parametrize("parts,strategy", [(1, "range"), (4, "range"), (12, "range"), (4, "window")])
+def test_owner_at_matches_range_join(spark, parts, strategy):
     rnd = random.Random(parts)
     pairs = []
     for i in range(300):
@@ -37,28 +37,30 @@ def test_owner_at_matches_range_join(spark, parts):
                                                    if rnd.random() < 0.5 else f"2024-01-{rnd.randrange(1, 30):02d}"),
               n) for n in range(500)]
     fdf = spark.createDataFrame(facts, "handle string, ts timestamp_ntz, n long")
-    got = owner_at(fdf, log, ts="ts", num_partitions=parts)
+    got = owner_at(fdf, log, ts="ts", num_partitions=parts, strategy=strategy)
     got = sorted((tuple(r) for r in got.select("handle", "ts", "n", "tiktok_id", "valid_from", "valid_to").collect()), key=str)
     want = brute_force(facts, [tuple(r) for r in log.select("tiktok_id", "handle", "valid_from", "valid_to").collect()])
     assert got == want
 
 
-def test_start_inclusive_end_exclusive(spark):
+@pytest.mark.parametrize("strategy", ["range", "window"])
+def test_start_inclusive_end_exclusive(spark, strategy):
     log = spark.createDataFrame([("A", "h", ts("2024-01-01"), ts("2024-02-01")),
                                  ("B", "h", ts("2024-02-01"), None)],
                                 "tiktok_id string, handle string, valid_from timestamp_ntz, valid_to timestamp_ntz")
     facts = spark.createDataFrame([("h", ts("2024-01-01")), ("h", ts("2024-02-01")), ("h", ts("2023-12-31")),
                                    ("x", ts("2024-01-01"))], "handle string, ts timestamp_ntz")
-    got = {(r.ts, r.handle): r.tiktok_id for r in owner_at(facts, log).collect()}
+    got = {(r.ts, r.handle): r.tiktok_id for r in owner_at(facts, log, strategy=strategy).collect()}
     assert got == {(ts("2024-01-01"), "h"): "A", (ts("2024-02-01"), "h"): "B",
                    (ts("2023-12-31"), "h"): None, (ts("2024-01-01"), "x"): None}
 
 
-def test_facts_without_handle_or_time_pass_through(spark):
+@pytest.mark.parametrize("strategy", ["range", "window"])
+def test_facts_without_handle_or_time_pass_through(spark, strategy):
     log = spark.createDataFrame([("A", "h", ts("2024-01-01"), None)],
                                 "tiktok_id string, handle string, valid_from timestamp_ntz, valid_to timestamp_ntz")
     facts = spark.createDataFrame([(None, ts("2024-02-01"), 1), ("h", None, 2), ("h", ts("2024-02-01"), 3)],
                                   "handle string, ts timestamp_ntz, n int")
-    got = {r.n: r.tiktok_id for r in owner_at(facts, log).collect()}
+    got = {r.n: r.tiktok_id for r in owner_at(facts, log, strategy=strategy).collect()}
     assert got == {1: None, 2: None, 3: "A"}
-    assert owner_at(facts, log).columns == ["handle", "ts", "n", "tiktok_id", "valid_from", "valid_to"]
+    assert owner_at(facts, log, strategy=strategy).columns == ["handle", "ts", "n", "tiktok_id", "valid_from", "valid_to"]

@@ -20,7 +20,7 @@ def rows_of(df):
                    r.created_at) for r in df.collect())
 
 
-STRATS = ["range", "window"]
+STRATS = ["range", "window", "auto"]
 
 
 def test_f3_observed_at(spark):
@@ -34,7 +34,7 @@ def test_f3_observed_at(spark):
 def test_f4_owner_change(spark, strategy):
     o = obs(spark, [("A", "h", "2024-01-01", None), ("B", "h", "2024-02-01", None),
                     ("A", "h", "2024-01-05", None)])
-    r = rows_of(ownership_timeline(o, PipelineConfig(timeline_strategy=strategy)))
+    r = rows_of(ownership_timeline(o, PipelineConfig(scan_strategy=strategy)))
     assert r == [("A", "h", ts("2024-01-01"), ts("2024-02-01"), False, ts("2024-01-01")),
                  ("B", "h", ts("2024-02-01"), None, True, ts("2024-01-01"))]
 
@@ -43,7 +43,7 @@ def test_f4_owner_change(spark, strategy):
 def test_f5_return_to_a(spark, strategy):
     o = obs(spark, [("A", "h", "2024-01-01", None), ("B", "h", "2024-02-01", None),
                     ("A", "h", "2024-03-01", None)])
-    r = rows_of(ownership_timeline(o, PipelineConfig(timeline_strategy=strategy)))
+    r = rows_of(ownership_timeline(o, PipelineConfig(scan_strategy=strategy)))
     assert [x[:5] for x in r] == [("A", "h", ts("2024-01-01"), ts("2024-02-01"), False),
                                   ("B", "h", ts("2024-02-01"), None, True)]
 
@@ -51,7 +51,7 @@ def test_f5_return_to_a(spark, strategy):
 @pytest.mark.parametrize("strategy", STRATS)
 def test_f6_tied_starts(spark, strategy):
     o = obs(spark, [("B", "h", "2024-01-01", None), ("A", "h", "2024-01-01", None)])
-    r = rows_of(ownership_timeline(o, PipelineConfig(timeline_strategy=strategy)))
+    r = rows_of(ownership_timeline(o, PipelineConfig(scan_strategy=strategy)))
     assert [x[:5] for x in r] == [("A", "h", ts("2024-01-01"), ts("2024-01-01"), False),
                                   ("B", "h", ts("2024-01-01"), None, True)]
 
@@ -59,7 +59,7 @@ def test_f6_tied_starts(spark, strategy):
 @pytest.mark.parametrize("strategy", STRATS)
 def test_f7_undated_pair_two_current(spark, strategy):
     o = obs(spark, [("A", "h", "2024-01-01", None), ("B", "h", None, None)])
-    r = rows_of(ownership_timeline(o, PipelineConfig(timeline_strategy=strategy)))
+    r = rows_of(ownership_timeline(o, PipelineConfig(scan_strategy=strategy)))
     assert [x[:5] for x in r] == [("A", "h", ts("2024-01-01"), None, True),
                                   ("B", "h", None, None, True)]
 
