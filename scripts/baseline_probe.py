@@ -40,7 +40,7 @@ def _lines(path):
 
 def variants(spark, sf):
     def handle_log():
-        return _pipe(spark, sf).handle_log
+        return _pipe(spark, sf, PipelineConfig(scan_strategy="range")).handle_log
 
     def handle_log_window():
         return _pipe(spark, sf, PipelineConfig(scan_strategy="window")).handle_log
