@@ -22,6 +22,12 @@ the same per-group results without that limit:
    its broadcast size is bounded by the partition count, not by the data.
 5. A broadcast join on the partition id patches the flagged rows.
 
+Strategy: "range" is the scan above; "window" computes the same results with
+``Window.partitionBy(group)``; "auto" (default) uses "window" only when
+Catalyst's size estimate of the whole input is at most ``WINDOW_MAX_BYTES``.
+No group can be larger than the whole input, so one task per group is then
+bounded, and the cheaper plan is safe.
+
 Supported results (all within the group, in the given order):
   lead   value of a column on the next row
   first  value of a column on the first row
