@@ -20,8 +20,8 @@ class PipelineConfig:
     # Ordered scans (ownership timeline, point-in-time lookup, email current
     # flag): "range" (skew-safe range-partitioned scan), "window"
     # (Window.partitionBy(group)), or "auto": window when Catalyst estimates
-    # the input at 32 MB or less (then no group can outgrow one task), else
-    # range.
+    # the input at spark.sql.files.maxPartitionBytes (128 MB default) or
+    # less (then no group can outgrow one task), else range.
     scan_strategy: str = "auto"
     # Email dimension: "one_pass" (single aggregate) or "two_pass"
     # (aggregate + top-1 + join, as written in the reference).

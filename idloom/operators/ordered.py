@@ -24,9 +24,10 @@ the same per-group results without that limit:
 
 Strategy: "range" is the scan above; "window" computes the same results with
 ``Window.partitionBy(group)``; "auto" (default) uses "window" only when
-Catalyst's size estimate of the whole input is at most ``WINDOW_MAX_BYTES``.
-No group can be larger than the whole input, so one task per group is then
-bounded, and the cheaper plan is safe.
+Catalyst's size estimate of the whole input is at most one scan task's share
+of file data (``spark.sql.files.maxPartitionBytes``, 128 MB by default). No
+group can be larger than the whole input, so one task per group is then no
+bigger than a task Spark itself would plan, and the cheaper plan is safe.
 
 Supported results (all within the group, in the given order):
   lead   value of a column on the next row
@@ -185,9 +186,24 @@ def _resolve(group, lead, first, ffill):
     return resolve
 
 
-# Inputs whose estimated size is at most this use the window form: no group
-# can be larger than the whole input, so one task per group is bounded.
-WINDOW_MAX_BYTES = 32 * 1024 * 1024
+# Inputs whose estimated size is at most one scan task's share of file data
+# (``spark.sql.files.maxPartitionBytes``, 128 MB by default) use the window
+# form: no group can be larger than the whole input, so one task per group is
+# then no bigger than a task Spark itself would plan.
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def _parse_bytes(text: str) -> int:
+    import re
+
+    m = re.fullmatch(r"\s*(\d+)\s*([kmgt]?)b?\s*", str(text).lower())
+    if not m:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2)]
+
+
+def window_budget_bytes(spark) -> int:
+    return _parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -200,9 +216,11 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def choose_strategy(df: DataFrame, strategy: str = "auto",
-                    window_max_bytes: int = WINDOW_MAX_BYTES) -> str:
+                    window_max_bytes: int | None = None) -> str:
     if strategy != "auto":
         return strategy
+    if window_max_bytes is None:
+        window_max_bytes = window_budget_bytes(df.sparkSession)
     est = estimated_bytes(df)
     return "window" if est is not None and est <= window_max_bytes else "range"
 
@@ -229,7 +247,7 @@ def _window_scan(df: DataFrame, group: str, order, lead: dict, first: dict, ffil
 def group_scan(df: DataFrame, group: str, order, *, lead: dict | None = None,
                first: dict | None = None, ffill: dict | None = None,
                marker: str | None = None, num_partitions: int | None = None,
-               strategy: str = "auto", window_max_bytes: int = WINDOW_MAX_BYTES) -> DataFrame:
+               strategy: str = "auto", window_max_bytes: int | None = None) -> DataFrame:
     """Add per-group ordered results to ``df`` (see module docstring).
 
     ``order``: column names (ascending, NULLs last) or sort expressions.
@@ -237,8 +255,9 @@ def group_scan(df: DataFrame, group: str, order, *, lead: dict | None = None,
     ``marker``: boolean column selecting the rows ``ffill`` may pick.
     ``strategy``: "range" (the skew-safe scan), "window"
     (``Window.partitionBy(group)``) or "auto" (default): "window" when
-    Catalyst estimates the whole input at ``window_max_bytes`` or less, since
-    then no group can outgrow one task, else "range".
+    Catalyst estimates the whole input at ``window_max_bytes`` or less
+    (default ``spark.sql.files.maxPartitionBytes``), since then no group can
+    outgrow one task, else "range".
     ``num_partitions``: range partitions (default: shuffle partitions, which
     AQE may merge). The Python worker holds one range partition in Arrow
     memory (about 2-3x its size with the outputs), so size partitions at a

@@ -70,3 +70,11 @@ def test_auto_picks_window_for_small_and_range_for_large(spark):
     assert choose_strategy(unknown) == "range"
     assert choose_strategy(small, window_max_bytes=0) == "range"
     assert choose_strategy(small, "range") == "range"
+
+
+def test_parse_bytes():
+    from idloom.operators.ordered import _parse_bytes
+    assert _parse_bytes("134217728b") == 134217728
+    assert _parse_bytes("128m") == 128 << 20
+    assert _parse_bytes("1g") == 1 << 30
+    assert _parse_bytes("4096") == 4096
