@@ -136,3 +136,24 @@ def test_cleanup_materialized(spark):
     assert df.count() == 10 and os.path.exists(path.replace("file:", ""))
     assert cleanup_materialized(spark) == 1
     assert not os.path.exists(path.replace("file:", ""))
+
+
+def test_pushdown_and_pruning_on_raw_parquet(spark, tmp_path):
+    """With raw sources stored as Parquet (the deployment shape), the email
+    scans push IsNotNull(tiktok_id) into the reader and read 4 columns."""
+    import re
+    from idloom.operators.email import email_observations, email_pairs
+    from idloom.plans.pipeline import Pipeline
+    from idloom.sources.registry import SourceRegistry
+    reg = SourceRegistry()
+    for name, df in raw_sources(spark, SF_SMALL).items():
+        path = str(tmp_path / name)
+        df.write.parquet(path)
+        reg.register(name, "parquet", path)
+    p = Pipeline(reg.read(spark), missing="null")
+    plan = plan_text(email_pairs(email_observations(p.clean)))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\].*?PushedFilters: \[([^\]]*)\]", plan)
+    assert len(scans) == 6
+    for cols, pushed in scans:
+        assert "IsNotNull(tiktok_id)" in pushed
+        assert len(cols.split(",")) == 4
