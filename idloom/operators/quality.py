@@ -95,30 +95,57 @@ def _row_level_condition(check: Check):
     return c.isNotNull() & ~c.isin(list(check.values))
 
 
+def _pooled(df: DataFrame, model: str, checks) -> DataFrame | None:
+    """Row-level and ``unique`` checks of one table from ONE aggregate.
+
+    ``groupingSets`` with the grand total ``()`` plus one set per unique
+    column: the grand-total row carries the row-level failure counts, and
+    each unique column's groups carry their record counts. A second, tiny
+    aggregate over that output counts the offending groups. The table is
+    scanned once, and all buffers are counts, so it stays a hash aggregate.
+    """
+    rows = [c for c in checks if c.kind in ("not_null", "accepted_values")]
+    uniq = [c for c in checks if c.kind == "unique"]
+    if not rows and not uniq:
+        return None
+    keys = list(dict.fromkeys(c.column for c in uniq))
+    sets = [[]] + [[k] for k in keys]
+    g = df.groupingSets(sets, *keys).agg(
+        *[F.count(F.when(_row_level_condition(c), 1)).alias(f"c{i}") for i, c in enumerate(rows)],
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
+    full = (1 << len(keys)) - 1  # grouping id of the grand total
+    gid_of = {k: full & ~(1 << (len(keys) - 1 - i)) for i, k in enumerate(keys)}
+    total = F.col("_gid") == full
+    counts = [F.max(F.when(total, F.col(f"c{i}"))).alias(f"r{i}") for i in range(len(rows))]
+    counts += [F.count(F.when((F.col("_gid") == gid_of[c.column]) & F.col(c.column).isNotNull()
+                              & (F.col("_n") > 1), 1)).alias(f"u{j}") for j, c in enumerate(uniq)]
+    per_check = [(c, f"r{i}") for i, c in enumerate(rows)] + [(c, f"u{j}") for j, c in enumerate(uniq)]
+    return g.agg(*counts).select(F.explode(F.array(*[
+        F.struct(F.lit(c.name).alias("check_name"), F.lit(model).alias("model"),
+                 F.lit(c.column).cast("string").alias("column_name"),
+                 F.coalesce(F.col(col), F.lit(0)).cast("long").alias("failures"))
+        for c, col in per_check])).alias("r")).select("r.*")
+
+
 def summary(tables: dict[str, DataFrame], checks=CHECKS) -> DataFrame:
     """One row per check: ``(check_name, model, column_name, failures)``.
 
-    Row-level checks of a table are pooled into one ``agg`` (one scan per
-    table); each ``unique`` / ``no_multi`` check is one grouping whose
-    offending groups are counted.
+    Per table, the row-level and ``unique`` checks come from one pooled
+    aggregate (``_pooled``); ``no_multi`` (a min/max over text, which needs a
+    sort-based aggregate) runs as its own grouping so the pooled pass stays
+    hash-based.
     """
     parts = []
     for model, df in tables.items():
         mine = [c for c in checks if c.model == model]
-        rows = [c for c in mine if c.kind in ("not_null", "accepted_values")]
-        if rows:
-            agg = df.agg(*[F.count(F.when(_row_level_condition(c), 1)).alias(f"c{i}")
-                           for i, c in enumerate(rows)])
-            parts.append(agg.select(F.explode(F.array(*[
-                F.struct(F.lit(c.name).alias("check_name"), F.lit(model).alias("model"),
-                         F.lit(c.column).cast("string").alias("column_name"),
-                         F.col(f"c{i}").alias("failures"))
-                for i, c in enumerate(rows)])).alias("r")).select("r.*"))
+        pooled = _pooled(df, model, mine)
+        if pooled is not None:
+            parts.append(pooled)
         for c in mine:
-            if c.kind in ("unique", "no_multi"):
+            if c.kind == "no_multi":
                 parts.append(offenders(df, c).agg(F.count(F.lit(1)).alias("failures")).select(
                     F.lit(c.name).alias("check_name"), F.lit(model).alias("model"),
-                    F.lit(c.column).cast("string").alias("column_name"), "failures"))
+                    F.lit(None).cast("string").alias("column_name"), "failures"))
     return reduce(DataFrame.unionByName, parts)
 
 
