@@ -78,3 +78,11 @@ def test_parse_bytes():
     assert _parse_bytes("128m") == 128 << 20
     assert _parse_bytes("1g") == 1 << 30
     assert _parse_bytes("4096") == 4096
+
+
+def test_range_scan_on_empty_input(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    got = group_scan(df, "g", ["t", "k"], lead={"nt": "t"}, first={"ft": "t"},
+                     ffill={"fv": "v"}, marker="m", strategy="range", num_partitions=3)
+    assert got.count() == 0
+    assert got.columns == ["g", "t", "k", "v", "m", "nt", "ft", "fv"]
