@@ -46,6 +46,24 @@ from pyspark.sql import types as T
 
 from idloom.session import materialize
 
+def _ship_by_value() -> None:
+    """Serialise this module's task functions by value, so Python workers do
+    not need the package on their path (a cluster can also ship it with
+    ``--py-files``). Without this, cloudpickle refers to the functions by
+    module name, and a worker started outside the repository fails with
+    ModuleNotFoundError."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # older cloudpickle: fall back to by-reference
+        pass
+
+
+_ship_by_value()
+
 _PID, _FR, _LR, _FRUN, _SEEN = "_gs_pid", "_gs_first_row", "_gs_last_row", "_gs_first_run", "_gs_seen"
 _HAS, _CSEEN = "_gs_carry", "_gs_carry_seen"
 
