@@ -17,8 +17,7 @@ from idloom.operators import idmap, quality, spine, staging, timeline
 from idloom.operators.observe import observation_map
 from idloom.plans.writers import write_table
 
-# Model folders and the published (table) models.
-CORE_MODELS = ("dim_creator_handle_log", "dim_creator_id_map", "dim_creator_email")
+# Schema folder of each model group.
 MODEL_FOLDER = {"core": "core", "staging": "staging", "staging_clean": "staging"}
 
 
@@ -96,6 +95,7 @@ class Pipeline:
         return email_ops.email_dimension(self.clean, self.config)
 
     def core_tables(self) -> dict[str, DataFrame]:
+        """The published (table) models."""
         return {"dim_creator_handle_log": self.handle_log, "dim_creator_id_map": self.id_map,
                 "dim_creator_email": self.email}
 
@@ -117,9 +117,10 @@ class Pipeline:
 
     def register_views(self, names=None) -> list[str]:
         """Expose models as temp views for SQL users (``spark.sql("select ..
-        from dim_creator_email")``). Models whose inputs are missing are
-        skipped. Note: the timeline, spine and email models write their
-        shared intermediate once when first built."""
+        from dim_creator_email")``). By default the cleaned model of every
+        given source; name other models explicitly (a missing input raises
+        KeyError). Building a model that uses the range scan, or the spine,
+        writes its intermediate once, at that moment."""
         done = []
         for name in names or ("stg_" + n.lower() for n in self.raw):
             df = self._model(name)
