@@ -1,5 +1,5 @@
-"""Ownership timeline (SCD type 2) of a contested key, its published log and
-point-in-time lookup.
+"""Ownership timeline (SCD type 2) of a contested key and its published log
+(the point-in-time lookup over the log is in ``pit.py``).
 
 For handles: each (handle, id) pair starts at its first sighting; the pair's
 ownership ends when the next pair of the same handle starts (order: start
@@ -33,6 +33,13 @@ def timeline_from_pairs(pairs: DataFrame, key: str = "handle_name", owner: str =
                         start: str = "handle_start", end: str = "handle_end",
                         first_col: str = "created_at", flag: str = "is_current_owner",
                         strategy: str = "auto", num_partitions: int | None = None) -> DataFrame:
+    """Add ``end`` (next pair's start), ``first_col`` (the key's first start)
+    and ``flag`` (no end = current owner) to the first-sighting pairs.
+
+    ``strategy``: "auto" / "range" go through ``ordered.group_scan`` (skew-safe
+    above one scan task's share of data); "window" is the plain
+    ``Window.partitionBy(key)`` form.
+    """
     if strategy == "window":
         w = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_last(), F.col(owner).asc_nulls_last())
         out = (pairs.withColumn(end, F.lead(start).over(w))
