@@ -92,7 +92,24 @@ class Pipeline:
 
     @cached_property
     def email(self) -> DataFrame:
-        return email_ops.email_dimension(self.clean, self.config)
+        return email_ops.email_dimension(self._email_inputs(), self.config)
+
+    def _email_inputs(self) -> dict[str, DataFrame]:
+        """Cleaned email sources, each built from raw rows whose id and email
+        are not NULL. The email dimension drops rows with a NULL cleaned id
+        or email anyway, and a NULL raw value always cleans to NULL, so the
+        result is the same. The filter on raw columns, though, reaches the
+        Parquet reader as a pushed predicate (row groups without such values
+        are skipped); the cleaned-column filter cannot."""
+        from pyspark.sql import functions as F
+
+        out = {}
+        for src, _tag, id_col, email_col, _c, _u in email_ops.EMAIL_SOURCES:
+            if src in self.raw:
+                raw = self.raw[src].filter(F.col(id_col).isNotNull() & F.col(email_col).isNotNull())
+                out[src] = staging.clean_source(raw, src, self.config.cast_mode, self.missing,
+                                                self.config.blank_id_to_null)
+        return out
 
     def core_tables(self) -> dict[str, DataFrame]:
         """The published (table) models."""

@@ -157,3 +157,10 @@ def test_pushdown_and_pruning_on_raw_parquet(spark, tmp_path):
     for cols, pushed in scans:
         assert "IsNotNull(tiktok_id)" in pushed
         assert len(cols.split(",")) == 4
+    # the pipeline's email inputs also push the raw email column's IS NOT NULL
+    plan = plan_text(email_pairs(email_observations(p._email_inputs())))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\].*?PushedFilters: \[([^\]]*)\]", plan)
+    assert len(scans) == 6
+    for cols, pushed in scans:
+        assert "IsNotNull(tiktok_id)" in pushed
+        assert re.search(r"IsNotNull\((email|email_address)\)", pushed), pushed
