@@ -67,12 +67,27 @@ def observation_branch(raw: DataFrame, spec: ObservationSpec, swap_dates: bool =
 
 
 def observation_map(raw: dict[str, DataFrame], config: PipelineConfig | None = None,
-                    specs=OBSERVATION_SPECS) -> DataFrame:
-    """Union of all branches whose source is present in ``raw``."""
+                    specs=OBSERVATION_SPECS, complete_only: bool = False) -> DataFrame:
+    """Union of all branches whose source is present in ``raw``.
+
+    ``complete_only``: only sightings that can carry both an id and a handle,
+    for consumers that drop the others anyway (the ownership timeline).
+    Sources lacking either column are left out, and each remaining branch
+    filters its raw id and handle for IS NOT NULL. A NULL raw value always
+    normalises to NULL, so the consumer sees the same rows, but these
+    filters on raw columns reach the Parquet reader as pushed predicates.
+    """
     config = config or PipelineConfig()
-    parts = [observation_branch(raw[s.source], s,
-                                config.swap_market_dates and s.source in _SWAPPED_SOURCES)
-             for s in specs if s.source in raw]
+    parts = []
+    for s in specs:
+        if s.source not in raw:
+            continue
+        df = raw[s.source]
+        if complete_only:
+            if not (s.id_col and s.handle_col):
+                continue
+            df = df.filter(F.col(s.id_col).isNotNull() & F.col(s.handle_col).isNotNull())
+        parts.append(observation_branch(df, s, config.swap_market_dates and s.source in _SWAPPED_SOURCES))
     if not parts:
         raise ValueError("no observation source given")
     return reduce(DataFrame.unionByName, parts)

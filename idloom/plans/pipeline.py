@@ -75,7 +75,10 @@ class Pipeline:
 
     @cached_property
     def timeline(self) -> DataFrame:
-        return timeline.ownership_timeline(self.observations, self.config)
+        # Only complete sightings matter to the timeline; this form pushes the
+        # raw IS NOT NULL predicates into the scans.
+        complete = observation_map(self.raw, self.config, complete_only=True)
+        return timeline.ownership_timeline(complete, self.config)
 
     @cached_property
     def spine(self) -> DataFrame:

@@ -164,3 +164,26 @@ def test_pushdown_and_pruning_on_raw_parquet(spark, tmp_path):
     for cols, pushed in scans:
         assert "IsNotNull(tiktok_id)" in pushed
         assert re.search(r"IsNotNull\((email|email_address)\)", pushed), pushed
+
+
+
+def test_timeline_scans_push_raw_not_null(spark, tmp_path):
+    import re
+    from idloom.operators.observe import observation_map
+    from idloom.operators.timeline import first_seen_pairs
+    from idloom.plans.pipeline import Pipeline
+    from idloom.sources.registry import SourceRegistry
+    reg = SourceRegistry()
+    for name, df in raw_sources(spark, SF_SMALL).items():
+        path = str(tmp_path / name)
+        df.write.parquet(path)
+        reg.register(name, "parquet", path)
+    raw = reg.read(spark)
+    plan = plan_text(first_seen_pairs(observation_map(raw, complete_only=True)))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\].*?PushedFilters: \[([^\]]*)\]", plan)
+    assert len(scans) == 3
+    for _cols, pushed in scans:
+        assert "IsNotNull(tiktok_id)" in pushed and "IsNotNull(handle_name)" in pushed
+    a = sorted(map(tuple, first_seen_pairs(observation_map(raw, complete_only=True)).collect()), key=str)
+    b = sorted(map(tuple, first_seen_pairs(observation_map(raw)).collect()), key=str)
+    assert a == b
