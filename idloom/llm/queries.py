@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,14 +19,33 @@ def op2_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_read(spark, sf_dir, "documents"))
 
 
+def op1_column_generation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    return pack(_read(spark, sf_dir, "documents"), definition)
+
+
 def op4_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import classify
 
     return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op7_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    out = dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_column_generation_packing": op1_column_generation_packing,
     "op2_jump_sharding": op2_jump_sharding,
     "op4_ftrl_toxicity": op4_ftrl_toxicity,
+    "op7_cuckoo_line_dedup": op7_cuckoo_line_dedup,
 }
 ORACLES: dict[str, str] = {}

@@ -25,6 +25,8 @@ _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = int(_rng.integers(2**62, 2**63, dtype=np.uint64)) | 1
 _PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
+#: A second, independent hash, for keys of 128 bits.
+_BYTE2 = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _powers = np.ones(1, np.uint64)
 
 
@@ -64,35 +66,31 @@ class Words:
         return self.hashes[self.first[i] : self.first[i + 1]]
 
 
-def split(data: np.ndarray, offsets: np.ndarray, separators=WHITE, fold=SAME) -> Words:
-    n = len(offsets) - 1
-    inside = ~separators[data]
-    before = np.empty_like(inside)
-    if len(data):
-        before[1:] = inside[:-1]
-        before[0] = False
-        heads = offsets[:-1][offsets[:-1] < len(data)]
-        before[heads] = False
-    starts = np.flatnonzero(inside & ~before)
-    after = np.empty_like(inside)
-    if len(data):
-        after[:-1] = inside[1:]
-        after[-1] = False
-        tails = offsets[1:][offsets[1:] > 0] - 1
-        after[tails] = False
-    ends = np.flatnonzero(inside & ~after) + 1
-    first = np.searchsorted(starts, offsets)
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold=SAME, second: bool = False) -> np.ndarray:
+    """64 bits for the bytes of each span; spans are in order, not empty, and
+    do not overlap."""
     if not len(starts):
-        return Words(data, starts, ends, first, np.zeros(0, np.uint64))
+        return np.zeros(0, np.uint64)
+    low, high = int(starts[0]), int(ends[-1])
     length = ends - starts
     powers = _power_table(int(length.max()))
-    # place of each byte in its word; separators' own places do not matter
-    place = np.arange(starts[0], len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
-    tail = data[starts[0] :]
-    values = np.where(inside[starts[0] :], _BYTE[fold[tail]], np.uint64(0))
-    values *= powers[np.minimum(place, len(powers) - 1)]
-    h = np.add.reduceat(values, starts - starts[0])
-    return Words(data, starts, ends, first, mix(h + length.astype(np.uint64)))
+    reach = np.diff(np.append(starts, high))
+    place = np.arange(low, high) - np.repeat(starts, reach)
+    values = (_BYTE2 if second else _BYTE)[fold[data[low:high]]] * powers[np.minimum(place, len(powers) - 1)]
+    values[place >= np.repeat(length, reach)] = 0
+    return mix(np.add.reduceat(values, starts - low) + length.astype(np.uint64))
+
+
+def split(data: np.ndarray, offsets: np.ndarray, separators=WHITE, fold=SAME) -> Words:
+    inside = np.zeros(len(data) + 2, bool)  # one place before and after
+    inside[1:-1] = ~separators[data]
+    opens = inside[1:-1] & ~inside[:-2]
+    closes = inside[1:-1] & ~inside[2:]
+    edges = offsets[(offsets > 0) & (offsets < len(data))]  # words end with their text
+    opens[edges] = inside[1:-1][edges]
+    closes[edges - 1] = inside[1:-1][edges - 1]
+    starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    return Words(data, starts, ends, np.searchsorted(starts, offsets), hash_spans(data, starts, ends, fold))
 
 
 def ngrams(words: Words, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
