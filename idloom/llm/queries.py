@@ -35,6 +35,12 @@ def op4_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op5_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontamination import contained_items
+
+    return contained_items(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op7_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
@@ -46,6 +52,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_column_generation_packing": op1_column_generation_packing,
     "op2_jump_sharding": op2_jump_sharding,
     "op4_ftrl_toxicity": op4_ftrl_toxicity,
+    "op5_minhash_containment": op5_minhash_containment,
     "op7_cuckoo_line_dedup": op7_cuckoo_line_dedup,
 }
-ORACLES: dict[str, str] = {}
+
+#: Distinct five-word shingles of {table}'s texts, words as runs of letters and digits.
+_SHINGLES = r"""
+  select {id}, n, array_to_string(w[i:i + 4], ' ') as shingle
+  from (select {id}, row_number() over () as n, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') as w
+        from (select distinct {id}, text from {table})) t, unnest(range(1, len(w) - 3)) as u(i)
+  group by all"""
+
+ORACLES: dict[str, str] = {
+    "op5_minhash_containment": f"""
+with d as ({_SHINGLES.format(table="documents", id="doc_id")}),
+b as ({_SHINGLES.format(table="benchmark", id="item_id")}),
+size as (select n, count(*) as m from b group by n)
+select d.doc_id, b.item_id, max(m)::bigint as n_shingles, count(*)::bigint as n_common, count(*)::double / max(m) as containment
+from b join size using (n) join d using (shingle)
+group by d.doc_id, d.n, b.item_id, b.n
+having count(*) >= ceil(max(m) * 0.8 - 1e-9)""",
+}
