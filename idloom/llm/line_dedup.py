@@ -247,7 +247,8 @@ class LineIndex:
     def dedup(self, docs: DataFrame) -> DataFrame:
         """``docs`` with ``text`` as it is without repeated lines, and
         ``n_lines``, ``n_dropped`` (in place of columns of those names)."""
-        repeated = self.counts().where("doc < last").select(*self.KEY, F.col("doc").alias("keeper"))
+        # written, so that the join below has shuffles of its own, which Spark can split at a key that many lines have
+        repeated = written(self.counts().where("doc < last").select(*self.KEY, F.col("doc").alias("keeper")), "repeated-lines")
         # a row is known by its id and text, so that rows without an id do not share one group
         docs = docs.select(*[c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")])
         docs = docs.withColumn("_row", F.xxhash64(document_key(), F.coalesce("text", F.lit(""))))
