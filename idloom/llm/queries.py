@@ -48,12 +48,19 @@ def op7_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_rare_first_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import join_documents
+
+    return join_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_column_generation_packing": op1_column_generation_packing,
     "op2_jump_sharding": op2_jump_sharding,
     "op4_ftrl_toxicity": op4_ftrl_toxicity,
     "op5_minhash_containment": op5_minhash_containment,
     "op7_cuckoo_line_dedup": op7_cuckoo_line_dedup,
+    "op9_rare_first_jaccard_join": op9_rare_first_jaccard_join,
 }
 
 #: Distinct five-word shingles of {table}'s texts, words as runs of letters and digits.
