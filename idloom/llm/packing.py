@@ -108,6 +108,14 @@ class ChunkEncoder:
         return [b"".join(map(self.chunks.__getitem__, c)) for c in chunks]
 
 
+def public_definition(name: str = "word_bpe_49k.json") -> str:
+    """The JSON of an installed public tokenizer."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
 def cut(docs: DataFrame, definition: str, capacity: int = 2048, end_id: int = 1, with_ids: bool = False) -> DataFrame:
     """The pieces of each row of ``docs(doc_id, text)``: doc_id, start, length,
     ids_crc32, doc_tokens, and the ids as bytes if ``with_ids``."""

@@ -20,13 +20,9 @@ def op2_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_column_generation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
+    from .packing import pack, public_definition
 
-    from .packing import pack
-
-    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
-        definition = f.read()
-    return pack(_read(spark, sf_dir, "documents"), definition)
+    return pack(_read(spark, sf_dir, "documents"), public_definition())
 
 
 def op4_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +50,12 @@ def op9_rare_first_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_column_generation_packing": op1_column_generation_packing,
     "op2_jump_sharding": op2_jump_sharding,
@@ -61,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash_containment": op5_minhash_containment,
     "op7_cuckoo_line_dedup": op7_cuckoo_line_dedup,
     "op9_rare_first_jaccard_join": op9_rare_first_jaccard_join,
+    "pipeline": pipeline,
 }
 
 #: Distinct five-word shingles of {table}'s texts, words as runs of letters and digits.
