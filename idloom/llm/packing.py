@@ -216,7 +216,8 @@ def _relaxed(size: np.ndarray, demand: np.ndarray, room: int, gap: float, steps:
         inverse -= np.outer(change, row)
         inverse[out] = row
         if step % 200 == 199:
-            inverse = np.linalg.inv(basis.T.astype(float))
+            error = 2 * np.eye(m) - np.einsum("ij,jk->ik", basis.T.astype(float), inverse)
+            inverse = np.einsum("ij,jk->ik", inverse, error)  # one Newton step takes the rounding errors out
             used = times(inverse, demand)
     return basis, np.maximum(used, 0)
 
