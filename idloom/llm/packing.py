@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import json
 import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -50,7 +52,16 @@ class ChunkEncoder:
     ``keep`` chunks and of as many words are remembered.
     """
 
-    def __init__(self, definition: str, keep: int = 300_000):
+    @classmethod
+    def of_worker(cls, definition: str) -> ChunkEncoder:
+        """The encoder that this worker process already has, or a new one: what
+        one task learns serves the next."""
+        store = vars(sys.modules.setdefault("_idloom_worker", types.ModuleType("_idloom_worker")))
+        if store.get("definition") != definition:
+            store.update(definition=definition, encoder=cls(definition))
+        return store["encoder"]
+
+    def __init__(self, definition: str, keep: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -79,10 +90,12 @@ class ChunkEncoder:
             return self._whole(new, self.chunks)
         plain, other = {}, []
         for c in new:
-            if self.plain(c) and "<|" not in c:
-                plain[c] = self.find("".join(map(str.lower, c)))
-            else:
+            if not self.plain(c) or "<|" in c:
                 other.append(c)
+            elif c.isalpha():
+                plain[c] = (c.lower(),)
+            else:
+                plain[c] = self.find(c.lower())
         words = list(set().union(*plain.values()).difference(self.words)) if plain else []
         for i in range(0, len(words), 2000):
             part = words[i : i + 2000]
@@ -93,8 +106,9 @@ class ChunkEncoder:
                 continue
             raw, at = ids.tobytes(), [0, *(cuts * 4).tolist()]
             self.words.update((w, raw[a:b]) for w, a, b in zip(part, at, at[1:]))
+        known = self.words.__getitem__
         for c, found in plain.items():
-            self.chunks[c] = b"".join(map(self.words.__getitem__, found))
+            self.chunks[c] = known(found[0]) if len(found) == 1 else b"".join(map(known, found))
         self._whole(other, self.chunks)
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -123,7 +137,7 @@ def cut(docs: DataFrame, definition: str, capacity: int = 2048, end_id: int = 1,
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(shared.value)
+        encoder = ChunkEncoder.of_worker(shared.value)
         for batch in batches:
             for part in W.slices(batch, "text"):
                 rows: list[tuple] = []
