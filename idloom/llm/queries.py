@@ -44,12 +44,28 @@ def op7_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_link_graph_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import Rule, judge
+
+    rules = [
+        Rule("allow", "com"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"),
+        Rule("block", "net", "/es/"), Rule("block", "net", "/fr/"),
+    ]
+    return judge(_read(spark, sf_dir, "pages"), rules)
+
+
 def op9_rare_first_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import join_documents
 
     return join_documents(_read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_tree_model_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import main_text
+
+    return main_text(_read(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -62,7 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ftrl_toxicity": op4_ftrl_toxicity,
     "op5_minhash_containment": op5_minhash_containment,
     "op7_cuckoo_line_dedup": op7_cuckoo_line_dedup,
+    "op8_link_graph_url_filter": op8_link_graph_url_filter,
     "op9_rare_first_jaccard_join": op9_rare_first_jaccard_join,
+    "op10_tree_model_html": op10_tree_model_html,
     "pipeline": pipeline,
 }
 
