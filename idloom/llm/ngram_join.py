@@ -12,8 +12,9 @@ documents link when |A and B| * den >= |A or B| * num.
    gives the same links, a rarer prefix gives fewer candidates.) Documents at
    the threshold share a shingle of their prefixes, the first
    size - ceil(t * size) + 1 shingles.
-3. Prefix shingles that only one node has are dropped. Along the others, nodes
-   are joined, under the length filter (t * larger <= smaller) and the
+3. Prefix shingles are grouped with size classes, each set in its own and the
+   next one, so that sets of similar size meet; groups of one node are dropped.
+   Along the others, nodes are joined, under the length filter (t * larger <= smaller) and the
    positional filter (1 + what follows the shared shingle in both must reach
    the needed overlap; for the first shared one this bounds the overlap).
    A group of near copies must not give all its pairs, so joining goes in
@@ -160,7 +161,8 @@ def _prefixes(docs: DataFrame, n: int, num: int, den: int, common: tuple[np.ndar
 
 
 def _sets(texts: DataFrame, n: int) -> DataFrame:
-    """(node, size, ranges, items) of each row of ``texts(node, text)``."""
+    """(node, size, ranges, items) of ``texts(node, text)``; a node has one
+    row, or equal ones where rows of its document repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,16 +195,27 @@ class NgramJoin:
         order = np.argsort(common["node"].to_numpy().astype(np.int64).view(np.uint64))
         keys = common["node"].to_numpy().astype(np.int64).view(np.uint64)[order]
         prefixes = _prefixes(docs, n, num, den, (keys, common["n"].to_numpy()[order]))
-        along = Window.partitionBy("token")
-        prefixes = prefixes.withColumn("_lo", F.min("node").over(along)).withColumn("_hi", F.max("node").over(along))
-        shared = prefixes.where("_lo < _hi").select("token", "node", "size", "place").distinct()
-        self.shared = written(shared, "shared-prefixes")
+        # all of the next steps need the rows of a shingle together, and use one shuffle by it
+        shared = self._shared(prefixes, Window.partitionBy("token"))
+        kind = F.floor(F.log("size") / F.lit(1.0001 * np.log(den / num))).cast("int")
+        shared = shared.withColumn("kind", F.explode(F.array(kind, kind + 1)))
+        near = Window.partitionBy("token", "kind")
+        shared = self._shared(shared, near).withColumn("_small", F.min("size").over(near)).withColumn("_rest", F.max(F.col("size") - F.col("place")).over(near))
+        rest = F.least(F.col("size") - F.col("place"), "_rest")
+        shared = shared.where(rest >= self._needed("size", "_small"))  # the positional filter against the best partner there could be
+        self.shared = written(self._shared(shared, near).select("token", "kind", "node", "size", "place").distinct(), "shared-prefixes")
         nodes = self.shared.select("node").distinct()
         chosen = self.rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
         texts = docs.select("row", "text").join(chosen, "row")
-        self.sets = written(_sets(texts, n).dropDuplicates(["node"]), "sets")
+        self.sets = written(_sets(texts, n), "sets")
         self.links = self._links()
 
+    @staticmethod
+    def _shared(rows: DataFrame, along) -> DataFrame:
+        """The rows whose group has two nodes or more."""
+        rows = rows.withColumn("_lo", F.min("node").over(along)).withColumn("_hi", F.max("node").over(along))
+        return rows.where("_lo < _hi").drop("_lo", "_hi")
+
     def _needed(self, a: str, b: str):
         total = F.col(a) + F.col(b)
         return F.ceil(total * self.num / F.lit(float(self.num + self.den)) - F.lit(1e-9))
@@ -230,20 +243,20 @@ class NgramJoin:
         found: list[DataFrame] = []
         comp = spark.createDataFrame([], "node long, comp long")
         left = self.shared.withColumn("comp", F.col("node"))
-        along = Window.partitionBy("token")
+        along = Window.partitionBy("token", "kind")
         for turn in range(self.rounds + 1):
             # shingles whose nodes are in two components or more, with the pairs between components along them
-            in_comp = left.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
-            open_ = in_comp.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn")).where("n * n > nn")
+            in_comp = left.groupBy("token", "kind", "comp").agg(F.count(F.lit(1)).alias("n"))
+            open_ = in_comp.groupBy("token", "kind").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn")).where("n * n > nn")
             open_ = written(open_, "open-shingles")
             sums = open_.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs")).first()
             if not sums["rows"]:
                 break
-            left = written(left.join(open_.select("token"), "token", "left_semi").select("token", "node", "size", "place", "comp"), "open-prefixes")
+            left = written(left.join(open_, ["token", "kind"], "left_semi").select("token", "kind", "node", "size", "place", "comp"), "open-prefixes")
             last = turn == self.rounds or sums["pairs"] <= 2 * sums["rows"]
             if last:
-                other = left.select("token", *(F.col(c).alias(f"{c}2") for c in ("node", "size", "place", "comp")))
-                near = left.join(other, "token").where("node < node2 and comp <> comp2")
+                other = left.select("token", "kind", *(F.col(c).alias(f"{c}2") for c in ("node", "size", "place", "comp")))
+                near = left.join(other, ["token", "kind"]).where("node < node2 and comp <> comp2")
             else:
                 leader = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), *(F.col(c).alias(f"{c}2") for c in ("node", "size", "place", "comp"))))
                 near = left.withColumn("_lead", leader.over(along)).select(*left.columns, "_lead.*").where("comp <> comp2")
