@@ -25,6 +25,12 @@ def op1_column_generation_packing(spark: SparkSession, sf_dir: str) -> DataFrame
     return pack(_read(spark, sf_dir, "documents"), public_definition())
 
 
+def op3_nn_descent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import nearest
+
+    return nearest(_read(spark, sf_dir, "embeddings"))
+
+
 def op4_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import classify
 
@@ -75,6 +81,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_column_generation_packing": op1_column_generation_packing,
     "op2_jump_sharding": op2_jump_sharding,
+    "op3_nn_descent_search": op3_nn_descent_search,
     "op4_ftrl_toxicity": op4_ftrl_toxicity,
     "op5_minhash_containment": op5_minhash_containment,
     "op7_cuckoo_line_dedup": op7_cuckoo_line_dedup,
