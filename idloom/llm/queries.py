@@ -43,6 +43,13 @@ def op5_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op6_anchor_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import remove_repeats
+
+    out = remove_repeats(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
@@ -84,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_nn_descent_search": op3_nn_descent_search,
     "op4_ftrl_toxicity": op4_ftrl_toxicity,
     "op5_minhash_containment": op5_minhash_containment,
+    "op6_anchor_substring_dedup": op6_anchor_substring_dedup,
     "op7_cuckoo_line_dedup": op7_cuckoo_line_dedup,
     "op8_link_graph_url_filter": op8_link_graph_url_filter,
     "op9_rare_first_jaccard_join": op9_rare_first_jaccard_join,
