@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder. Only a local-mode session without one
     gets a folder of its own; anywhere else it must be set."""
-    base = spark.conf.get("spark.checkpoint.dir", "")
+    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local") or "local-cluster" in spark.conf.get("spark.master"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="idloom-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 

@@ -1,0 +1,155 @@
+"""N-gram join and decontamination against all pairs."""
+
+import collections
+import re
+
+import pytest
+import regex
+from pyspark.sql import functions as F
+
+from idloom.llm.components import components
+from idloom.llm.decontamination import contained_items, without_items
+from idloom.llm.ngram_join import NgramJoin, join_documents, one_of_each
+
+LOW = {i: i + 32 for i in range(65, 91)}
+
+
+def shingles(text, n):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
+
+
+def classes(rows, n, num, den):
+    """(doc_id, set size, smallest linked id) of each row; a missing id ranks last."""
+    last = 1 << 63
+    sets = [shingles(t, n) for _, t in rows]
+    ids = [last if i is None else i for i, _ in rows]
+    up = list(range(len(rows)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and den * len(a & b) >= num * len(a | b):
+                up[top(i)] = top(j)
+    least = collections.defaultdict(lambda: last)
+    for i in range(len(rows)):
+        least[top(i)] = min(least[top(i)], ids[i])
+    known = lambda i: None if i == last else i
+    return [(known(ids[i]), len(sets[i]), known(least[top(i)])) for i in range(len(rows))]
+
+
+def check(df, n=4, num=85, den=100):
+    rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    got = [tuple(r) for r in join_documents(df, n, num, den).collect()]
+    assert sorted(got, key=repr) == sorted(classes(rows, n, num, den), key=repr)
+
+
+def test_the_small_table(sf_docs):
+    check(sf_docs)
+    check(sf_docs, 5, 80)
+
+
+def test_odd_rows(odd):
+    check(odd)
+    check(odd, 2, 50)
+    assert join_documents(odd.limit(0)).count() == 0
+
+
+def near_copies(spark, n, words=60):
+    """A text and n copies, each with one word of its own; chains of edits; and others."""
+    base = [f"w{i}" for i in range(words)]
+    rows = []
+    for k in range(n):
+        t = list(base)
+        t[(7 * k) % words] = f"own{k}"
+        rows.append((k, " ".join(t)))
+    chain = [f"c{i}" for i in range(words)]
+    for k in range(30):
+        chain[(2 * k) % words] = f"step{k}"
+        rows.append((1000 + k, " ".join(chain)))
+    rows += [(2000 + k, " ".join(f"z{k}x{i}" for i in range(30))) for k in range(20)]
+    rows += [(3000 + k, rows[0][1]) for k in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+@pytest.mark.parametrize("limits", [(4, 85), (5, 70), (5, 80)])
+def test_groups_of_near_copies_and_chains(spark, limits):
+    check(near_copies(spark, 40), *limits)
+
+
+def test_every_round_count_gives_the_same_components(spark):
+    df = near_copies(spark, 25)
+    want = None
+    for rounds in (0, 1, 3):
+        got = sorted(tuple(r) for r in NgramJoin(df, 5, 70, 100, rounds=rounds).result().select("doc", "component").collect())
+        want = want or got
+        assert got == want
+
+
+def test_one_of_each_group_stays(spark, odd):
+    df = near_copies(spark, 20)
+    rows = [tuple(r) for r in df.collect()]
+    kept = {r.doc_id for r in one_of_each(df).collect()}
+    assert kept == {i for i, _, top in classes(rows, 5, 80, 100) if i == top}
+    out = one_of_each(odd)
+    assert out.columns == odd.columns
+    assert {r.doc_id for r in out.collect() if not (r.text or "").strip()} == {2, 3, 4, None}
+
+
+def test_components_of_long_chains(spark):
+    edges = spark.range(1, 200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).unionByName(
+        spark.range(500, 520).select(F.lit(499).cast("long").alias("a"), F.col("id").alias("b")))
+    got = {r.node: r.comp for r in components(edges).collect()}
+    assert got == {**{i: 1 for i in range(1, 201)}, **{i: 499 for i in range(499, 520)}}
+
+
+def item_words(text):
+    return regex.findall(r"[\p{L}\p{N}]+", (text or "").lower())
+
+
+def contained(docs, items, n, share):
+    out = set()
+    cut = lambda t: {tuple(w[i : i + n]) for w in [item_words(t)] for i in range(len(w) - n + 1)}
+    for d, t in docs:
+        held = cut(t)
+        for i, u in items:
+            want = cut(u)
+            if want and len(want & held) >= share * len(want) - 1e-9:
+                out.add((d, i, len(want), len(want & held)))
+    return out
+
+
+def test_items_inside_documents(spark, sf_docs):
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    rows = lambda df, k: [(r[k], r.text) for r in df.collect()]
+    hits = contained_items(sf_docs, items)
+    want = contained(rows(sf_docs, "doc_id"), rows(items, "item_id"), 5, 0.8)
+    assert {(r.doc_id, r.item_id, r.n_shingles, r.n_common) for r in hits.collect()} == want and want
+    kept = {r.doc_id for r in without_items(sf_docs, items).collect()}
+    assert kept == {r.doc_id for r in sf_docs.collect()} - {w[0] for w in want}
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
+def test_partial_and_odd_items(spark, broadcast_rows):
+    item = [f"i{k}" for k in range(20)]
+    items = [(1, " ".join(item)), (2, "too short to cut"), (3, None), (None, "a b c d e f"), (4, " ".join(item))]
+    docs = [(k, "x, " + " ".join(item[: 12 + k]).upper() + "! y") for k in range(9)]
+    docs += [(20, None), (None, "so a b c d e f it is"), (21, "a b c d e"), (22, " ".join(item[:11] + ["gap"] + item[11:]))]
+    d = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, item_id int")
+    b = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id int")
+    got = {(r.doc_id, r.item_id, r.n_shingles, r.n_common) for r in contained_items(d, b, broadcast_rows=broadcast_rows).collect()}
+    assert got == contained(docs, items, 5, 0.8)
+    clean = without_items(d, b)
+    assert clean.columns == d.columns
+    assert {r.doc_id for r in clean.collect()} == {i for i, _ in docs} - {g[0] for g in got}
+    assert contained_items(d.limit(0), b).count() == 0 and contained_items(d, b.limit(0)).count() == 0
+
+
+def test_no_python_on_the_way(spark, sf_docs):
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    plan = contained_items(sf_docs, items)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
