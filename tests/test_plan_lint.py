@@ -1,4 +1,4 @@
-"""Plan lint over every registered query (sf0.001): no cartesian products,
+"""Plan lint over every query of the reference's operators (sf0.001): no cartesian products,
 no nested-loop joins, no row-at-a-time Python UDFs. Explicit broadcast hints
 appear only in the range scan, whose carry table has one row per range
 partition (other broadcasts are Spark's own size-checked choices)."""
@@ -8,15 +8,15 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from idloom.plans.catalog import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_lint(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in FORBIDDEN:
         assert node not in plan, f"{name}: {node}"
