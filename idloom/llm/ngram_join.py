@@ -23,7 +23,7 @@ documents link when |A and B| * den >= |A or B| * num.
    all in one component, and pairs within one. As soon as what is left is small
    (or ``rounds`` are over) all its pairs are taken, so that no link between two
    components is missed.
-4. A pair, each once, passes the suffix filter (the overlap within each of 16
+4. A pair, each once, passes the suffix filter (the overlap within each of 256
    hash ranges adds up to the needed one at most) and is verified on the sets.
 
 Defined results: rows without a doc_id rank last (their component's id is null
@@ -45,7 +45,7 @@ from .components import components
 from .line_dedup import NO_ID, document_key
 from .storage import written
 
-RANGES = 16
+RANGES = 256
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,25 +160,36 @@ def _prefixes(docs: DataFrame, n: int, num: int, den: int, common: tuple[np.ndar
     return docs.select("text").mapInArrow(run, "token long, node long, size int, place int")
 
 
-def _sets(texts: DataFrame, n: int) -> DataFrame:
-    """(node, size, ranges, items) of ``texts(node, text)``; a node has one
-    row, or equal ones where rows of its document repeat."""
+def _sizes(texts: DataFrame, n: int) -> DataFrame:
+    """(node, size, ranges) of ``texts(node, text)``: the set's size, and how
+    much of it is in each hash range. A node has one row, or equal ones where
+    rows of its document repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, "text"):
                 own, h = shingle_sets(*W.text_buffers(part.column("text")), n)
                 size = np.bincount(own, minlength=part.num_rows)
-                cell = own * RANGES + (h >> np.uint64(60)).astype(np.int64)
+                cell = own * RANGES + (h >> np.uint64(56)).astype(np.int64)
                 ranges = np.bincount(cell, minlength=part.num_rows * RANGES).astype(np.int32)
-                ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+                ends = np.arange(0, len(ranges) + 1, RANGES, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), pa.array(size.astype(np.int32)),
-                     pa.ListArray.from_arrays(np.arange(0, len(ranges) + 1, RANGES, dtype=np.int32), pa.array(ranges)),
-                     pa.ListArray.from_arrays(ends, pa.array(h.view(np.int64)))],
-                    ["node", "size", "ranges", "items"])
+                    [part.column("node"), pa.array(size.astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(ranges))], ["node", "size", "ranges"])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, size int, ranges array<int>, items array<long>")
+    return texts.select("node", "text").mapInArrow(run, "node long, size int, ranges array<int>")
+
+
+def _items(texts: DataFrame, n: int) -> DataFrame:
+    """(node, items) of ``texts(node, text)``: the set itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.slices(batch, "text"):
+                own, h = shingle_sets(*W.text_buffers(part.column("text")), n)
+                ends = np.concatenate(([0], np.cumsum(np.bincount(own, minlength=part.num_rows)))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(ends, pa.array(h.view(np.int64)))], ["node", "items"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, items array<long>")
 
 
 class NgramJoin:
@@ -206,8 +217,8 @@ class NgramJoin:
         self.shared = written(self._shared(shared, near).select("token", "kind", "node", "size", "place").distinct(), "shared-prefixes")
         nodes = self.shared.select("node").distinct()
         chosen = self.rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
-        texts = docs.select("row", "text").join(chosen, "row")
-        self.sets = written(_sets(texts, n), "sets")
+        self.docs, self.chosen = docs.select("row", "text"), written(chosen, "chosen-rows")
+        self.sizes = written(_sizes(self.docs.join(self.chosen, "row"), n), "set-sizes")
         self.links = self._links()
 
     @staticmethod
@@ -228,11 +239,15 @@ class NgramJoin:
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets are similar."""
-        light = [self.sets.select(F.col("node").alias(x), F.col("size").alias(f"size{x}"), F.col("ranges").alias(f"ranges{x}")) for x in "ab"]
+        light = [self.sizes.select(F.col("node").alias(x), F.col("size").alias(f"size{x}"), F.col("ranges").alias(f"ranges{x}")) for x in "ab"]
         overlap = F.aggregate(F.zip_with("rangesa", "rangesb", lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v)
         pairs = pairs.join(light[0], "a").join(light[1], "b").where(overlap >= self._needed("sizea", "sizeb"))
-        whole = [self.sets.select(F.col("node").alias(x), F.col("items").alias(f"items{x}")) for x in "ab"]
-        pairs = pairs.select("a", "b", "sizea", "sizeb").join(whole[0], "a").join(whole[1], "b")
+        pairs = written(pairs.select("a", "b", "sizea", "sizeb").distinct(), "close-pairs")
+        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        texts = self.docs.join(self.chosen.join(nodes, "node", "left_semi"), "row")
+        items = written(_items(texts, self.n), "sets")  # of what is left alone
+        whole = [items.select(F.col("node").alias(x), F.col("items").alias(f"items{x}")) for x in "ab"]
+        pairs = pairs.join(whole[0], "a").join(whole[1], "b")
         common = F.size(F.array_intersect("itemsa", "itemsb"))
         pairs = pairs.select("a", "b", "sizea", "sizeb", common.alias("common"))
         return pairs.where((F.col("sizea") + F.col("sizeb") - F.col("common")) * self.num <= F.col("common") * self.den).select("a", "b")

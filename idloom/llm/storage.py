@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder. Only a local-mode session without one
@@ -31,5 +33,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     random or positional column the same for every later reader."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")  # nothing reads this write's shuffles once the table is there
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
