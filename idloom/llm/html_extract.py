@@ -7,6 +7,8 @@ label: its tag, the words of its class, id and role, how much text it holds
 itself and how much of it is in links. Sum-product message passing up and then
 down the tree gives each element's exact marginal; text belongs to the
 nearest element, and is kept when that element's marginal is above a half.
+Menus, footers, forms, scripts, comments, adverts and the like are known by
+their names and are left out of the tree.
 
 Training: pages with exactly one ``article`` or ``main`` element are labelled by
 it: it and what is below are content, except menus, forms, comments and the
@@ -22,7 +24,7 @@ a line feed in page order.
 Defined results: a null or empty html gives an empty text; tags left open are
 closed where their parent closes; stray end tags are ignored; equal rows are extracted each;
 extra columns are ignored; without any labelled page the smoothed counts leave
-text to the elements' names alone (``article`` and ``main``).
+the choice to the elements' names alone (``article`` and ``main``).
 """
 
 from __future__ import annotations
@@ -220,9 +222,12 @@ def train(pages: DataFrame, train_pages: int = 4000) -> np.ndarray:
                 y = labels(tree)
                 if y is None:
                     continue
+                never = barred(tree)
                 element, feature = observed(tree)
-                np.add.at(total, 2 * feature + y[element], 1)
-                np.add.at(total, _PAIRS + 2 * y[tree.parents[1:]].astype(int) + y[1:], 1)
+                open_ = ~never[element]
+                np.add.at(total, 2 * feature[open_] + y[element[open_]], 1)
+                free = np.flatnonzero(~never)[1:]
+                np.add.at(total, _PAIRS + 2 * y[np.array(tree.parents)[free]].astype(int) + y[free], 1)
                 total[_ROOT + int(y[0])] += 1
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["place", "n"])
@@ -236,13 +241,19 @@ def train(pages: DataFrame, train_pages: int = 4000) -> np.ndarray:
 class Model:
     """Log potentials from counts, with a prior count for each."""
 
-    def __init__(self, counts: np.ndarray, prior: float = 0.5):
-        seen = counts[:_PAIRS].reshape(FEATURES, 2) + prior
-        if not counts.any():
-            for name in ("t:article", "t:main", "t:p", "t:h1"):
-                seen[_place(name), 1] += 1000
-        self.emit = np.log(seen[:, 1] / seen[:, 1].sum()) - np.log(seen[:, 0] / seen[:, 0].sum())
-        pair = counts[_PAIRS:_ROOT].reshape(2, 2) + prior
+    #: Log odds that one feature gives at most: what training pages happen to
+    #: lack (say, links in the text) must not outweigh the parent's label.
+    MOST = 2.0
+
+    def __init__(self, counts: np.ndarray, prior: float = 1.0):
+        seen = counts[:_PAIRS].reshape(FEATURES, 2)
+        sums = seen.sum(0) + 1
+        seen = seen + prior * sums / sums.sum()  # what was never seen says nothing
+        emit = np.log(seen[:, 1] / sums[1]) - np.log(seen[:, 0] / sums[0])
+        self.emit = np.clip(emit, -self.MOST, self.MOST)
+        for name in ("t:article", "t:main"):
+            self.emit[_place(name)] = 10 * self.MOST
+        pair = counts[_PAIRS:_ROOT].reshape(2, 2) + np.array([[100.0, 1.0], [1.0, 100.0]])  # children mostly follow
         self.pair = np.log(pair / pair.sum(1, keepdims=True))
         root = counts[_ROOT:] + prior
         self.root = np.log(root / root.sum())
@@ -279,13 +290,14 @@ def main_texts(pages: list[str], model: Model) -> list[str]:
     trees = [Tree(p) for p in pages]
     sizes = np.array([len(t.tags) for t in trees])
     first = np.concatenate(([0], np.cumsum(sizes)))
+    never = np.concatenate([barred(t) for t in trees])
     parents = np.concatenate([np.where(np.array(t.parents) < 0, -1, np.array(t.parents) + f) for t, f in zip(trees, first)])
+    parents[never] = -1  # known, so they say nothing about their parents
     odds = np.zeros(first[-1])
     for t, f in zip(trees, first):
         element, feature = observed(t)
         np.add.at(odds, element + f, model.emit[feature])
-    odds[np.concatenate([barred(t) for t in trees])] = -60.0
-    content = model.marginals(parents, odds) > 0.5
+    content = (model.marginals(parents, odds) > 0.5) & ~never
     return [_join(t, content[f : f + n]) for t, f, n in zip(trees, first, sizes)]
 
 

@@ -98,7 +98,7 @@ def test_packing_odd_rows(odd, tokenizer):
 
 def test_plan_places_every_piece_once():
     rng = np.random.default_rng(1)
-    for histogram in ({}, {256: 5}, {1: 1}, {200: 7, 57: 3}, {int(c): int(n) for c, n in zip(range(1, 257), rng.integers(0, 90, 256))}):
+    for histogram in ({}, {256: 5}, {1: 1}, {200: 7, 57: 3}, {int(c): int(n) for c, n in zip(range(1, 101), rng.integers(0, 300, 100))}):
         rows = plan(histogram, 256)
         placed, load = collections.Counter(), collections.Counter()
         for c, lo, hi, each, first in rows:
