@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -17,12 +17,9 @@ class PipelineConfig:
     swap_market_dates: bool = True
     # Final ORDER BY of the timeline / spine views (a global range shuffle).
     ordered: bool = False
-    # Ordered scans (ownership timeline, point-in-time lookup, email current
-    # flag): "range" (skew-safe range-partitioned scan), "window"
-    # (Window.partitionBy(group)), or "auto": window when Catalyst estimates
-    # the input at spark.sql.files.maxPartitionBytes (128 MB default) or
-    # less (then no group can outgrow one task), else range.
-    scan_strategy: str = "auto"
+    # Ownership timeline: "buckets" (two levels of windows, the same plan at
+    # every size) or "window" (Window.partitionBy(handle), to compare with).
+    scan_strategy: str = "buckets"
     # Email dimension: "one_pass" (single aggregate) or "two_pass"
     # (aggregate + top-1 + join, as written in the reference).
     email_strategy: str = "one_pass"
@@ -36,14 +33,13 @@ class PipelineConfig:
     # Deployment environment for schema naming ("prod" upper-cases folders).
     env: str = "dev"
     base_schema: str = "analytics"
-    extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
         if self.null_rank not in ("first", "last"):
             raise ValueError(f"null_rank must be 'first' or 'last', got {self.null_rank!r}")
         if self.cast_mode not in ("strict", "lenient"):
             raise ValueError(f"cast_mode must be 'strict' or 'lenient', got {self.cast_mode!r}")
-        if self.scan_strategy not in ("auto", "range", "window"):
+        if self.scan_strategy not in ("buckets", "window"):
             raise ValueError(f"unknown scan_strategy {self.scan_strategy!r}")
         if self.email_strategy not in ("one_pass", "two_pass"):
             raise ValueError(f"unknown email_strategy {self.email_strategy!r}")

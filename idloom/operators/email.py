@@ -12,10 +12,9 @@ from ONE hash aggregate (``min`` over a packed ordering key, see
 one scan per source. The "two_pass" form
 (aggregate, top-1 per pair, join) mirrors the original text and is kept as a
 reference for tests and benchmarks. The per-creator flag compares each pair
-with the creator's ``max(updated_at)``, carried to every pair by the
-skew-safe ordered scan (``ordered.group_scan``), so a hot creator id (e.g. the
-blank id kept by the cleaning layer) is split over several tasks instead of
-landing in one window or join partition.
+with the creator's ``max(updated_at)`` in a join that adaptive execution can
+split, so a hot creator id (e.g. the blank id kept by the cleaning layer) need
+not land in one task.
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 
 from idloom.config import PipelineConfig
 from idloom.functions.keys import email_key
-from idloom.operators.ordered import group_scan
+from idloom.operators.ordered import ntz_micros
 
 # Fixed values: (cleaned model, source tag, id, email, created, updated)
 EMAIL_SOURCES = (
@@ -55,17 +54,6 @@ _WIDTH = 2 ** 60
 SOURCE_TAGS = tuple(sorted(tag for _, tag, *_ in EMAIL_SOURCES))
 
 
-def ntz_micros(col) -> Column:
-    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, independent of the
-    session time zone (casting NTZ to TIMESTAMP would apply it, and in a zone
-    with daylight saving two wall-clock times could collide)."""
-    c = F.col(col) if isinstance(col, str) else col
-    days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
-    secs = F.hour(c).cast("long") * 3600 + F.minute(c).cast("long") * 60
-    frac = (F.date_part(F.lit("SECOND"), c) * 1000000).cast("long")
-    return days * 86400000000 + secs * 1000000 + frac
-
-
 def _desc_rank(ts: str, null_rank: str) -> Column:
     desc = F.lit(_SPAN) - (ntz_micros(ts) + F.lit(_SHIFT))
     null_value = 0 if null_rank == "first" else _SPAN
@@ -142,42 +130,34 @@ def email_pairs(obs: DataFrame, config: PipelineConfig | None = None) -> DataFra
                        "created_at", "updated_at"))
 
 
-def flag_latest_per_creator(pairs: DataFrame, flag: str = "is_current",
-                            strategy: str = "scan", scan_strategy: str = "auto") -> DataFrame:
+def flag_latest_per_creator(pairs: DataFrame, flag: str = "is_current", strategy: str = "join") -> DataFrame:
     """``flag`` = the pair's updated_at equals the creator's max updated_at
     (NULL compares as false, so a creator whose dates are all NULL has no
     current row and ties are all current).
 
-    "scan" (default): the creator's max is the first value of the group in
-    ``updated_at DESC NULLS LAST`` order, carried to every row by the
-    skew-safe ordered scan, so a creator id holding a third of all pairs is
-    split over several tasks. "join": per-creator aggregate joined back (the
-    final aggregate sits between the join and its shuffle, so AQE's skew
-    join cannot split a hot id). "window": ``max`` over
-    ``Window.partitionBy(tiktok_id)`` (one task per creator).
+    "join" (default): the per-creator maximum, a partial aggregate, joined
+    back. The join also compares a hash of the id, so that the aggregate's own
+    shuffle does not serve it: with a shuffle right below each side, adaptive
+    execution splits a hot id, whatever its dates. "window": ``max`` over
+    ``Window.partitionBy(tiktok_id)`` (one task per creator), to compare with.
     """
     if strategy == "window":
         mx = F.max("updated_at").over(Window.partitionBy("tiktok_id"))
         return pairs.withColumn(flag, F.coalesce(F.col("updated_at") == mx, F.lit(False)))
-    if strategy == "join":
-        per_id = pairs.groupBy("tiktok_id").agg(F.max("updated_at").alias("_max_upd"))
-        return (pairs.join(per_id, "tiktok_id", "left")
-                     .withColumn(flag, F.coalesce(F.col("updated_at") == F.col("_max_upd"), F.lit(False)))
-                     .drop("_max_upd"))
-    if strategy != "scan":
+    if strategy != "join":
         raise ValueError(f"unknown strategy {strategy!r}")
-    scanned = group_scan(pairs, "tiktok_id", [F.col("updated_at").desc_nulls_last()],
-                         first={"_max_upd": "updated_at"}, strategy=scan_strategy)
-    return (scanned.withColumn(flag, F.coalesce(F.col("updated_at") == F.col("_max_upd"), F.lit(False)))
-                   .drop("_max_upd"))
+    per_id = pairs.groupBy("tiktok_id").agg(F.max("updated_at").alias("_max_upd"))
+    both = [df.withColumn("_hash", F.xxhash64("tiktok_id")) for df in (pairs, per_id)]
+    return (both[0].join(both[1], ["tiktok_id", "_hash"], "left")
+                   .withColumn(flag, F.coalesce(F.col("updated_at") == F.col("_max_upd"), F.lit(False)))
+                   .select(*pairs.columns, flag))
 
 
 def email_dimension(clean: dict[str, DataFrame], config: PipelineConfig | None = None) -> DataFrame:
     config = config or PipelineConfig()
-    # One consumer (the ordered scan). Its range sampler and its shuffle both
-    # read the pair aggregate's shuffle output, so the sources are scanned once.
+    # Both uses of the pairs read one shuffle, so the sources are scanned once.
     pairs = email_pairs(email_observations(clean), config)
-    flagged = flag_latest_per_creator(pairs, scan_strategy=config.scan_strategy)
+    flagged = flag_latest_per_creator(pairs)
     return flagged.select(
         email_key("tiktok_id", "email", config.email_key_style).alias("creator_email_id"),
         "tiktok_id", "email", "data_source", "created_at", "updated_at", "is_current")

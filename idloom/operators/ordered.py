@@ -1,333 +1,34 @@
-"""Ordered scans within groups that stay balanced when one group is huge.
-
-``Window.partitionBy(g).orderBy(...)`` sends every row of a group to one task.
-When a single handle (say a junk value shared by millions of ids) holds a
-third of the rows, that task becomes the whole job. ``group_scan`` computes
-the same per-group results without that limit:
-
-1. ``repartitionByRange`` on (group, order keys) followed by a sort within
-   partitions: the data is globally ordered and a hot group is split over
-   several range partitions by its order keys.
-2. ``mapInArrow`` scans each partition once (vectorised Arrow compute and
-   numpy, one task per range partition) and computes the results within the partition, with
-   flags marking the rows whose value depends on an earlier or later
-   partition.
-3. The scanned rows are written once to the shared checkpoint folder
-   (``session.materialize``): the range bounds come from sampling, so the
-   two readers below must see one evaluation, and the copy also survives a
-   lost executor.
-4. Only the first and last row of each partition (at most two rows per
-   partition) are gathered into one small task that resolves the carries in
-   partition order. The resulting table has one row per range partition, so
-   its broadcast size is bounded by the partition count, not by the data.
-5. A broadcast join on the partition id patches the flagged rows.
-
-Strategy: "range" is the scan above; "window" computes the same results with
-``Window.partitionBy(group)``; "auto" (default) uses "window" only when
-Catalyst's size estimate of the whole input is at most one scan task's share
-of file data (``spark.sql.files.maxPartitionBytes``, 128 MB by default). No
-group can be larger than the whole input, so one task per group is then no
-bigger than a task Spark itself would plan, and the cheaper plan is safe.
-
-Supported results (all within the group, in the given order):
-  lead   value of a column on the next row
-  first  value of a column on the first row
-  ffill  value of a column on the latest row at or before this one whose
-         marker column is true (as-of lookup)
+"""Time buckets for ordered lookups within keys of any size.
+
+``Window.partitionBy(key).orderBy(time)`` sends all rows of a key to one task.
+The lookups here go in two levels instead, with the same plan at every size:
+windows over (key, hour) see the rows of one hour, windows over the key see
+one row for each of its hours, and the two are joined on (key, hour). Rows that
+tie on (key, time) are aggregated before, and meet their result in an equi-join
+whose two sides have shuffles of their own, which Spark's adaptive execution
+splits when one key is hot.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from idloom.session import materialize
-
-def _ship_by_value() -> None:
-    """Serialise this module's task functions by value, so Python workers do
-    not need the package on their path (a cluster can also ship it with
-    ``--py-files``). Without this, cloudpickle refers to the functions by
-    module name, and a worker started outside the repository fails with
-    ModuleNotFoundError."""
-    import sys
-
-    try:
-        from pyspark import cloudpickle
-
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    except Exception:  # older cloudpickle: fall back to by-reference
-        pass
-
-
-_ship_by_value()
-
-_PID, _FR, _LR, _FRUN, _SEEN = "_gs_pid", "_gs_first_row", "_gs_last_row", "_gs_first_run", "_gs_seen"
-_HAS, _CSEEN = "_gs_carry", "_gs_carry_seen"
-
-
-def _sort_exprs(group: str, order) -> list[Column]:
-    exprs = [F.col(group).asc_nulls_last()]
-    for o in order:
-        exprs.append(F.col(o).asc_nulls_last() if isinstance(o, str) else o)
-    return exprs
-
-
-_OUT_SLICE = 65536  # rows per output Arrow batch
-
-
-def _local_scan(group, lead, first, ffill, marker):
-    """Per-partition scan over Arrow arrays; returns the mapInArrow function.
-
-    All work is vectorised (Arrow compute and numpy): runs of equal group
-    values are found by comparing each row with the previous one; ``lead`` is
-    a shifted copy masked at run ends; ``first`` gathers each run's first
-    value; ``ffill`` takes the latest marker position at or before each row
-    with a running maximum and keeps it only while it lies in the row's run.
-    """
-
-    def scan(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        from pyspark import TaskContext
-
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        tbl = pa.Table.from_batches(batches).combine_chunks()
-        n = tbl.num_rows
-
-        def col(name):
-            c = tbl.column(name)
-            return c.chunk(0) if c.num_chunks == 1 else pa.concat_arrays(c.chunks)
-
-        g = col(group)
-        if n > 1:
-            cur, prev = g.slice(1), g.slice(0, n - 1)
-            same = pc.or_(pc.fill_null(pc.equal(cur, prev), False),
-                          pc.and_(pc.is_null(cur), pc.is_null(prev)))
-            same = same.to_numpy(zero_copy_only=False)
-        else:
-            same = np.zeros(0, dtype=bool)
-        prev_same = np.concatenate([[False], same])
-        next_same = pa.array(np.concatenate([same, [False]]))
-        run_start = ~prev_same
-        run_id = np.cumsum(run_start)
-        row_run_start = np.flatnonzero(run_start)[run_id - 1]
-
-        names, arrays = list(tbl.column_names), [col(c) for c in tbl.column_names]
-        for out, src in lead.items():
-            v = col(src)
-            shifted = pa.concat_arrays([v.slice(1), pa.nulls(1, v.type)])
-            names.append(out)
-            arrays.append(pc.if_else(next_same, shifted, pa.nulls(n, v.type)))
-        for out, src in first.items():
-            names.append(out)
-            arrays.append(pc.take(col(src), pa.array(row_run_start)))
-        if ffill:
-            m = pc.fill_null(col(marker), False).to_numpy(zero_copy_only=False)
-            last = np.maximum.accumulate(np.where(m, np.arange(n), -1))
-            seen = last >= row_run_start
-            take = pa.array(np.where(seen, last, 0))
-            seen_arr = pa.array(seen)
-            for out, src in ffill.items():
-                v = col(src)
-                names.append(out)
-                arrays.append(pc.if_else(seen_arr, pc.take(v, take), pa.nulls(n, v.type)))
-        else:
-            seen_arr = pa.array(np.zeros(n, dtype=bool))
-        flags = np.zeros(n, dtype=bool)
-        first_row, last_row = flags.copy(), flags.copy()
-        first_row[0], last_row[n - 1] = True, True
-        names += [_SEEN, _PID, _FR, _LR, _FRUN]
-        arrays += [seen_arr, pa.array(np.full(n, TaskContext.get().partitionId(), dtype=np.int32)),
-                   pa.array(first_row), pa.array(last_row), pa.array(run_id == 1)]
-        out = pa.RecordBatch.from_arrays(arrays, names=names)
-        for off in range(0, n, _OUT_SLICE):
-            yield out.slice(off, _OUT_SLICE)
-
-    return scan
-
-
-def _same(a, b) -> bool:
-    """Group equality where NULL equals NULL (NULL keys form one group)."""
-    a_null, b_null = a is None or a != a, b is None or b != b
-    return (a_null and b_null) or (not a_null and not b_null and a == b)
-
-
-def _resolve(group, lead, first, ffill):
-    """Single-task resolution of carries over the partition boundary rows."""
-
-    def resolve(batches):
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        # Plain dicts: this loop is sequential over up to two rows per range
-        # partition, so it must stay cheap per row even for 10^5 partitions.
-        firsts = {int(r[_PID]): r for r in pdf[pdf[_FR]].to_dict("records")}
-        lasts = {int(r[_PID]): r for r in pdf[pdf[_LR]].to_dict("records")}
-        pids = sorted(firsts)
-        recs = []
-        state = None  # (group value, {first out: value}, {ffill out: value}, seen)
-        for i, p in enumerate(pids):
-            fr, lr = firsts[p], lasts[p]
-            carry = state if state is not None and _same(state[0], fr[group]) else None
-            rec = {_PID: p, _HAS: carry is not None,
-                   _CSEEN: bool(carry[3]) if carry is not None else False}
-            for out in first:
-                rec["_gs_cf_" + out] = carry[1][out] if carry is not None else None
-            for out in ffill:
-                rec["_gs_cff_" + out] = carry[2][out] if carry is not None and carry[3] else None
-            nxt = firsts[pids[i + 1]] if i + 1 < len(pids) else None
-            for out, src in lead.items():
-                rec["_gs_cn_" + out] = nxt[src] if nxt is not None and _same(nxt[group], lr[group]) else None
-            recs.append(rec)
-            if bool(lr[_FRUN]) and carry is not None:
-                fvals = carry[1]
-                if bool(lr[_SEEN]):
-                    ffv, seen = {o: lr[o] for o in ffill}, True
-                else:
-                    ffv, seen = carry[2], carry[3]
-            else:
-                fvals = {o: lr[o] for o in first}
-                ffv, seen = {o: lr[o] for o in ffill}, bool(lr[_SEEN])
-            state = (lr[group], fvals, ffv, seen)
-        out = pd.DataFrame.from_records(recs)
-        for c in out.columns:
-            if out[c].dtype == object:
-                out[c] = out[c].where(out[c].notna(), None)
-        yield out
-
-    return resolve
-
-
-# Inputs whose estimated size is at most one scan task's share of file data
-# (``spark.sql.files.maxPartitionBytes``, 128 MB by default) use the window
-# form: no group can be larger than the whole input, so one task per group is
-# then no bigger than a task Spark itself would plan.
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-
-
-def _parse_bytes(text: str) -> int:
-    import re
-
-    m = re.fullmatch(r"\s*(\d+)\s*([kmgt]?)b?\s*", str(text).lower())
-    if not m:
-        raise ValueError(f"not a byte size: {text!r}")
-    return int(m.group(1)) * _UNITS[m.group(2)]
-
-
-def window_budget_bytes(spark) -> int:
-    return _parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (from file sizes; None if unknown)."""
-    try:
-        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except Exception:  # no JVM handle (e.g. Spark Connect): treat as large
-        return None
-    return int(v) if isinstance(v, int) else int(v.toString())
-
-
-def choose_strategy(df: DataFrame, strategy: str = "auto",
-                    window_max_bytes: int | None = None) -> str:
-    if strategy != "auto":
-        return strategy
-    if window_max_bytes is None:
-        window_max_bytes = window_budget_bytes(df.sparkSession)
-    est = estimated_bytes(df)
-    return "window" if est is not None and est <= window_max_bytes else "range"
-
-
-def _window_scan(df: DataFrame, group: str, order, lead: dict, first: dict, ffill: dict,
-                 marker: str | None) -> DataFrame:
-    """The same results with ``Window.partitionBy(group)`` (one task per group)."""
-    w = Window.partitionBy(group).orderBy(*_sort_exprs(group, order)[1:])
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = [F.col(c) for c in df.columns]
-    cols += [F.lead(src).over(w).alias(out) for out, src in lead.items()]
-    cols += [F.first(src).over(whole).alias(out) for out, src in first.items()]
-    if ffill:
-        row = F.when(F.col(marker), F.struct(*[F.col(src).alias(out) for out, src in ffill.items()]))
-        cols.append(F.last(row, ignorenulls=True).over(upto).alias("_gs_ff"))
-    out = df.select(*cols)
-    if ffill:
-        out = out.select(*df.columns, *lead, *first,
-                         *[F.col("_gs_ff")[o].alias(o) for o in ffill])
-    return out
-
 
-def group_scan(df: DataFrame, group: str, order, *, lead: dict | None = None,
-               first: dict | None = None, ffill: dict | None = None,
-               marker: str | None = None, num_partitions: int | None = None,
-               strategy: str = "auto", window_max_bytes: int | None = None) -> DataFrame:
-    """Add per-group ordered results to ``df`` (see module docstring).
+_HOUR = 3_600_000_000
 
-    ``order``: column names (ascending, NULLs last) or sort expressions.
-    ``lead`` / ``first`` / ``ffill``: ``{output column: source column}``.
-    ``marker``: boolean column selecting the rows ``ffill`` may pick.
-    ``strategy``: "range" (the skew-safe scan), "window"
-    (``Window.partitionBy(group)``) or "auto" (default): "window" when
-    Catalyst estimates the whole input at ``window_max_bytes`` or less
-    (default ``spark.sql.files.maxPartitionBytes``), since then no group can
-    outgrow one task, else "range".
-    ``num_partitions``: range partitions (default: shuffle partitions, which
-    AQE may merge). The Python worker holds one range partition in Arrow
-    memory (about 2-3x its size with the outputs), so size partitions at a
-    few hundred MB at most.
-    """
-    lead, first, ffill = dict(lead or {}), dict(first or {}), dict(ffill or {})
-    if ffill and not marker:
-        raise ValueError("ffill needs a marker column")
-    strategy = choose_strategy(df, strategy, window_max_bytes)
-    if strategy == "window":
-        return _window_scan(df, group, order, lead, first, ffill, marker)
-    if strategy != "range":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    spark = df.sparkSession
-    sort = _sort_exprs(group, order)
-    # Without an explicit count AQE may merge adjacent small range partitions;
-    # merged partitions stay contiguous, so partition order is still data order.
-    rp = df.repartitionByRange(num_partitions, *sort) if num_partitions else df.repartitionByRange(*sort)
-    srt = rp.sortWithinPartitions(*sort)
 
-    fields = {f.name: f for f in df.schema.fields}
-    out_fields = list(df.schema.fields)
-    for spec in (lead, first, ffill):
-        for out, src in spec.items():
-            out_fields.append(T.StructField(out, fields[src].dataType, True))
-    out_fields += [T.StructField(_SEEN, T.BooleanType()), T.StructField(_PID, T.IntegerType()),
-                   T.StructField(_FR, T.BooleanType()), T.StructField(_LR, T.BooleanType()),
-                   T.StructField(_FRUN, T.BooleanType())]
-    scanned = srt.mapInArrow(_local_scan(group, lead, first, ffill, marker),
-                             T.StructType(out_fields))
-    scanned = materialize(scanned, "group-scan")
+def ntz_micros(col) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, independent of the
+    session time zone (casting NTZ to TIMESTAMP would apply it, and in a zone
+    with daylight saving two wall-clock times could collide)."""
+    c = F.col(col) if isinstance(col, str) else col
+    days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    secs = F.hour(c).cast("long") * 3600 + F.minute(c).cast("long") * 60
+    frac = (F.date_part(F.lit("SECOND"), c) * 1000000).cast("long")
+    return days * 86400000000 + secs * 1000000 + frac
 
-    carry_fields = [T.StructField(_PID, T.IntegerType()), T.StructField(_HAS, T.BooleanType()),
-                    T.StructField(_CSEEN, T.BooleanType())]
-    carry_fields += [T.StructField("_gs_cf_" + o, fields[s].dataType) for o, s in first.items()]
-    carry_fields += [T.StructField("_gs_cff_" + o, fields[s].dataType) for o, s in ffill.items()]
-    carry_fields += [T.StructField("_gs_cn_" + o, fields[s].dataType) for o, s in lead.items()]
-    need = list(dict.fromkeys([_PID, group, _FR, _LR, _FRUN, _SEEN, *lead.values(),
-                               *first.keys(), *ffill.keys()]))
-    boundary = scanned.filter(F.col(_FR) | F.col(_LR)).select(*need)
-    carries = boundary.repartition(1).mapInPandas(_resolve(group, lead, first, ffill),
-                                                  T.StructType(carry_fields))
 
-    # One row per range partition: the broadcast is bounded by n.
-    j = scanned.join(F.broadcast(carries), _PID, "left")
-    has = F.coalesce(F.col(_HAS), F.lit(False))
-    sets = {}
-    for out in lead:
-        sets[out] = F.when(F.col(_LR), F.col("_gs_cn_" + out)).otherwise(F.col(out))
-    for out in first:
-        sets[out] = F.when(F.col(_FRUN) & has, F.col("_gs_cf_" + out)).otherwise(F.col(out))
-    for out in ffill:
-        sets[out] = F.when(F.col(_FRUN) & ~F.col(_SEEN) & has, F.col("_gs_cff_" + out)).otherwise(F.col(out))
-    keep = [f.name for f in df.schema.fields]
-    return j.select(*[F.col(c) for c in keep], *[sets[o].alias(o) for o in (*lead, *first, *ffill)])
+def hour_bucket(col) -> Column:
+    """Hours since 1970-01-01, rounded down: grows with the time."""
+    micros = ntz_micros(col)
+    return (micros - F.pmod(micros, F.lit(_HOUR))) / F.lit(_HOUR).cast("double")

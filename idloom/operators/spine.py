@@ -97,16 +97,14 @@ def spine_from_parts(current: DataFrame, ids_only: DataFrame, handles_only: Data
                     "first_observed_at")
 
 
-def creator_spine(obs: DataFrame, config: PipelineConfig | None = None,
-                  num_partitions: int | None = None) -> DataFrame:
+def creator_spine(obs: DataFrame, config: PipelineConfig | None = None) -> DataFrame:
     config = config or PipelineConfig()
     from idloom.session import materialize
 
     # The summary feeds three consumers; writing it once to the shared
     # checkpoint folder means the raw sources are scanned once.
     summary = materialize(observation_summary(obs), "observation-summary")
-    tl = timeline_from_pairs(pairs_from_summary(summary), strategy=config.scan_strategy,
-                             num_partitions=num_partitions)
+    tl = timeline_from_pairs(pairs_from_summary(summary), strategy=config.scan_strategy)
     current = tl.filter(F.col("is_current_owner")).select(
         "handle_name", "tiktok_id", F.col("handle_start").alias("first_observed_at"))
     spine = spine_from_parts(current, keys_never_with(summary, "tiktok_id"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from idloom.config import PipelineConfig
 from idloom.operators.observe import observed_at
-from idloom.operators.ordered import group_scan
+from idloom.operators.ordered import hour_bucket
 
 
 def first_seen_pairs(obs: DataFrame, key: str = "handle_name", owner: str = "tiktok_id",
@@ -32,35 +32,53 @@ def first_seen_pairs(obs: DataFrame, key: str = "handle_name", owner: str = "tik
 def timeline_from_pairs(pairs: DataFrame, key: str = "handle_name", owner: str = "tiktok_id",
                         start: str = "handle_start", end: str = "handle_end",
                         first_col: str = "created_at", flag: str = "is_current_owner",
-                        strategy: str = "auto", num_partitions: int | None = None) -> DataFrame:
+                        strategy: str = "buckets") -> DataFrame:
     """Add ``end`` (next pair's start), ``first_col`` (the key's first start)
-    and ``flag`` (no end = current owner) to the first-sighting pairs.
+    and ``flag`` (no end = current owner) to the first-sighting pairs, which
+    are unique by (key, owner).
 
-    ``strategy``: "auto" / "range" go through ``ordered.group_scan`` (skew-safe
-    above one scan task's share of data); "window" is the plain
-    ``Window.partitionBy(key)`` form.
+    "buckets" (default): see ``ordered``; "window" is the plain
+    ``Window.partitionBy(key)`` form, kept to compare with.
     """
     if strategy == "window":
         w = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_last(), F.col(owner).asc_nulls_last())
         out = (pairs.withColumn(end, F.lead(start).over(w))
                     .withColumn(first_col, F.min(start).over(Window.partitionBy(key))))
-    elif strategy in ("range", "auto"):
-        # min(start) over the key = start of the key's first row, because the
-        # order puts NULL starts last.
-        out = group_scan(pairs, key, [start, owner], lead={end: start}, first={first_col: start},
-                         num_partitions=num_partitions, strategy=strategy)
+    elif strategy == "buckets":
+        nexts = _next_starts(pairs, key, owner, start, first_col)
+        same = (F.col(f"p.{key}") == F.col(f"n.{key}")) & F.col(f"p.{start}").eqNullSafe(F.col(f"n.{start}"))
+        # all but the last owner of a start are followed by that start again
+        later = F.when(F.col(f"p.{owner}") < F.col("_last"), F.col(f"p.{start}")).otherwise(F.col("_next"))
+        out = (pairs.alias("p").join(nexts.alias("n"), same, "left")
+                    .select("p.*", F.col(f"n.{first_col}"), later.alias(end)))
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return out.select(key, owner, first_col, start, end, F.col(end).isNull().alias(flag))
 
 
-def ownership_timeline(obs: DataFrame, config: PipelineConfig | None = None,
-                       num_partitions: int | None = None) -> DataFrame:
+def _next_starts(pairs: DataFrame, key: str, owner: str, start: str, first_col: str) -> DataFrame:
+    """(key, start, _last, _next, first): each distinct start of a key with its
+    last owner, the key's next distinct start and its first one; and one row
+    with a NULL start for each key that has a dated pair."""
+    starts = (pairs.filter(F.col(start).isNotNull()).groupBy(key, start).agg(F.max(owner).alias("_last"))
+                   .withColumn("_hour", hour_bucket(start)))
+    starts = starts.withColumn("_next", F.lead(start).over(Window.partitionBy(key, "_hour").orderBy(start)))
+    hours = starts.groupBy(key, "_hour").agg(F.min(start).alias("_head"))
+    hours = hours.select(key, "_hour", F.lead("_head").over(Window.partitionBy(key).orderBy("_hour")).alias("_after"),
+                         F.min("_head").over(Window.partitionBy(key)).alias(first_col))
+    dated = starts.join(hours, [key, "_hour"]).select(
+        key, start, "_last", F.coalesce("_next", "_after").alias("_next"), first_col)
+    undated = hours.groupBy(key).agg(F.min(first_col).alias(first_col)).select(
+        key, F.lit(None).cast("timestamp_ntz").alias(start), F.lit(None).cast("string").alias("_last"),
+        F.lit(None).cast("timestamp_ntz").alias("_next"), first_col)
+    return dated.unionByName(undated)
+
+
+def ownership_timeline(obs: DataFrame, config: PipelineConfig | None = None) -> DataFrame:
     """``(handle_name, tiktok_id, created_at, handle_start, handle_end,
     is_current_owner)`` from the observation map."""
     config = config or PipelineConfig()
-    tl = timeline_from_pairs(first_seen_pairs(obs), strategy=config.scan_strategy,
-                             num_partitions=num_partitions)
+    tl = timeline_from_pairs(first_seen_pairs(obs), strategy=config.scan_strategy)
     if config.ordered:
         tl = tl.orderBy(F.col("handle_name").asc_nulls_last(), F.col("handle_start").asc_nulls_last())
     return tl

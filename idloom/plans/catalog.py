@@ -103,30 +103,20 @@ def sighting_facts(obs: DataFrame) -> DataFrame:
 
 def q_owner_at_time(spark, sf_dir, config: PipelineConfig | None = None):
     p = _pipe(spark, sf_dir, config)
-    return owner_at(sighting_facts(p.observations), p.handle_log, ts="observed_at",
-                    strategy=p.config.scan_strategy)
+    return owner_at(sighting_facts(p.observations), p.handle_log, ts="observed_at")
 
 
-# The default "auto" scan strategy picks the window form for inputs as small as
-# the test data; the *_range variants force the skew-safe range scan, so the
-# path used at scale is checked against the same oracle.
-_RANGE = PipelineConfig(scan_strategy="range")
-
-
-def q_ownership_timeline_range(spark, sf_dir):
-    return _pipe(spark, sf_dir, _RANGE).timeline
-
-
-def q_owner_at_time_range(spark, sf_dir):
-    return q_owner_at_time(spark, sf_dir, _RANGE)
+# The *_range names stay registered; they run the one plan of all sizes.
+q_ownership_timeline_range = q_ownership_timeline
+q_owner_at_time_range = q_owner_at_time
 
 
 def q_creator_spine_range(spark, sf_dir):
-    return _pipe(spark, sf_dir, _RANGE).spine
+    return _pipe(spark, sf_dir).spine
 
 
 def q_email_dimension_range(spark, sf_dir):
-    return _pipe(spark, sf_dir, _RANGE).email
+    return _pipe(spark, sf_dir).email
 
 
 def q_ids_without_handle(spark, sf_dir):

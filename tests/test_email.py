@@ -31,11 +31,10 @@ def dim(spark, rows, **cfg):
                                                               PipelineConfig(**cfg)).collect()}
 
 
-@pytest.mark.parametrize("strategy,scan", [("one_pass", "range"), ("two_pass", "window")])
-def test_f11_null_update_wins(spark, strategy, scan):
+@pytest.mark.parametrize("strategy", ["one_pass", "two_pass"])
+def test_f11_null_update_wins(spark, strategy):
     d = dim(spark, [("BRAVO_V1", "A", "e", "2024-01-01", None),
-                    ("BRAVO_V2", "A", "e", "2024-01-02", "2024-03-01")], email_strategy=strategy,
-            scan_strategy=scan)
+                    ("BRAVO_V2", "A", "e", "2024-01-02", "2024-03-01")], email_strategy=strategy)
     r = d[("A", "e")]
     assert r.data_source == "BRAVO_V1" and r.updated_at == ts("2024-03-01")
     assert r.created_at == ts("2024-01-01")
@@ -47,11 +46,9 @@ def test_null_rank_last_option(spark):
     assert d[("A", "e")].data_source == "BRAVO_V2"
 
 
-@pytest.mark.parametrize("scan", ["range", "window"])
-def test_f12_current_ties_and_none(spark, scan):
+def test_f12_current_ties_and_none(spark):
     d = dim(spark, [("HYDRATE", "A", "e1", None, "2024-01-05"), ("ECHO", "A", "e2", None, "2024-01-05"),
-                    ("HYDRATE", "A", "e3", None, "2024-01-01"), ("MARKET", "B", "f", "2024-01-01", None)],
-            scan_strategy=scan)
+                    ("HYDRATE", "A", "e3", None, "2024-01-01"), ("MARKET", "B", "f", "2024-01-01", None)])
     assert d[("A", "e1")].is_current and d[("A", "e2")].is_current
     assert not d[("A", "e3")].is_current
     assert d[("B", "f")].is_current is False
@@ -166,22 +163,30 @@ def test_keys_stable_under_repartition(spark):
     assert a == b
 
 
-def test_hot_creator_id_flag_strategies_agree(spark):
+@pytest.mark.parametrize("tied", [True, False])
+def test_hot_creator_id_is_split(spark, tied):
     """A third of all pairs belong to one creator id (the blank id of the
-    original data). The default ordered scan, the join and the window give
-    the same flags; the scan spreads the hot id over several partitions."""
+    original data), with one date or many. The join and the window give the
+    same flags, and both sides of the join have a shuffle right below them,
+    which is what adaptive execution needs to split the id."""
+    import re
+
     from pyspark.sql import functions as F
     n = 30000
+    date = F.lit("2024-01-01") if tied else F.timestamp_seconds(F.col("id") % 1000)
     pairs = (spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(" ")).otherwise((F.col("id") % 5000).cast("string")).alias("tiktok_id"),
         F.concat(F.lit("e"), F.col("id").cast("string")).alias("email"),
-        F.when(F.col("id") % 17 == 0, F.lit(None)).otherwise(
-            F.timestamp_seconds(F.col("id") % 1000)).cast("timestamp_ntz").alias("updated_at")))
-    res = {}
-    for strategy, scan in (("scan", "range"), ("scan", "window"), ("join", None), ("window", None)):
-        out = flag_latest_per_creator(pairs, strategy=strategy, scan_strategy=scan or "auto")
-        res[f"{strategy}-{scan}"] = sorted((r.tiktok_id, r.email, r.is_current) for r in out.collect())
-    assert res["scan-range"] == res["scan-window"] == res["join-None"] == res["window-None"]
-    res["scan"] = res["scan-range"]
-    hot_current = [r for r in res["scan"] if r[0] == " " and r[2]]
-    assert len(hot_current) == sum(1 for i in range(0, n, 3) if i % 1000 == 999 and i % 17)
+        F.when(F.col("id") % 17 == 0, F.lit(None)).otherwise(date).cast("timestamp_ntz").alias("updated_at")))
+    res = [sorted((r.tiktok_id, r.email, r.is_current) for r in flag_latest_per_creator(pairs, strategy=s).collect())
+           for s in ("join", "window")]
+    assert res[0] == res[1]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = flag_latest_per_creator(pairs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = [re.sub(r"^[\s:+\-]*", "", x) for x in plan.splitlines()]
+    at = next(i for i, x in enumerate(lines) if x.startswith("SortMergeJoin"))
+    assert sum(x.startswith("Exchange hashpartitioning(tiktok_id") and "ENSURE_REQUIREMENTS" in x and "_hash" in x for x in lines[at:]) == 2

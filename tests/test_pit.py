@@ -1,10 +1,11 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import ts
-from idloom.operators.pit import owner_at
+from idloom.operators.pit import overlapping_intervals, owner_at
 from idloom.operators.timeline import handle_log, timeline_from_pairs
 
 
@@ -21,9 +22,9 @@ def brute_force(facts, log):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("parts,strategy", [(1, "range"), (4, "range"), (12, "range"), (4, "window")])
-def test_owner_at_matches_range_join(spark, parts, strategy):
-    rnd = random.Random(parts)
+@pytest.mark.parametrize("seed", [1, 4])
+def test_owner_at_matches_range_join(spark, seed):
+    rnd = random.Random(seed)
     pairs = []
     for i in range(300):
         h = "hot" if rnd.random() < 0.5 else f"h{rnd.randrange(10)}"
@@ -37,30 +38,60 @@ def test_owner_at_matches_range_join(spark, parts, strategy):
                                                    if rnd.random() < 0.5 else f"2024-01-{rnd.randrange(1, 30):02d}"),
               n) for n in range(500)]
     fdf = spark.createDataFrame(facts, "handle string, ts timestamp_ntz, n long")
-    got = owner_at(fdf, log, ts="ts", num_partitions=parts, strategy=strategy)
+    got = owner_at(fdf, log, ts="ts")
     got = sorted((tuple(r) for r in got.select("handle", "ts", "n", "tiktok_id", "valid_from", "valid_to").collect()), key=str)
     want = brute_force(facts, [tuple(r) for r in log.select("tiktok_id", "handle", "valid_from", "valid_to").collect()])
     assert got == want
 
 
-@pytest.mark.parametrize("strategy", ["range", "window"])
-def test_start_inclusive_end_exclusive(spark, strategy):
+def test_start_inclusive_end_exclusive(spark):
     log = spark.createDataFrame([("A", "h", ts("2024-01-01"), ts("2024-02-01")),
                                  ("B", "h", ts("2024-02-01"), None)],
                                 "tiktok_id string, handle string, valid_from timestamp_ntz, valid_to timestamp_ntz")
     facts = spark.createDataFrame([("h", ts("2024-01-01")), ("h", ts("2024-02-01")), ("h", ts("2023-12-31")),
                                    ("x", ts("2024-01-01"))], "handle string, ts timestamp_ntz")
-    got = {(r.ts, r.handle): r.tiktok_id for r in owner_at(facts, log, strategy=strategy).collect()}
+    got = {(r.ts, r.handle): r.tiktok_id for r in owner_at(facts, log).collect()}
     assert got == {(ts("2024-01-01"), "h"): "A", (ts("2024-02-01"), "h"): "B",
                    (ts("2023-12-31"), "h"): None, (ts("2024-01-01"), "x"): None}
 
 
-@pytest.mark.parametrize("strategy", ["range", "window"])
-def test_facts_without_handle_or_time_pass_through(spark, strategy):
+def test_facts_without_handle_or_time_pass_through(spark):
     log = spark.createDataFrame([("A", "h", ts("2024-01-01"), None)],
                                 "tiktok_id string, handle string, valid_from timestamp_ntz, valid_to timestamp_ntz")
     facts = spark.createDataFrame([(None, ts("2024-02-01"), 1), ("h", None, 2), ("h", ts("2024-02-01"), 3)],
                                   "handle string, ts timestamp_ntz, n int")
-    got = {r.n: r.tiktok_id for r in owner_at(facts, log, strategy=strategy).collect()}
+    got = {r.n: r.tiktok_id for r in owner_at(facts, log).collect()}
     assert got == {1: None, 2: None, 3: "A"}
-    assert owner_at(facts, log, strategy=strategy).columns == ["handle", "ts", "n", "tiktok_id", "valid_from", "valid_to"]
+    assert owner_at(facts, log).columns == ["handle", "ts", "n", "tiktok_id", "valid_from", "valid_to"]
+
+
+LOG = "tiktok_id string, handle string, valid_from timestamp_ntz, valid_to timestamp_ntz"
+
+
+def test_outermost_dates_and_clashing_columns(spark):
+    log = spark.createDataFrame([("A", "h", ts("0001-01-01"), ts("1500-06-01")), ("B", "h", ts("1500-06-01"), ts("9999-12-31")),
+                                 ("C", "h", ts("9999-12-31"), None)], LOG)
+    facts = [("h", ts(t), i, 9007199254740993 + i) for i, t in enumerate(
+        ("0001-01-01", "0001-01-02", "1500-05-31 23:59:59", "1500-06-01", "2024-01-01", "9999-12-30", "9999-12-31"))]
+    df = spark.createDataFrame(facts, "handle string, ts timestamp_ntz, _hour int, big long")
+    got = {r._hour: (r.tiktok_id, r.big) for r in owner_at(df, log).collect()}
+    assert got == {i: (o, 9007199254740993 + i) for i, o in enumerate("AAABBBC")}
+
+
+def test_overlapping_intervals_are_reported(spark):
+    log = spark.createDataFrame([("A", "h", ts("2024-01-01"), None), ("B", "h", ts("2024-02-01"), None), ("A", "k", ts("2024-01-01"), ts("2024-02-01")),
+                                 ("B", "k", ts("2024-02-01"), None), ("C", "k", ts("2024-02-01"), ts("2024-02-01")), ("D", "u", None, None)], LOG)
+    assert [tuple(r) for r in overlapping_intervals(log).collect()] == [("h", 2)]
+
+
+def test_tied_facts_of_a_hot_handle_are_joined_not_gathered(spark):
+    """Neither a window nor an aggregate holds the facts: both see distinct times."""
+    log = spark.createDataFrame([("A", "hot", ts("2024-01-01"), None)], LOG)
+    facts = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("h"), "id")).alias("handle"),
+                                     F.lit(ts("2024-03-01")).cast("timestamp_ntz").alias("ts"), F.col("id").alias("payload"))
+    out = owner_at(facts, log)
+    assert out.where("tiktok_id = 'A'").count() == 1000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if re.search(r"\bWindow \[", line)]
+    assert windows and not any("payload" in line for line in windows)
+    assert "Python" not in plan and "Arrow" not in plan

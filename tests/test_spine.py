@@ -51,6 +51,6 @@ def test_ordered_spine(spark):
 def test_spine_strategies_agree_on_adapters(spark):
     from idloom.config import PipelineConfig
     from idloom.plans.catalog import _pipe
-    a = _pipe(spark, "/root/testdata/sf0.001", PipelineConfig(scan_strategy="range")).spine
+    a = _pipe(spark, "/root/testdata/sf0.001", PipelineConfig(scan_strategy="buckets")).spine
     b = _pipe(spark, "/root/testdata/sf0.001", PipelineConfig(scan_strategy="window")).spine
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
