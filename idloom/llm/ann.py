@@ -31,6 +31,7 @@ query; with fewer than ``results`` candidates all are returned; no rows, no resu
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -188,19 +189,21 @@ class NeighbourIndex:
         entries = self.nodes.select("node").orderBy(F.xxhash64("node", F.lit(self.seed))).limit(self.entries)  # a few fixed nodes
         start = [r["node"] for r in entries.collect()]
         wanted = codes.select("q", F.explode(F.array(*[F.lit(n) for n in start])).alias("node")).unionByName(mine).distinct()
-        seen = None
+        best = spark.createDataFrame([], "q long, node long, near float, done boolean")
+        visited: list[DataFrame] = []  # what was scored, never to be scored again
+        place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("near"), "node"))
         while True:
-            scored = self._scored(wanted, codes)
-            seen = written((scored if seen is None else seen.select("q", "node", "near", "done").unionByName(scored)), "seen")
-            place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("near"), "node"))
-            front = written(seen.withColumn("_at", place).where(F.col("_at") <= self.beam).where("not done").select("q", "node"), "front")
+            new = written(self._scored(wanted, codes), "scored")
+            visited.append(new.select("q", "node"))
+            best = best.unionByName(new).withColumn("_at", place).where(F.col("_at") <= self.beam).drop("_at")
+            best = written(best, "beam")
+            front = best.where("not done").select("q", "node")
             if not front.limit(1).count():
                 break
-            seen = seen.join(front.withColumn("_now", F.lit(True)), ["q", "node"], "left").withColumn("done", F.col("done") | F.coalesce("_now", F.lit(False))).drop("_now")
+            best = best.withColumn("done", F.lit(True))
             wanted = front.join(self.graph.select(F.col("u").alias("node"), "v"), "node").select("q", F.col("v").alias("node")).distinct()
-            wanted = wanted.join(seen.select("q", "node"), ["q", "node"], "left_anti")
-        place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("near"), "node"))
-        found = seen.withColumn("_at", place).where(F.col("_at") <= max(4 * self.results, 32)).select("q", "node")
+            wanted = wanted.join(reduce(DataFrame.unionByName, visited), ["q", "node"], "left_anti")
+        found = best.withColumn("_at", place).where(F.col("_at") <= max(4 * self.results, 32)).select("q", "node")
         return self._measured(found, asked)
 
     def _scored(self, wanted: DataFrame, codes: DataFrame) -> DataFrame:
