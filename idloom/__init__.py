@@ -8,7 +8,6 @@ Layers (each a plain ``DataFrame -> DataFrame`` function):
   creator spine, email dimension, external-id map, point-in-time lookup,
   data-quality checks
 * ``idloom.plans``     – end-to-end build of the published tables and writers
-* ``idloom.streaming`` – empty: the pipeline is batch only
 """
 
 from idloom.config import PipelineConfig

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from idloom.config import PipelineConfig
+from idloom.functions.casts import cast_to, check_not_floating, require_ansi, types_by_name
 from idloom.functions.text import clean_lower, least_non_null
 
 OBS_COLUMNS = ("tiktok_id", "handle_name", "source_table", "created_at", "updated_at")
@@ -51,7 +52,12 @@ OBSERVATION_SPECS = (
 _SWAPPED_SOURCES = ("MARKET",)
 
 
-def observation_branch(raw: DataFrame, spec: ObservationSpec, swap_dates: bool = False) -> DataFrame:
+def observation_branch(raw: DataFrame, spec: ObservationSpec, swap_dates: bool = False,
+                       mode: str = "strict") -> DataFrame:
+    require_ansi(raw, mode)
+    types = types_by_name(raw)
+    if spec.id_col:
+        check_not_floating(spec.id_col, types[spec.id_col.lower()])
     created, updated = spec.created_col, spec.updated_col
     if swap_dates:
         created, updated = updated, created
@@ -61,8 +67,8 @@ def observation_branch(raw: DataFrame, spec: ObservationSpec, swap_dates: bool =
         F.nullif(F.trim(tid), F.lit("")).alias("tiktok_id"),
         clean_lower(handle).alias("handle_name"),
         F.lit(spec.tag).alias("source_table"),
-        F.col(created).cast("timestamp_ntz").alias("created_at"),
-        F.col(updated).cast("timestamp_ntz").alias("updated_at"),
+        cast_to(F.col(created), "timestamp_ntz", mode, types[created.lower()]).alias("created_at"),
+        cast_to(F.col(updated), "timestamp_ntz", mode, types[updated.lower()]).alias("updated_at"),
     )
 
 
@@ -87,7 +93,8 @@ def observation_map(raw: dict[str, DataFrame], config: PipelineConfig | None = N
             if not (s.id_col and s.handle_col):
                 continue
             df = df.filter(F.col(s.id_col).isNotNull() & F.col(s.handle_col).isNotNull())
-        parts.append(observation_branch(df, s, config.swap_market_dates and s.source in _SWAPPED_SOURCES))
+        parts.append(observation_branch(df, s, config.swap_market_dates and s.source in _SWAPPED_SOURCES,
+                                        config.cast_mode))
     if not parts:
         raise ValueError("no observation source given")
     return reduce(DataFrame.unionByName, parts)

@@ -102,8 +102,10 @@ def creator_spine(obs: DataFrame, config: PipelineConfig | None = None) -> DataF
     from idloom.session import materialize
 
     # The summary feeds three consumers; writing it once to the shared
-    # checkpoint folder means the raw sources are scanned once.
-    summary = materialize(observation_summary(obs), "observation-summary")
+    # checkpoint folder means the raw sources are scanned once. Pairs without
+    # an id or a handle have no consumer.
+    used = (F.col("gid") != _GID_PAIR) | (F.col("tiktok_id").isNotNull() & F.col("handle_name").isNotNull())
+    summary = materialize(observation_summary(obs).filter(used), "observation-summary")
     tl = timeline_from_pairs(pairs_from_summary(summary), strategy=config.scan_strategy)
     current = tl.filter(F.col("is_current_owner")).select(
         "handle_name", "tiktok_id", F.col("handle_start").alias("first_observed_at"))

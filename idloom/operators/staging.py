@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from idloom.functions.casts import SPARK_TYPES, cast_to, check_not_floating
+from idloom.functions.casts import SPARK_TYPES, cast_to, check_not_floating, require_ansi, types_by_name
 from idloom.functions.text import clean_lower, clean_text
 
 # Output columns, types and rules of the ten cleaning models.
@@ -348,10 +348,10 @@ def column_expr(c: ColumnSpec, df: DataFrame, mode: str, blank_ids: bool = False
         x = clean_text(c.name)
     else:
         x = F.col(c.name)
-    src_type = df.schema[c.name].dataType if c.rule == "C" else None
-    if c.name in _ID_COLUMNS and src_type is not None:
-        check_not_floating(c.name, src_type)
-    return cast_to(x, c.wtype, mode, name=c.name, source_type=src_type).alias(c.name)
+    raw_type = types_by_name(df)[c.name.lower()]
+    if c.name in _ID_COLUMNS:
+        check_not_floating(c.name, raw_type)
+    return cast_to(x, c.wtype, mode, source_type=raw_type if c.rule == "C" else None).alias(c.name)
 
 
 def apply_spec(df: DataFrame, spec: StagingSpec, mode: str = "strict",
@@ -362,7 +362,8 @@ def apply_spec(df: DataFrame, spec: StagingSpec, mode: str = "strict",
     "error" (default, as the warehouse would fail), "null" (typed NULL
     column), or "drop" (leave it out). Extra raw columns are always dropped.
     """
-    present = {f.name.lower() for f in df.schema.fields}
+    require_ansi(df, mode)
+    present = types_by_name(df)
     exprs = []
     for c in spec.columns:
         if c.name.lower() in present:

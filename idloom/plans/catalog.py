@@ -62,12 +62,12 @@ def q_strict_casts(spark, sf_dir):
     t = strict_cast_inputs(read_driver_tables(spark, sf_dir, ["orders"])["orders"])
     return t.select(
         "o_orderkey",
-        cast_to(F.col("num_pos_text"), "number", name="num_pos_text").alias("num_pos"),
-        cast_to(F.col("num_neg_text"), "number", name="num_neg_text").alias("num_neg"),
-        cast_to(F.col("float_text"), "float", name="float_text").alias("float_val"),
-        cast_to(F.col("ts_text"), "timestamp_ntz", name="ts_text").alias("ts_val"),
-        cast_to(F.col("date_text"), "date", name="date_text").alias("date_val"),
-        cast_to(F.col("bool_text"), "boolean", name="bool_text").alias("bool_val"))
+        cast_to(F.col("num_pos_text"), "number").alias("num_pos"),
+        cast_to(F.col("num_neg_text"), "number").alias("num_neg"),
+        cast_to(F.col("float_text"), "float").alias("float_val"),
+        cast_to(F.col("ts_text"), "timestamp_ntz").alias("ts_val"),
+        cast_to(F.col("date_text"), "date").alias("date_val"),
+        cast_to(F.col("bool_text"), "boolean").alias("bool_val"))
 
 
 def q_observed_at(spark, sf_dir):
@@ -183,6 +183,18 @@ def q_check_no_multi(spark, sf_dir):
     return quality.no_multi_tiktok_per_external_id(_pipe(spark, sf_dir).id_map)
 
 
+def q_check_no_multi_coarse(spark, sf_dir):
+    """The same check on data that fails it: external ids cut to two characters."""
+    m = _pipe(spark, sf_dir).id_map
+    return quality.no_multi_tiktok_per_external_id(m.withColumn("id", F.substring("id", 1, 2)))
+
+
+def q_check_accepted_values_narrow(spark, sf_dir):
+    """The same check with fewer values accepted, by value."""
+    rows = quality.accepted_values(_pipe(spark, sf_dir).email, "data_source", ("HYDRATE", "ECHO"))
+    return rows.groupBy("data_source").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_quality_summary(spark, sf_dir):
     return _pipe(spark, sf_dir).quality_summary()
 
@@ -223,6 +235,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_unique": q_check_unique,
     "check_accepted_values": q_check_accepted_values,
     "check_no_multi": q_check_no_multi,
+    "check_no_multi_coarse": q_check_no_multi_coarse,
+    "check_accepted_values_narrow": q_check_accepted_values_narrow,
     "quality_summary": q_quality_summary,
     "multi_owner_handles": q_multi_owner_handles,
 }

@@ -122,12 +122,12 @@ class Pipeline:
     def quality_summary(self, tables: dict[str, DataFrame] | None = None) -> DataFrame:
         """Checks over the core tables: pass the published tables (``publish``
         returns them read back from storage); by default the lazy tables are
-        used, whose expensive parts (timeline scan, email pairs) are already
-        written once, so each check only re-reads those copies."""
+        used, and each check computes what it reads."""
         return quality.summary(tables if tables is not None else self.core_tables())
 
     def models(self) -> dict[str, DataFrame]:
-        """Every model under its original name (lazy; nothing runs yet)."""
+        """Every model under its original name. All are lazy but the spine, whose
+        summary of the sightings is written once here (three parts read it)."""
         out = {f"stg_{n.lower()}": df for n, df in self.clean.items()}
         out.update({"stg_tiktok_id_handle_map": self.observations,
                     "stg_tiktok_id_handle_map_time": self.timeline,
@@ -139,8 +139,7 @@ class Pipeline:
         """Expose models as temp views for SQL users (``spark.sql("select ..
         from dim_creator_email")``). By default the cleaned model of every
         given source; name other models explicitly (a missing input raises
-        KeyError). Building a model that uses the range scan, or the spine,
-        writes its intermediate once, at that moment."""
+        KeyError). Building the spine writes its summary once, at that moment."""
         done = []
         for name in names or ("stg_" + n.lower() for n in self.raw):
             df = self._model(name)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Descriptions of the published tables and their columns.
 TABLE_COMMENTS = {
-    "dim_creator_handle_log": "Time-bounded mapping from handle to TikTok ID for point-in-time joins (valid_from/valid_to).",
+    "dim_creator_handle_log": "Time-bounded mapping from handle → TikTok ID for point-in-time joins (valid_from/valid_to).",
     "dim_creator_id_map": "A Mapping table that maps various types of creator IDs to their TikTok ID",
     "dim_creator_email": "A table of creator email addresses collected from multiple TikTok data sources. Each row represents a unique combination of TikTok ID and email. The table keeps the earliest date an email was first seen, the most recent update, and flags which email is currently the most up to date for each creator.",
 }
@@ -26,13 +26,13 @@ COLUMN_COMMENTS = {
         "id_source": "Source system or staging model that provided the ID.",
     },
     "dim_creator_email": {
-        "creator_email_id": "Unique identifier for each creator-email combination, generated using a consistent hash.",
+        "creator_email_id": "Unique identifier for each creator–email combination, generated using a consistent hash.",
         "tiktok_id": "Unique identifier for a TikTok creator.",
         "email": "Creator email address that has been cleaned (made lowercase and trimmed of any white space).",
-        "data_source": "The original dataset where this creator's email record was last updated.",
+        "data_source": "The original dataset where this creator’s email record was last updated.",
         "created_at": "The earliest date this email address was first recorded for the creator.",
         "updated_at": "The most recent date this email record was updated.",
-        "is_current": "Indicates whether this email is the creator's most recently updated email address.",
+        "is_current": "Indicates whether this email is the creator’s most recently updated email address.",
     },
 }
 
@@ -56,6 +56,8 @@ def write_table(spark: SparkSession, df: DataFrame, name: str, schema: str | Non
     if root is not None:
         path = f"{root.rstrip('/')}/{schema or 'default'}/{name}"
         out.write.mode("overwrite").format(fmt).save(path)
+        if TABLE_COMMENTS.get(name):  # files have no place for a table's comment: it lies beside them
+            spark.createDataFrame([(name, TABLE_COMMENTS[name])], "name string, comment string").coalesce(1).write.mode("overwrite").json(path + "_comment")
         return spark.read.format(fmt).load(path)
     full = f"{schema}.{name}" if schema else name
     if schema:

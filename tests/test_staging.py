@@ -41,8 +41,8 @@ def test_f2_number_cast(spark):
 @pytest.mark.parametrize("bad", ["", "x"])
 def test_f2_strict_raises_lenient_nulls(spark, bad):
     df = spark.createDataFrame([(bad,)], "x string")
-    with pytest.raises(PySparkException, match="cannot cast"):
-        df.select(cast_to(F.col("x"), "number", "strict", name="x")).collect()
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+        df.select(cast_to(F.col("x"), "number", "strict")).collect()
     assert df.select(cast_to(F.col("x"), "number", "lenient")).collect()[0][0] is None
 
 
@@ -102,3 +102,34 @@ def test_blank_id_to_null_option(spark):
     assert {r.tiktok_id for r in keep.email.collect()} == {" ", "7"}
     drop = Pipeline(raw, PipelineConfig(blank_id_to_null=True), missing="drop")
     assert {r.tiktok_id for r in drop.email.collect()} == {"7"}
+
+
+def test_upper_case_raw_columns_and_float_ids(spark):
+    raw = spark.createDataFrame([("1", "s")], "TIKTOK_ID string, HANDLE_NAME string")
+    out = clean_source(raw, "CREATORINFO", missing="drop")
+    assert out.columns == ["tiktok_id", "handle_name"] and out.collect()[0][0] == "1"
+    for name, source in (("tiktok_id", "MARKET"), ("creator_open_id", "BRAVO_V2")):
+        with pytest.raises(TypeError, match="floating"):
+            clean_source(spark.createDataFrame([(1.5,)], f"{name} double"), source, missing="drop")
+
+
+def test_the_map_honours_cast_mode_and_float_ids(spark):
+    from idloom.config import PipelineConfig
+    from idloom.operators.observe import observation_map
+
+    raw = spark.createDataFrame([("1", "h", "2024-01-01", "no date")], "TIKTOK_ID string, handle_name string, create_date string, last_update string")
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+        observation_map({"CREATORINFO": raw}).collect()
+    r = observation_map({"CREATORINFO": raw}, PipelineConfig(cast_mode="lenient")).collect()[0]
+    assert r.created_at is not None and r.updated_at is None
+    with pytest.raises(TypeError, match="floating"):
+        observation_map({"CREATORINFO": raw.withColumn("TIKTOK_ID", F.lit(1.5))})
+
+
+def test_strict_casts_need_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            clean_source(spark.createDataFrame([("1",)], "tiktok_id string"), "CREATORINFO", missing="drop")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
