@@ -115,4 +115,24 @@ select d.doc_id, b.item_id, max(m)::bigint as n_shingles, count(*)::bigint as n_
 from b join size using (n) join d using (shingle)
 group by d.doc_id, d.n, b.item_id, b.n
 having count(*) >= ceil(max(m) * 0.8 - 1e-9)""",
+    "op6_anchor_substring_dedup": r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (select doc_id, s, md5(array_to_string(w[s:s + 19], ' ')) as key from d, unnest(range(1, len(w) - 18)) as u(s)),
+later as (select doc_id, s from (select *, row_number() over (partition by key order by doc_id, s) as n from win) where n > 1),
+gone as (select distinct doc_id, p from later, unnest(range(s, s + 20)) as u(p)),
+words as (select doc_id, p, w[p] as word from d, unnest(range(1, len(w) + 1)) as u(p)),
+kept as (select doc_id, string_agg(word, ' ' order by p) as text from words anti join gone using (doc_id, p) group by doc_id),
+lost as (select doc_id, count(*) as n from gone group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(lost.n, 0)::bigint as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from d left join kept using (doc_id) left join lost using (doc_id)""",
+    "op7_cuckoo_line_dedup": f"""
+with l as (select doc_id, i, lines[i] as line from (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents) t,
+             unnest(range(1, len(lines) + 1)) as u(i)),
+k as (select *, translate(trim(line, {" || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))}),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+r as (select key, min(doc_id) as keeper from k where length(key) >= 10 group by key having count(distinct doc_id) > 1),
+j as (select k.*, coalesce(keeper <> doc_id, false) as dropped from k left join r using (key))
+select doc_id, count(*)::bigint as n_lines, count(*) filter (dropped)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not dropped), '')) as kept_sha256
+from j group by doc_id""",
 }
