@@ -52,7 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is None:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
-            d = tempfile.mkdtemp(prefix="idloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the cluster shares")
         return d
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:

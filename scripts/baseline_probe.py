@@ -40,7 +40,7 @@ def _lines(path):
 
 def variants(spark, sf):
     def handle_log():
-        return _pipe(spark, sf, PipelineConfig(scan_strategy="range")).handle_log
+        return _pipe(spark, sf, PipelineConfig(scan_strategy="buckets")).handle_log
 
     def handle_log_window():
         return _pipe(spark, sf, PipelineConfig(scan_strategy="window")).handle_log
@@ -77,7 +77,7 @@ def variants(spark, sf):
             out = out.unionByName(x)
         return out
 
-    return {"handle_log (range scan)": handle_log, "handle_log (window)": handle_log_window,
+    return {"handle_log (buckets)": handle_log, "handle_log (window)": handle_log_window,
             "email_dimension one-aggregate": email_one, "email_dimension two-pass": email_two,
             "creator_spine summary aggregate": spine_summary,
             "creator_spine three separate scans": spine_three_scans,
