@@ -392,4 +392,6 @@ def sql_expr(c: ColumnSpec) -> str:
         x = f"nullif(trim({c.name}), '')"
     else:
         x = c.name
+    if c.wtype == "boolean":
+        x = f"case lower(trim({x})) when 'on' then 'true' when 'off' then 'false' else {x} end"
     return f"cast({x} as {t}) as {c.name}"

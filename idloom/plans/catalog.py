@@ -24,7 +24,7 @@ from idloom.sources.registry import read_driver_tables
 
 
 def _pipe(spark: SparkSession, sf_dir: str, config: PipelineConfig | None = None) -> Pipeline:
-    return Pipeline(raw_sources(spark, sf_dir), config, missing="drop")
+    return Pipeline(raw_sources(spark, sf_dir), config)
 
 
 def _clean(source: str):

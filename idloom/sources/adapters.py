@@ -15,9 +15,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from idloom.operators.staging import SPECS
 from idloom.sources.registry import read_driver_tables
 
-ADAPTER_SQL: dict[str, str] = {
+_BASE_SQL: dict[str, str] = {
     "CREATORINFO": """
 select case when o_orderkey % 11 = 0 then ' ' when o_orderkey % 13 = 0 then null
             else cast(o_custkey % 300 as string) end as tiktok_id,
@@ -83,6 +84,62 @@ select cast(10000 + n_nationkey as string) as zipcode,
 from {nation}""",
 }
 
+_BASE_COLUMNS = {
+    "CREATORINFO": ("tiktok_id", "handle_name", "email_address", "create_date", "last_update"),
+    "CRMCREATOR": ("handle_name", "creator_id", "create_date", "last_update"),
+    "HYDRATE": ("tiktok_id", "handle_name", "email_address", "acct_create", "handle_modify",
+                "create_date", "last_update"),
+    "MARKET": ("tiktok_id", "handle_name", "email_address", "create_date", "last_update"),
+    "SEARCHINFO": ("handle_name", "create_date", "last_update"),
+    "BRAVO_V1": ("tiktok_id", "handle_name", "email", "created_at", "updated_at"),
+    "BRAVO_V2": ("tiktok_id", "handle_name", "email", "created_at", "updated_at"),
+    "ECHO": ("tiktok_id", "handle_name", "creator_id", "email", "created_time", "last_updated_time"),
+    "ADDRESS_PHONE": ("data_id", "handle_name", "first_last", "phone_number", "country", "state",
+                      "city", "zipcode", "address_1", "address_2"),
+    "ZIP_LAT_LON": ("zipcode", "latitude", "longitude"),
+}
+
+# What numbers the rows of each driver table.
+_ROW = {"orders": "o_orderkey", "events": "event_id", "lineitem": "(l_orderkey * 8 + l_linenumber)"}
+
+
+def _derived(row: str, k: int, wtype: str, rule: str) -> str:
+    """A raw text for the k-th further column of a source, in the forms that its
+    cleaning has to deal with: blanks, spaces, capitals, fractions, signs,
+    on/off and NULLs."""
+    n = f"({row} + {k})"
+    if wtype == "number":
+        value = f"concat(cast({n} % 1000 - 500 as string), case {n} % 4 when 1 then '.5' else '' end)"
+    elif wtype == "float":
+        value = f"concat(cast({n} % 997 - 400 as string), '.25')"
+    elif wtype in ("timestamp_ntz", "date"):
+        time = f", ' 0', cast({n} % 10 as string), ':30:00'" if wtype == "timestamp_ntz" else ""
+        value = f"concat('202', cast({row} % 5 as string), '-0', cast(1 + {n} % 9 as string), '-1', cast({row} % 10 as string){time})"
+    elif wtype == "boolean":
+        value = f"case {n} % 6 when 0 then 'on' when 1 then 'OFF' when 2 then 'yes' when 3 then 'no' when 4 then 'true' else 'false' end"
+    elif rule == "C":
+        value = f"concat('V', cast({n} % 29 as string))"
+    else:
+        value = f"case when {n} % 13 = 0 then '  ' else concat('  Val_', cast({n} % 23 as string), ' ') end"
+    return f"case when {n} % 11 = 0 then null else {value} end"
+
+
+def _full(source: str) -> tuple[str, tuple]:
+    """The adapter with every column that the source's cleaning reads."""
+    text, names = _BASE_SQL[source], _BASE_COLUMNS[source]
+    head, table = text.rsplit("\nfrom {", 1)
+    table = table.rstrip("}")
+    more = [c for c in SPECS[source].columns if c.name not in names]
+    if not more:
+        return text, names
+    exprs = ",\n       ".join(f"{_derived(_ROW[table], k, c.wtype, c.rule)} as {c.name}" for k, c in enumerate(more))
+    return f"{head},\n       {exprs}\nfrom {{{table}}}", (*names, *(c.name for c in more))
+
+
+ADAPTER_SQL: dict[str, str] = {s: _full(s)[0] for s in _BASE_SQL}
+# Columns each adapter produces (checked against Spark's schema in tests).
+ADAPTER_COLUMNS: dict[str, tuple] = {s: _full(s)[1] for s in _BASE_SQL}
+
 _TABLES_USED = ("orders", "events", "lineitem", "customer", "nation")
 
 
@@ -133,20 +190,3 @@ class LazySources(Mapping):
 def raw_sources(spark: SparkSession, sf_dir: str, names=None) -> Mapping:
     """``{SOURCE: DataFrame}`` shaped from the driver tables under ``sf_dir``."""
     return LazySources(spark, sf_dir, names)
-
-
-# Columns each adapter produces (checked against Spark's schema in tests).
-ADAPTER_COLUMNS = {
-    "CREATORINFO": ("tiktok_id", "handle_name", "email_address", "create_date", "last_update"),
-    "CRMCREATOR": ("handle_name", "creator_id", "create_date", "last_update"),
-    "HYDRATE": ("tiktok_id", "handle_name", "email_address", "acct_create", "handle_modify",
-                "create_date", "last_update"),
-    "MARKET": ("tiktok_id", "handle_name", "email_address", "create_date", "last_update"),
-    "SEARCHINFO": ("handle_name", "create_date", "last_update"),
-    "BRAVO_V1": ("tiktok_id", "handle_name", "email", "created_at", "updated_at"),
-    "BRAVO_V2": ("tiktok_id", "handle_name", "email", "created_at", "updated_at"),
-    "ECHO": ("tiktok_id", "handle_name", "creator_id", "email", "created_time", "last_updated_time"),
-    "ADDRESS_PHONE": ("data_id", "handle_name", "first_last", "phone_number", "country", "state",
-                      "city", "zipcode", "address_1", "address_2"),
-    "ZIP_LAT_LON": ("zipcode", "latitude", "longitude"),
-}
