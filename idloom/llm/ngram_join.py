@@ -8,8 +8,9 @@ documents link when |A and B| * den >= |A or B| * num.
 1. Documents with one set are one node. Its id is a 64-bit sum over the set,
    so two sets among k share an id by chance with odds of k^2 / 2^65.
 2. Shingles get one order for all documents, rare first: by how often they were
-   counted, then by hash. (Counts of the commonest ``heavy`` shingles; any order
-   gives the same links, a rarer prefix gives fewer candidates.) Documents at
+   counted, then by hash. (Counts of the commonest ``heavy`` shingles, first of
+   those that tasks see several times, then of those that many prefixes by that
+   order hold; any order gives the same links, a rarer prefix gives fewer candidates.) Documents at
    the threshold share a shingle of their prefixes, the first
    size - ceil(t * size) + 1 shingles.
 3. Prefix shingles are grouped with size classes, each set in its own and the
@@ -18,7 +19,7 @@ documents link when |A and B| * den >= |A or B| * num.
    positional filter (1 + what follows the shared shingle in both must reach
    the needed overlap; for the first shared one this bounds the overlap).
    A group of near copies must not give all its pairs, so joining goes in
-   rounds: along each shingle every node is paired with one leader only; links
+   rounds: along each shingle every node is paired with four leaders only; links
    found make components; the next round leaves out shingles whose nodes are
    all in one component, and pairs within one. As soon as what is left is small
    (or ``rounds`` are over) all its pairs are taken, so that no link between two
@@ -46,6 +47,8 @@ from .line_dedup import NO_ID, document_key
 from .storage import written
 
 RANGES = 256
+#: Leaders of a group in one round.
+LEADERS = 4
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,6 +102,15 @@ def _commonest(blocks: Iterator[np.ndarray], flush: int = 1 << 21) -> tuple[np.n
     return keys, counts
 
 
+def _ordered(keys, counts) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, each with its largest count."""
+    keys = np.asarray(keys, np.int64).view(np.uint64)
+    distinct, at = np.unique(keys, return_inverse=True)
+    out = np.zeros(len(distinct), np.int64)
+    np.maximum.at(out, at, np.asarray(counts, np.int64))
+    return distinct, out
+
+
 def _pass_sets(docs: DataFrame, n: int) -> DataFrame:
     """For each row (doc, row, size, node), and rows (shingle as node, count as
     size) with a null ``row`` for what repeats within a task."""
@@ -203,9 +215,13 @@ class NgramJoin:
         self.rows = passed.where("row is not null")
         common = passed.where("row is null").groupBy("node").agg(F.sum("size").alias("n")).where("n > 7")
         common = common.orderBy(F.desc("n"), "node").limit(heavy).toPandas()  # bounded by ``heavy``
-        order = np.argsort(common["node"].to_numpy().astype(np.int64).view(np.uint64))
-        keys = common["node"].to_numpy().astype(np.int64).view(np.uint64)[order]
-        prefixes = _prefixes(docs, n, num, den, (keys, common["n"].to_numpy()[order]))
+        found = _ordered(common["node"], common["n"])
+        # shingles that many prefixes hold are common too, though no single task saw it: with them
+        # put behind, passages that many documents share leave the prefixes
+        held = written(_prefixes(docs, n, num, den, found).groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 3"), "held-shingles")
+        held = held.orderBy(F.desc("n"), "token").limit(heavy).toPandas()
+        found = _ordered(np.concatenate((common["node"], held["token"])), np.concatenate((common["n"], held["n"])))
+        prefixes = _prefixes(docs, n, num, den, found)
         # all of the next steps need the rows of a shingle together, and use one shuffle by it
         shared = self._shared(prefixes, Window.partitionBy("token"))
         kind = F.floor(F.log("size") / F.lit(1.0001 * np.log(den / num))).cast("int")
@@ -260,21 +276,24 @@ class NgramJoin:
         left = self.shared.withColumn("comp", F.col("node"))
         along = Window.partitionBy("token", "kind")
         for turn in range(self.rounds + 1):
-            # shingles whose nodes are in two components or more, with the pairs between components along them
+            # groups whose nodes are in two components or more, with the pairs between components along them
+            left = left.withColumn("_lo", F.min("comp").over(along)).withColumn("_hi", F.max("comp").over(along))
+            left = written(left.where("_lo < _hi").drop("_lo", "_hi"), "open-prefixes")
             in_comp = left.groupBy("token", "kind", "comp").agg(F.count(F.lit(1)).alias("n"))
-            open_ = in_comp.groupBy("token", "kind").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn")).where("n * n > nn")
-            open_ = written(open_, "open-shingles")
+            open_ = in_comp.groupBy("token", "kind").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
             sums = open_.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs")).first()
             if not sums["rows"]:
                 break
-            left = written(left.join(open_, ["token", "kind"], "left_semi").select("token", "kind", "node", "size", "place", "comp"), "open-prefixes")
             last = turn == self.rounds or sums["pairs"] <= 2 * sums["rows"]
             if last:
                 other = left.select("token", "kind", *(F.col(c).alias(f"{c}2") for c in ("node", "size", "place", "comp")))
                 near = left.join(other, ["token", "kind"]).where("node < node2 and comp <> comp2")
             else:
-                leader = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), *(F.col(c).alias(f"{c}2") for c in ("node", "size", "place", "comp"))))
-                near = left.withColumn("_lead", leader.over(along)).select(*left.columns, "_lead.*").where("comp <> comp2")
+                leaders = [
+                    F.min(F.struct(F.xxhash64("node", F.lit(LEADERS * turn + i)).alias("by"), *(F.col(c).alias(f"{c}2") for c in ("node", "size", "place", "comp")))).over(along)
+                    for i in range(LEADERS)]
+                near = left.withColumn("_lead", F.array(*leaders)).withColumn("_lead", F.explode("_lead"))
+                near = near.select(*left.columns, "_lead.*").where("comp <> comp2")
             near = self._may_link(near).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
             found.append(written(self._verified(written(near, "pairs")), "links"))
             edges = found[0]
