@@ -207,7 +207,7 @@ def _items(texts: DataFrame, n: int) -> DataFrame:
 class NgramJoin:
     """The join over the rows of ``docs(doc_id, text)``."""
 
-    def __init__(self, docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, heavy: int = 1 << 18, rounds: int = 8):
+    def __init__(self, docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, heavy: int = 1 << 18, rounds: int = 4):
         self.n, self.num, self.den, self.rounds = n, num, den, rounds
         key = F.xxhash64(document_key(), F.coalesce("text", F.lit("")))
         docs = docs.select(document_key(), key.alias("row"), "text")
