@@ -1,9 +1,11 @@
 """Approximate nearest neighbours: a neighbour graph by NN-descent and greedy
 search in it.
 
-Vectors are scaled to length 1 and coded with one byte for each component, so
-that candidates travel in few bytes; the nearest found are measured again in
-double precision on the original vectors. Equal vectors are one node: its
+Vectors are scaled to length 1 and travel as four-byte floats. What is compared
+is the cosine less 1, computed in double precision and kept as a four-byte
+float, so that near-equal vectors are told apart by their small distances, where
+the cosine itself would round to 1. All that a search ends with is measured
+again in double precision on the original vectors. Equal vectors are one node: its
 ``results + 1`` smallest ids stand for all copies, as no result needs more.
 
 * Start: in ``starts`` rounds, nodes are sorted by the signs of random
@@ -69,7 +71,7 @@ class NeighbourIndex:
         copies = copies.select(F.xxhash64(key, F.col("ids")[0]).alias("node"), "ids", "vector")
         self.nodes = written(self._coded(copies), "vectors")
         first = self.nodes.select("code").first()
-        self.width = len(first["code"]) if first else 0
+        self.width = len(first["code"]) // 4 if first else 0
         self.codes = self.nodes.select("node", "code")
         self.graph = written(self._descend(starts, steps), "neighbours") if self.width else None
 
@@ -81,8 +83,7 @@ class NeighbourIndex:
                     x = batch.column("vector").flatten().to_numpy().reshape(batch.num_rows, -1)
                     x = x / np.abs(x).max(1, keepdims=True)
                     x /= np.linalg.norm(x, axis=1, keepdims=True)
-                    top = np.abs(x).max(1, keepdims=True)
-                    code = np.rint(x / top * 127).astype(np.int8)
+                    code = x.astype(np.float32)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column("node"), batch.column("ids"), batch.column("vector"), pa.array([r.tobytes() for r in code], pa.binary())],
                         ["node", "ids", "vector", "code"])
@@ -92,7 +93,8 @@ class NeighbourIndex:
     def _nearest(self, offers: DataFrame) -> DataFrame:
         """(u, v, near): each node's ``degree`` nearest of (u, v, near)."""
         best = offers.groupBy("u", "v").agg(F.max("near").alias("near"))
-        place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("near"), "v"))
+        # ties fall by a hash of both ends: equally near nodes do not all keep the same neighbours
+        place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("near"), F.xxhash64("u", "v"), "v"))
         return best.withColumn("_at", place).where(F.col("_at") <= self.degree).drop("_at")
 
     def _descend(self, starts: int, steps: int) -> DataFrame:
@@ -112,14 +114,14 @@ class NeighbourIndex:
     def _blocks(self, turn: int) -> DataFrame:
         """Offers within blocks of nodes that are near in random projections."""
         width, block, degree = self.width, self.block, self.degree
-        planes = np.random.default_rng([self.seed, turn]).normal(size=(width, 9)).astype(np.float32)
+        planes = np.random.default_rng([self.seed, turn]).normal(size=(width, 9))
 
         def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
-                    p = _unit(_matrix(batch.column("code"), np.int8, width)) @ planes
+                    p = _unit(_matrix(batch.column("code"), np.float32, width)) @ planes
                     side = (p[:, :8] > 0) @ (1 << np.arange(8))
-                    yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("code"), pa.array(side + 1 / (1 + np.exp(-p[:, 8].astype(float))))], ["node", "code", "at"])
+                    yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("code"), pa.array(side + 1 / (1 + np.exp(-p[:, 8])))], ["node", "code", "at"])
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[pa.RecordBatch] = []
@@ -133,14 +135,14 @@ class NeighbourIndex:
                 yield pairs(pa.Table.from_batches(held).combine_chunks())
 
         def pairs(table: pa.Table) -> pa.RecordBatch:
-            x = _unit(_matrix(table.column("code").combine_chunks(), np.int8, width))
+            x = _unit(_matrix(table.column("code").combine_chunks(), np.float32, width))
             node = table.column("node").to_numpy()
-            near = x @ x.T
-            np.fill_diagonal(near, -2)
+            near = (x @ x.T - 1).astype(np.float32)
+            np.fill_diagonal(near, -3)
             k = min(degree, len(node) - 1)
             best = np.argpartition(-near, k - 1, axis=1)[:, :k]
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(node, k)), pa.array(node[best].ravel()), pa.array(np.take_along_axis(near, best, 1).ravel().astype(np.float32))], ["u", "v", "near"])
+                [pa.array(np.repeat(node, k)), pa.array(node[best].ravel()), pa.array(np.take_along_axis(near, best, 1).ravel())], ["u", "v", "near"])
 
         placed = self.codes.mapInArrow(project, "node long, code binary, at double")
         return placed.repartitionByRange("at").sortWithinPartitions("at", "node").select("node", "code").mapInArrow(compare, "u long, v long, near float")
@@ -149,11 +151,11 @@ class NeighbourIndex:
         """Pairs around each node that are nearer than an end's worst neighbour."""
         width, degree = self.width, self.degree
         back = graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "near")
-        place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("near"), "v"))
+        place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("near"), F.xxhash64("u", "v"), "v"))
         back = back.withColumn("_at", place).where(F.col("_at") <= degree).drop("_at")
         around = graph.unionByName(back).select("u", "v").distinct()
-        worst = graph.groupBy(F.col("u").alias("v")).agg(F.when(F.count(F.lit(1)) >= degree, F.min("near")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
-        known = self.codes.withColumnRenamed("node", "v").join(worst, "v", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0).cast("float")))
+        worst = graph.groupBy(F.col("u").alias("v")).agg(F.when(F.count(F.lit(1)) >= degree, F.min("near")).otherwise(F.lit(-3.0)).cast("float").alias("worst"))
+        known = self.codes.withColumnRenamed("node", "v").join(worst, "v", "left").withColumn("worst", F.coalesce("worst", F.lit(-3.0).cast("float")))
         lists = around.join(known, "v").groupBy("u").agg(F.collect_list(F.struct("v", "worst", "code")).alias("near"))  # 2 * degree at most
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,11 +164,11 @@ class NeighbourIndex:
                 ends = np.asarray(column.offsets)
                 flat = column.values
                 v, worst_ = flat.field("v").to_numpy(), flat.field("worst").to_numpy()
-                x = _unit(_matrix(flat.field("code"), np.int8, width))
+                x = _unit(_matrix(flat.field("code"), np.float32, width))
                 us, vs, nears = [], [], []
                 for a, b in zip(ends[:-1], ends[1:]):
-                    near = x[a:b] @ x[a:b].T
-                    np.fill_diagonal(near, -2)
+                    near = (x[a:b] @ x[a:b].T - 1).astype(np.float32)
+                    np.fill_diagonal(near, -3)
                     i, j = np.nonzero(near > worst_[a:b, None])
                     us.append(v[a:b][i])
                     vs.append(v[a:b][j])
@@ -203,8 +205,7 @@ class NeighbourIndex:
             best = best.withColumn("done", F.lit(True))
             wanted = front.join(self.graph.select(F.col("u").alias("node"), "v"), "node").select("q", F.col("v").alias("node")).distinct()
             wanted = wanted.join(reduce(DataFrame.unionByName, visited), ["q", "node"], "left_anti")
-        found = best.withColumn("_at", place).where(F.col("_at") <= max(4 * self.results, 32)).select("q", "node")
-        return self._measured(found, asked)
+        return self._measured(best.select("q", "node"), asked)
 
     def _scored(self, wanted: DataFrame, codes: DataFrame) -> DataFrame:
         width = self.width
@@ -212,9 +213,9 @@ class NeighbourIndex:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
-                    a = _unit(_matrix(batch.column("asked"), np.int8, width))
-                    b = _unit(_matrix(batch.column("code"), np.int8, width))
-                    near = np.einsum("ij,ij->i", a, b)
+                    a = _unit(_matrix(batch.column("asked"), np.float32, width))
+                    b = _unit(_matrix(batch.column("code"), np.float32, width))
+                    near = (np.einsum("ij,ij->i", a, b) - 1).astype(np.float32)
                     yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("node"), pa.array(near), pa.array(np.zeros(len(near), bool))], ["q", "node", "near", "done"])
 
         rows = wanted.join(self.codes, "node").join(codes, "q").select("q", "node", "asked", "code")
@@ -240,7 +241,7 @@ class NeighbourIndex:
 
 
 def _unit(code: np.ndarray) -> np.ndarray:
-    x = code.astype(np.float32)
+    x = code.astype(np.float64)
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 

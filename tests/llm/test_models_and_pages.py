@@ -194,3 +194,10 @@ def test_neighbours_with_copies_and_bad_vectors(spark):
     x[::3] = x[0]  # a third of all rows is one vector
     bad = [(5000, None), (5050, [0] * 8), (5100, [float("nan")] * 8), (5150, [1, None, 1, 1, 1, 1, 1, 1]), (5200, [float("inf")] * 8), (5250, [1, 2]), (None, [1] * 8)]
     check_neighbours(vectors(spark, [*enumerate(x), *bad]), 5, 0.95, block=64, degree=10, beam=30)
+
+
+def test_neighbours_in_a_group_of_near_copies(spark):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(500, 8))
+    x[::2] = x[0] + 1e-4 * rng.normal(size=(250, 8))  # cosines that differ from 1 by about 1e-8
+    check_neighbours(vectors(spark, enumerate(x)), 5, 0.95, block=64, degree=10, beam=30)
