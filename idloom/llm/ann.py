@@ -6,7 +6,8 @@ is the cosine less 1, computed in double precision and kept as a four-byte
 float, so that near-equal vectors are told apart by their small distances, where
 the cosine itself would round to 1. All that a search ends with is measured
 again in double precision on the original vectors. Equal vectors are one node: its
-``results + 1`` smallest ids stand for all copies, as no result needs more.
+``results + 1`` smallest distinct ids, each with its number of rows up to
+``results``, stand for all copies, as no result needs more.
 
 * Start: in ``starts`` rounds, nodes are sorted by the signs of random
   projections and one projection, cut into blocks of fixed size, and each
@@ -26,8 +27,8 @@ node, cut by written tables.
 Defined results: vectors that are null, of length zero, hold a null or a
 component that is not finite, or have another number of components than most
 take no part, as query or candidate; a null vec_id takes no part; rows with
-one vec_id are separate candidates, and none of them is a result of its own
-query; with fewer than ``results`` candidates all are returned; no rows, no result.
+one vec_id are separate candidates, so an id can be in a result more than once, and none of them is a result of its own
+query; query rows with one vec_id and one vector ask once, with other vectors each for itself; with fewer than ``results`` candidates all are returned; no rows, no result.
 """
 
 from __future__ import annotations
@@ -65,10 +66,11 @@ class NeighbourIndex:
         self.results, self.degree, self.beam, self.block, self.entries, self.seed = results, degree, beam, block, entries, seed
         key = F.xxhash64("vector")
         # equal vectors by value; the row numbers are cut before the shuffle
-        copies = vectors.withColumn("_at", F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))).where(F.col("_at") <= results + 1)
-        copies = copies.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+        copies = vectors.groupBy("vector", "vec_id").agg(F.least(F.count(F.lit(1)), F.lit(results)).cast("int").alias("n"))
+        copies = copies.withColumn("_at", F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))).where(F.col("_at") <= results + 1)
+        copies = copies.groupBy("vector").agg(F.sort_array(F.collect_list(F.struct("vec_id", "n"))).alias("ids"))
         # a hash and the smallest id: unique where ids are, and the same in every run
-        copies = copies.select(F.xxhash64(key, F.col("ids")[0]).alias("node"), "ids", "vector")
+        copies = copies.select(F.xxhash64(key, F.col("ids")[0]["vec_id"]).alias("node"), "ids", "vector")
         self.nodes = written(self._coded(copies), "vectors")
         first = self.nodes.select("code").first()
         self.width = len(first["code"]) // 4 if first else 0
@@ -88,7 +90,7 @@ class NeighbourIndex:
                         [batch.column("node"), batch.column("ids"), batch.column("vector"), pa.array([r.tobytes() for r in code], pa.binary())],
                         ["node", "ids", "vector", "code"])
 
-        return copies.mapInArrow(run, "node long, ids array<long>, vector array<double>, code binary")
+        return copies.mapInArrow(run, "node long, ids array<struct<vec_id:long,n:int>>, vector array<double>, code binary")
 
     def _nearest(self, offers: DataFrame) -> DataFrame:
         """(u, v, near): each node's ``degree`` nearest of (u, v, near)."""
@@ -184,8 +186,8 @@ class NeighbourIndex:
         spark = queries.sparkSession
         if not self.width:
             return spark.createDataFrame([], empty)
-        asked = queries.select(F.col("vec_id").alias("query_id"), "vector")
-        asked = written(self._coded(asked.select(F.xxhash64("vector").alias("node"), F.array("query_id").alias("ids"), "vector")), "queries")
+        asked = queries.select(F.struct("vec_id", F.lit(1).alias("n")).alias("id"), "vector").distinct()
+        asked = written(self._coded(asked.select(F.xxhash64("vector").alias("node"), F.array("id").alias("ids"), "vector")), "queries")
         codes = asked.select(F.col("node").alias("q"), F.col("code").alias("asked")).dropDuplicates(["q"])
         mine = self.nodes.withColumn("q", F.xxhash64("vector")).join(codes.select("q"), "q", "left_semi").select("q", "node")
         entries = self.nodes.select("node").orderBy(F.xxhash64("node", F.lit(self.seed))).limit(self.entries)  # a few fixed nodes
@@ -223,8 +225,8 @@ class NeighbourIndex:
 
     def _measured(self, found: DataFrame, asked: DataFrame) -> DataFrame:
         """The results by exact cosine: every id of the found nodes but the query's own."""
-        rows = asked.select(F.col("node").alias("q"), F.col("ids")[0].alias("query_id"), F.col("vector").alias("asked")).join(found, "q")
-        rows = rows.join(self.nodes.select("node", "ids", "vector"), "node").select("query_id", "asked", "vector", "ids")
+        rows = asked.select(F.col("node").alias("q"), F.col("ids")[0]["vec_id"].alias("query_id"), F.col("vector").alias("asked")).join(found, "q")
+        rows = rows.join(self.nodes.select("node", "ids", "vector"), "node").select("q", "query_id", "asked", "vector", "ids")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -232,11 +234,12 @@ class NeighbourIndex:
                     a = batch.column("asked").flatten().to_numpy().reshape(batch.num_rows, -1)
                     b = batch.column("vector").flatten().to_numpy().reshape(batch.num_rows, -1)
                     score = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
-                    yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("ids"), pa.array(score)], ["query_id", "ids", "score"])
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("q", "query_id", "ids")), pa.array(score)], ["q", "query_id", "ids", "score"])
 
-        exact = rows.mapInArrow(run, "query_id long, ids array<long>, score double")
-        exact = exact.select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id").distinct()
-        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        exact = rows.mapInArrow(run, "q long, query_id long, ids array<struct<vec_id:long,n:int>>, score double")
+        exact = exact.select("q", "query_id", F.inline("ids"), "score").where("vec_id <> query_id")
+        exact = exact.withColumn("vec_id", F.explode(F.array_repeat("vec_id", F.col("n"))))
+        rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id"))
         return exact.withColumn("rank", rank).where(F.col("rank") <= self.results).select("query_id", "rank", "vec_id", "score")
 
 

@@ -201,3 +201,20 @@ def test_neighbours_in_a_group_of_near_copies(spark):
     x = rng.normal(size=(500, 8))
     x[::2] = x[0] + 1e-4 * rng.normal(size=(250, 8))  # cosines that differ from 1 by about 1e-8
     check_neighbours(vectors(spark, enumerate(x)), 5, 0.95, block=64, degree=10, beam=30)
+
+
+def test_neighbours_with_repeated_ids(spark):
+    a, b, c = [1, 0, 0, 0, 0, 0, 0, 0], [1, 1, 0, 0, 0, 0, 0, 0], [0, 0, 1, 0, 0, 0, 0, 0]
+    rows = vectors(spark, [*[(1, a)] * 7, (2, a), (50, a), (50, a), (3, b), (3, b), (100, b), (100, c)])
+    got = collections.defaultdict(list)
+    for r in nearest(rows, 50, 8).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, round(r.score, 6)))
+    half = round(0.5**0.5, 6)
+    assert sorted(got[50]) == [*[(i, 1, 1.0) for i in range(1, 8)], (8, 2, 1.0)]
+    first = [(1, 3, 1.0), (2, 3, 1.0), *[(i, 1, half) for i in range(3, 9)]]
+    second = [*[(i, 1, 0.0) for i in range(1, 8)], (8, 2, 0.0)]  # its other row asks for itself
+    assert sorted(got[100]) == sorted(first + second)
+    few = nearest(vectors(spark, [*[(1, a)] * 7, (2, a), (50, b), (100, a)]), 50, 5).where("query_id = 100")
+    assert [r.vec_id for r in few.orderBy("rank").collect()] == [1] * 5
+    asked = nearest(vectors(spark, [*[(50, a)] * 7, (2, a), (3, b)]), 50, 5)
+    assert [r.vec_id for r in asked.orderBy("rank").collect()] == [2, 3]
