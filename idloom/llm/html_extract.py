@@ -7,8 +7,13 @@ label: its tag, the words of its class, id and role, how much text it holds
 itself and how much of it is in links. Sum-product message passing up and then
 down the tree gives each element's exact marginal; text belongs to the
 nearest element, and is kept when that element's marginal is above a half.
-Menus, footers, forms, scripts, comments, adverts and the like are known by
-their names and are left out of the tree.
+Menus, footers, scripts and the like are known by their tags and are left out of
+the tree; so are forms, and comments, adverts and the like by the words of their
+class, id and role. Such words also stand on the page's own frame
+(``no-sidebar``, ``has-comments``), so they leave out no ``html``, ``body``,
+``main`` or ``article``, nothing around the page's largest article, nothing that
+holds a third of the text of a page without one, and nothing that holds nine tenths of
+an article; there they are features like all other words.
 
 Training: pages with exactly one ``article`` or ``main`` element are labelled by
 it: it and what is below are content, except menus, forms, comments and the
@@ -50,6 +55,8 @@ BLOCK = _names(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul")
 #: Never main text, wherever they are.
 NEVER = _names("nav footer aside form button select option datalist label input svg canvas audio video object map dialog menu head")
+#: What no class, id or role word leaves out.
+FRAME = _names("html body main article")
 #: Class, id or role words of what is no main text, also inside an article.
 ASIDE = _names(
     "ad ads advert advertisement adverts banner comment comments cookie cookies consent disqus footer menu nav navbar navigation "
@@ -67,7 +74,7 @@ SCOPE = _names("article aside body div table td th section main nav footer heade
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I | re.S)
+ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I | re.S)
 PARTS = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
@@ -179,15 +186,53 @@ def _place(name: str) -> int:
 
 def barred(tree: Tree) -> np.ndarray:
     """Elements that are, or are below, what is never main text."""
-    out = np.zeros(len(tree.tags), bool)
-    inside = np.zeros(len(tree.tags), bool)  # below an article or main
-    for e in range(1, len(out)):
+    n = len(tree.tags)
+    out = np.zeros(n, bool)
+    scope = [0] * n  # the nearest article or main that an element is below
+    named = []
+    for e in range(1, n):
         p, tag = tree.parents[e], tree.tags[e]
-        inside[e] = inside[p] or tag in ("article", "main")
-        out[e] = out[p] or tag in NEVER or tag in RAW or (tag == "header" and not inside[p]) or bool(tree.marks[e] & ASIDE)
+        scope[e] = p if tree.tags[p] in ("article", "main") else scope[p]
+        out[e] = out[p] or (tag in NEVER and tag != "form") or tag in RAW or (tag == "header" and not scope[e])
+        if not out[e] and tag not in FRAME and (tag == "form" or tree.marks[e] & ASIDE):
+            named.append(e)
+    if named:
+        wide = _wide(tree, out, scope)
+        for e in named:
+            out[e] = not wide(e)
+        for e in range(1, n):
+            out[e] |= out[tree.parents[e]]
     return out
 
 
+def _wide(tree: Tree, out: np.ndarray, scope: list[int]):
+    """Whether an element, by its name no main text, is the frame of some:
+    around the page's largest article (or main), with a third of the text of a page
+    without one, or with nine tenths of the article that it is in. ``out``: left out by tag."""
+    below = [0] * len(tree.tags)
+    for e, t in tree.texts:
+        if t and not out[e]:
+            below[e] += len(t) - t.count(" ")
+    for e in range(len(below) - 1, 0, -1):
+        below[tree.parents[e]] += below[e]
+    tops = [e for e, t in enumerate(tree.tags) if t in ("article", "main") and not out[e]]
+    around = set()
+    if tops:  # comments can be articles too, with a name that says so
+        e = max(tops, key=lambda e: (not tree.marks[e] & ASIDE, below[e], -e))
+        while e > 0:
+            around.add(e)
+            e = tree.parents[e]
+
+    def wide(e: int) -> bool:
+        if e in around:
+            return True
+        if scope[e]:
+            return 10 * below[e] > 9 * below[scope[e]]
+        return not tops and 3 * below[e] > below[0]  # beside an article it may be comments
+
+    return wide
+
+
 def labels(tree: Tree) -> np.ndarray | None:
     """Each element's label from the page's one article or main; None for a page without."""
     for name in ("article", "main"):

@@ -76,6 +76,28 @@ def test_parts_of_a_page(spark):
     assert got[1] == got[2] == "" and got[6] == "only"
 
 
+def test_names_on_the_frame_of_a_page(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    model = html_extract.Model(html_extract.train(pages))
+    body = "<p>One two three four five six.</p><p>Seven eight nine ten.</p>"
+    want = "One two three four five six.\nSeven eight nine ten."
+    aside = '<div class="comments"><p>a comment</p></div>'
+    framed = [
+        f'<html class="no-search"><body class="page no-sidebar"><nav>n</nav><article>{body}{aside}</article></body></html>',
+        f'<body class="search-results"><article class="post has-comments" id="ad">{body}{aside}</article></body>',
+        f'<body><form action="/"><div class="has-sidebar"><article>{body}{aside}</article></div><input></form></body>',
+        f'<body><main class="notice"><article class="post has-comments"><div class="share">{body}</div></article></main>{aside}</body>',
+        f'<body><article>{body}<p data-role="search" data-id="ad">data</p></article></body>',
+        f'<body><article>{body}</article><ol class="comments"><li><article class="comment">{"a long comment " * 9}</article></ol></body>',
+        f'<body><article>{body}</article><div class="related"><article>teaser</article></div><form>sign up</form></body>',
+    ]
+    assert html_extract.main_texts(framed, model) == [want] * 4 + [want + "\ndata"] + [want] * 2
+    for page in (f'<body><div class="no-sidebar">{body}</div></body>', f'<body><form>{body}</form></body>'):
+        assert not html_extract.barred(html_extract.Tree(page)).any()  # left to the marginals
+    learnt = html_extract.labels(html_extract.Tree(framed[1]))
+    assert learnt.sum() == 3  # the article and its paragraphs
+
+
 def test_marginals_are_exact():
     """Message passing against the sum over all labellings."""
     rng = np.random.default_rng(2)
