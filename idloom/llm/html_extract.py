@@ -71,9 +71,10 @@ CLOSED_BY = {
 #: An element of these keeps open paragraphs and items outside of it open.
 SCOPE = _names("article aside body div table td th section main nav footer header form blockquote ul ol dl html")
 
+#: Quotes hold a value right after an equals sign alone; any other is an ordinary character.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*+)|[^>])*+)>""", re.S)
 ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I | re.S)
 PARTS = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")

@@ -98,6 +98,14 @@ def test_names_on_the_frame_of_a_page(spark):
     assert learnt.sum() == 3  # the article and its paragraphs
 
 
+def test_odd_quotes():
+    texts = lambda page: [t for _, t in html_extract.Tree(page).texts if t]
+    assert texts("<p data-t=it's>one</p><p>two isn't three</p>") == ["one", "two isn't three"]
+    assert texts("""<a href="x"">one</a> "two\"""") == ["one", ' "two"']
+    assert texts("""<a title="a > b" href='c > d' rel = "e>f">one</a>""") == ["one"]
+    assert texts("""<p title="open>one</p>""") == ["one"]
+
+
 def test_marginals_are_exact():
     """Message passing against the sum over all labellings."""
     rng = np.random.default_rng(2)
