@@ -79,6 +79,24 @@ def op10_tree_model_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(_read(spark, sf_dir, "pages"))
 
 
+def op11_reduced_alphabet_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import thinned, variants
+
+    return variants(_read(spark, sf_dir, "documents"), change=thinned)
+
+
+def op12_b_bit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import near_duplicates
+
+    return near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op13_dense_blocked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexical_search import search
+
+    return search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,6 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_link_graph_url_filter": op8_link_graph_url_filter,
     "op9_rare_first_jaccard_join": op9_rare_first_jaccard_join,
     "op10_tree_model_html": op10_tree_model_html,
+    "op11_reduced_alphabet_spelling": op11_reduced_alphabet_spelling,
+    "op12_b_bit_minhash": op12_b_bit_minhash,
+    "op13_dense_blocked_search": op13_dense_blocked_search,
     "pipeline": pipeline,
 }
 
@@ -135,4 +156,69 @@ j as (select k.*, coalesce(keeper <> doc_id, false) as dropped from k left join
 select doc_id, count(*)::bigint as n_lines, count(*) filter (dropped)::bigint as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by i) filter (not dropped), '')) as kept_sha256
 from j group by doc_id""",
+    "op11_reduced_alphabet_spelling": r"""
+with recursive
+crc(i, c, k) as (  -- the table of the checksum's 256 byte values
+  select i, i, 0 from range(256) t(i)
+  union all select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from crc where k < 8),
+lookup as (select list(c order by i) as t from crc where k = 8),
+runs as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')) as run from documents) group by all),
+bytes as (
+  select doc_id, run, n, flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
+    lambda ch: case when unicode(ch) < 128 then [unicode(ch)::bigint] else [192 + (unicode(ch) >> 6)::bigint, 128 + (unicode(ch) & 63)::bigint] end)) as b
+  from runs where length(run) >= 7),
+hashed as (
+  select run, n, xor(4294967295, list_reduce(b, lambda h, x: xor(h >> 8, t[(xor(h, x) & 255) + 1]), 4294967295::bigint)) as h
+  from bytes, lookup),
+words as (
+  select case when h % 31 = 0 then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, sum(n)::bigint as n
+  from hashed group by word having length(word) >= 7 and sum(n) >= 2),
+cut as (select word, n, length(word) as len, i, left(word, i::int) || substr(word, i::int + 2) as rest from words, unnest(range(length(word))) as u(i)),
+near as (
+  select a.word, b.word as other, b.n as other_n from cut a join cut b on a.rest = b.rest and a.i = b.i and a.len = b.len and a.word <> b.word
+  union select a.word, b.word, b.n from cut a join words b on a.rest = b.word
+  union select b.word, a.word, a.n from cut a join words b on a.rest = b.word),
+best as (select word, count(*) as n_near, first(other order by other_n desc, other) as other, max(other_n) as other_n from near group by word),
+formed as (
+  select words.word, words.n, coalesce(n_near, 0)::bigint as n_near, case when other_n >= 10 * n then other end as form, case when other_n >= 10 * n then other_n end as form_n
+  from words left join best using (word)),
+way(word, reached, steps) as (
+  select word, word, 0 from formed
+  union all select way.word, form, steps + 1 from way join formed on reached = formed.word where form is not null)
+select formed.word, form, root, n, n_near, form_n
+from formed join (select word, last(reached order by steps) as root from way group by word) using (word)""",
+    "op12_b_bit_minhash": r"""
+with recursive
+d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select distinct doc_id, md5(array_to_string(w[i:i + 4], ' ')) as shingle
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from d where len(w) > 0)),
+size as (select doc_id, count(*) as n from s group by doc_id),
+links as (
+  select a.doc_id as x, b.doc_id as y from s a join s b using (shingle) join size p on p.doc_id = a.doc_id join size q on q.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id having 100 * count(*) >= 85 * (max(p.n) + max(q.n) - count(*))),
+reach(x, y) as (select x, y from links union select reach.x, links.y from reach join links on reach.y = links.x),
+least as (select x as doc_id, min(y) as component_id from reach group by x)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(component_id, d.doc_id) as component_id, coalesce(component_id, d.doc_id) = d.doc_id as kept
+from d left join size using (doc_id) left join least using (doc_id)""",
+    "op13_dense_blocked_search": r"""
+with terms as (
+  select kind, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (select 'doc' as kind, doc_id as id, text from documents union all select 'item', item_id, text from benchmark)),
+tf as (select id as doc_id, term, count(*)::bigint as tf from terms where kind = 'doc' group by all),
+docs as (select doc_id, sum(tf)::bigint as n from tf group by doc_id),
+all_docs as (select count(*)::bigint as N_docs, sum(n)::bigint as L from docs),
+items as (select distinct id as item_id, term from terms where kind = 'item'),
+weight as (select term, floor(1000 * ln((2 * max(N_docs) + 2) / (2 * count(*) + 1)))::bigint as w from tf, all_docs group by term),
+scored as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * N_docs) // L))))::bigint as score
+  from items join tf using (term) join weight using (term) join docs using (doc_id), all_docs
+  group by item_id, doc_id)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+from scored where score > 0
+qualify rank <= 10""",
 }
