@@ -7,9 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from idloom.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,11 +16,3 @@ def spark():
                       extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
-
-
-def ts(s):
-    """'2024-01-02' or '2024-01-02 03:04:05' -> datetime (None passes)."""
-    import datetime as dt
-    if s is None:
-        return None
-    return dt.datetime.fromisoformat(s)

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from conftest import ts
+from helpers import ts
 from idloom.config import PipelineConfig
 from idloom.operators.email import email_dimension, flag_latest_per_creator
 

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import ts
+from helpers import ts
 from idloom.operators import quality
 from idloom.operators.idmap import external_id_map
 

@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ts
+from helpers import ts
 from idloom.operators.pit import overlapping_intervals, owner_at
 from idloom.operators.timeline import handle_log, timeline_from_pairs
 

@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from idloom.plans.catalog import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Arrow", "Pandas")

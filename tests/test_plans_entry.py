@@ -5,7 +5,7 @@ import hashlib
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from idloom.plans.catalog import QUERIES, _pipe
 from idloom.plans.oracles import oracle_sql
 from idloom.plans.pipeline import target_schema

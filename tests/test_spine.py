@@ -1,4 +1,4 @@
-from conftest import ts
+from helpers import ts
 from idloom.operators.spine import creator_spine
 
 OBS = "tiktok_id string, handle_name string, source_table string, created_at timestamp_ntz, updated_at timestamp_ntz"

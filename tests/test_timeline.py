@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ts
+from helpers import ts
 from idloom.config import PipelineConfig
 from idloom.operators.observe import observation_map, observed_at
 from idloom.operators.timeline import handle_log, ownership_timeline, timeline_from_pairs
