@@ -141,6 +141,24 @@ def _signatures(docs: DataFrame, n: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc long, key long, size int, node {_NAME}, bands array<long>, {lows}")
 
 
+def _of_bands(nodes: DataFrame, shared: np.ndarray) -> DataFrame:
+    """(band, the other columns) of ``nodes(bands, ...)`` for each band key that
+    may be shared."""
+    bitmap = nodes.sparkSession.sparkContext.broadcast(shared)
+    rest = [f for f in nodes.schema.fields if f.name != "bands"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands = batch.column("bands")
+            keys = bands.flatten().to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(bands.offsets.to_numpy()))
+            some = bitmaps.found(bitmap.value, keys.view(np.uint64))
+            own = pa.array(owner[some])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[some]), *(batch.column(f.name).take(own) for f in rest)], ["band", *(f.name for f in rest)])
+
+    return nodes.mapInArrow(run, "band long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rest))
+
+
 def _sets(docs: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
     """(key, node, items) of the rows whose key may be wanted."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -199,9 +217,11 @@ class NearDedup:
     def _members(self) -> DataFrame:
         """(band, node, size, low..., rank): the nodes of every band key that two nodes have."""
         fields = ["node", "size", *(f"low{i}" for i in range(LONGS))]
-        keyed = self.signed.where("bands is not null and size > 0").select(F.explode("bands").alias("band"), *fields)
-        shared = keyed.groupBy("band").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+        sent = self.signed.where("bands is not null and size > 0")
+        shared = sent.select(F.explode("bands").alias("band"), "node").groupBy("band")
+        shared = shared.agg(F.min("node").alias("_lo"), F.max("node").alias("_hi"), F.count(F.lit(1)).alias("_n"))
         shared = written(shared.where("_lo < _hi").select("band", "_n"), "shared-bands")
+        keyed = _of_bands(sent.select("bands", *fields), bitmaps.occurring(shared, "band"))
         members = written(keyed.join(shared, "band").groupBy("band", *fields).agg(F.max("_n").alias("met")), "band-members")
         # what meets most others leads; nodes that meet equally many are dealt to 64 parts by a hash
         met = members.groupBy("node").agg(F.sum("met").alias("all_met"))
@@ -220,8 +240,10 @@ class NearDedup:
         return written(found.dropDuplicates(["node"]), "sets")
 
     def _similar(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b, ca, cb) whose whole sets are similar."""
-        sets = [self.sets.select(F.col("node").alias(x), F.col("items").alias(f"items_{x}")) for x in "ab"]
+        """The pairs (a, b, ca, cb) whose whole sets are similar. Few nodes lead,
+        so that the sets of b are few."""
+        sets = [self.sets.join(pairs.select(F.col(x).alias("node")).distinct(), "node", "left_semi") for x in "ab"]
+        sets = [s.select(F.col("node").alias(x), F.col("items").alias(f"items_{x}")) for x, s in zip("ab", sets)]
         both = pairs.join(sets[0], "a").join(sets[1], "b")
         both = both.select("ca", "cb", F.size("items_a").alias("na"), F.size("items_b").alias("nb"), F.size(F.array_intersect("items_a", "items_b")).alias("common"))
         return both.where(F.col("common") * (self.den + self.num) >= (F.col("na") + F.col("nb")) * self.num).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
