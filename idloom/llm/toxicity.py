@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .storage import written
 
 BITS = 18
 SIZE = 1 << BITS
@@ -85,12 +86,13 @@ def _weights(z: np.ndarray, n: np.ndarray, p: Params) -> np.ndarray:
 def _learn(texts: list, labels: np.ndarray, z: np.ndarray, n: np.ndarray, p: Params) -> None:
     """FTRL-proximal over the rows in their order; place SIZE is the bias, which
     has no L1 term. Changes z and n."""
-    data, offsets = W.text_buffers(pa.array(texts, pa.string()))
-    own, place = features(data, offsets)
-    first = np.searchsorted(own, np.arange(len(texts) + 1))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
+    held: list[np.ndarray] = []  # places of each text; features() needs some hundred bytes for each byte of text
+    for part in W.slices(batch, "text"):
+        own, place = features(*W.text_buffers(part.column("text")))
+        held += np.split(place.astype(np.int32), np.searchsorted(own, np.arange(1, part.num_rows)))
     for _ in range(p.epochs):
-        for i, y in enumerate(labels):
-            at = place[first[i] : first[i + 1]]
+        for at, y in zip(held, labels):
             w = _weights(z[at], n[at], p)
             bias = -z[SIZE] / ((p.beta + np.sqrt(n[SIZE])) / p.alpha + p.l2)
             g = 1 / (1 + np.exp(-np.clip(w.sum() + bias, -35, 35))) - y
@@ -117,6 +119,7 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").select(
         "text", "y", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(p.workers)).alias("worker"), F.xxhash64("doc_id", F.lit(11)).alias("turn"))
     z, n = np.zeros(SIZE + 1), np.zeros(SIZE + 1)
+    rows = written(rows, "labelled-rows")  # every round reads them
     spark = docs.sparkSession
     for _ in range(p.rounds):
         state = spark.sparkContext.broadcast((z, n))
@@ -142,10 +145,10 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
     return Model(float(-z[SIZE] / ((p.beta + np.sqrt(n[SIZE])) / p.alpha + p.l2)), places, w[places])
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` in front; no shuffle. A column of ``docs`` of
-    that name is left out."""
-    rest = [c for c in docs.columns if c.lower() != "score"]
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with the score in front, as column ``name``; no shuffle. A
+    column of ``docs`` of that name is left out."""
+    rest = [c for c in docs.columns if c.lower() != name.lower()]
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.places, model.weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,11 +162,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 own, place = features(data, offsets, wanted)
                 total = np.bincount(own, w[place], minlength=part.num_rows) + bias
                 s = np.where(np.isneginf(total), 0.0, 1 / (1 + np.exp(-np.clip(total, -35, 35))))
-                yield pa.RecordBatch.from_arrays([pa.array(s), *(part.column(c) for c in rest)], ["score", *rest])
+                yield pa.RecordBatch.from_arrays([pa.array(s), *(part.column(c) for c in rest)], [name, *rest])
 
     schema = docs.select(*rest).schema
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return docs.select(*rest).mapInArrow(run, f"score double, {names}")
+    return docs.select(*rest).mapInArrow(run, f"`{name}` double, {names}")
 
 
 def classify(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> DataFrame:

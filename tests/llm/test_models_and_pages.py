@@ -248,3 +248,35 @@ def test_neighbours_with_repeated_ids(spark):
     assert [r.vec_id for r in few.orderBy("rank").collect()] == [1] * 5
     asked = nearest(vectors(spark, [*[(50, a)] * 7, (2, a), (3, b)]), 50, 5)
     assert [r.vec_id for r in asked.orderBy("rank").collect()] == [2, 3]
+
+
+def test_learning_is_ftrl_proximal(spark):
+    """One worker and one round against the updates in plain Python."""
+    import math
+
+    import pyarrow as pa
+
+    from idloom.llm import toxicity
+    from idloom.llm import words as W
+
+    rnd = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rnd.integers(0, 30, 12)) for _ in range(40)] + ["", None]
+    labels = np.array([float(t is not None and "w3 " in t) for t in texts])
+    p = toxicity.Params(l1=0.3, epochs=2)
+    z, n = np.zeros(toxicity.SIZE + 1), np.zeros(toxicity.SIZE + 1)
+    toxicity._learn(texts, labels, z, n, p)
+    sum_z, sum_n = {}, {}
+    weight = lambda k, l1: 0.0 if abs(sum_z.get(k, 0.0)) <= l1 else -(sum_z[k] - math.copysign(l1, sum_z[k])) / ((p.beta + math.sqrt(sum_n[k])) / p.alpha + p.l2)
+    for _ in range(p.epochs):
+        for text, y in zip(texts, labels):
+            _, places = toxicity.features(*W.text_buffers(pa.array([text], pa.string())))
+            w = {k: weight(k, p.l1) for k in places.tolist()} | {"bias": weight("bias", 0.0)}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for k, v in w.items():
+                before = sum_n.get(k, 0.0)
+                sum_z[k] = sum_z.get(k, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / p.alpha * v
+                sum_n[k] = before + g * g
+    for k, v in sum_z.items():
+        at = toxicity.SIZE if k == "bias" else k
+        assert abs(z[at] - v) < 1e-9 and abs(n[at] - sum_n[k]) < 1e-9
+    assert (n > 0).sum() == len(sum_n)
