@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 def test_queries_are_registered_once_each():
     names = list(QUERIES)
     assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and 4 <= len(corpus_pipeline.STAGES) <= 5
 
@@ -94,3 +94,13 @@ def test_stages_take_empty_and_odd_tables(spark, odd, tmp_path):
             run(spark, table, SF).write.parquet(f"{tmp_path}/{name}-{stage}")
             table = spark.read.parquet(f"{tmp_path}/{name}-{stage}")
         assert (table.count() > 0) == (name == "odd")
+
+
+def test_columns_that_stages_add_are_the_inputs_own(spark, sf_docs):
+    """score, n_lines and n_dropped of the input pass the first stages unchanged."""
+    docs = sf_docs.limit(60).selectExpr("*", "doc_id + 0.25 as score", "doc_id + 1 as n_lines", "doc_id + 2 as n_dropped")
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all((r.score, r.n_lines, r.n_dropped) == (r.doc_id + 0.25, r.doc_id + 1, r.doc_id + 2) for r in rows), name
