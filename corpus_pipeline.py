@@ -31,13 +31,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("score < 0.5").select(*docs.columns)
+    return toxicity.score(docs, model, "_toxicity").where("_toxicity < 0.5").select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(docs)
+    own = {c: f"_own_{c}" for c in docs.columns if c.lower() in ("n_lines", "n_dropped")}  # names that the operator adds
+    out = line_dedup.dedup_lines(docs.withColumnsRenamed(own))
     changed = F.col("n_dropped") > 0
-    columns = [F.when(changed, F.char_length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    columns = [F.when(changed, F.char_length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(own.get(c, c)).alias(c) for c in docs.columns]
     return out.select(*columns)
 
 
