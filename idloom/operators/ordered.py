@@ -2,19 +2,28 @@
 
 ``Window.partitionBy(key).orderBy(time)`` sends all rows of a key to one task.
 The lookups here go in two levels instead, with the same plan at every size:
-windows over (key, hour) see the rows of one hour, windows over the key see
-one row for each of its hours, and the two are joined on (key, hour). Rows that
-tie on (key, time) are aggregated before, and meet their result in an equi-join
-whose two sides have shuffles of their own, which Spark's adaptive execution
-splits when one key is hot.
+windows over (key, bucket) see the rows of one bucket, windows over the key see
+one row for each of its buckets, and the two are joined on (key, bucket).
+
+A key's buckets come from its own data: one aggregate takes a quantile sketch
+of each key's times, and a key of more than ``most`` rows is cut at quantiles
+into parts of about ``most`` rows, be they spread over years or loaded within
+one second. Other keys are one bucket. Rows that tie on (key, time) are
+aggregated before, and meet their result in an equi-join whose two sides have
+shuffles of their own, which Spark's adaptive execution splits when one key is
+hot.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_HOUR = 3_600_000_000
+#: Quantiles of a key that are kept: the most buckets it can have.
+GRID = 1024
+#: Rows of a key above which it is cut, and about the rows of a bucket.
+ROWS_PER_BUCKET = 1 << 17
+_RUN = 32  # bounds are searched 32 by 32
 
 
 def ntz_micros(col) -> Column:
@@ -28,7 +37,20 @@ def ntz_micros(col) -> Column:
     return days * 86400000000 + secs * 1000000 + frac
 
 
-def hour_bucket(col) -> Column:
-    """Hours since 1970-01-01, rounded down: grows with the time."""
-    micros = ntz_micros(col)
-    return (micros - F.pmod(micros, F.lit(_HOUR))) / F.lit(_HOUR).cast("double")
+def time_buckets(rows: DataFrame, key: str, time: str, counted: str | None = None, most: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``rows`` with ``_bucket`` (0 and up), which grows with ``time`` within
+    ``key``. ``counted``: a column without NULLs to count rows by; naming one
+    that the other readers of ``rows`` need lets Spark reuse its shuffle."""
+    cuts = F.percentile_approx(ntz_micros(time), [i / GRID for i in range(1, GRID)], 10000)
+    sketch = rows.groupBy(F.col(key).alias("_key")).agg(F.count(counted or time).alias("_n"), cuts.alias("_cuts"))
+    step = F.greatest(F.lit(1), F.ceil(F.lit(GRID * most) / F.col("_n"))).cast("int")
+    heavy = sketch.filter(F.col("_n") > most).withColumn("_step", step).select(
+        "_key", F.xxhash64("_key").alias("_mixed"),
+        F.expr("filter(_cuts, (x, i) -> (i + 1) % _step = 0)").alias("_bounds"))
+    heavy = heavy.withColumn("_runs", F.expr(f"filter(_bounds, (x, i) -> (i + 1) % {_RUN} = 0)"))
+    # the hash makes the join use a shuffle of its own, not the sketch's, so that a hot key can be split
+    out = rows.withColumn("_at", ntz_micros(time)).join(heavy, (F.col(key) == F.col("_key")) & (F.xxhash64(key) == F.col("_mixed")), "left")
+    out = out.withColumn("_before", F.size(F.filter("_runs", lambda x: x <= F.col("_at"))) * _RUN)
+    within = F.size(F.filter(F.slice("_bounds", F.col("_before") + 1, _RUN), lambda x: x <= F.col("_at")))
+    bucket = F.when(F.col("_bounds").isNotNull(), F.col("_before") + within).otherwise(0)
+    return out.select(*[F.col(c) for c in rows.columns], bucket.alias("_bucket"))

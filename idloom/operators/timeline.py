@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from idloom.config import PipelineConfig
 from idloom.operators.observe import observed_at
-from idloom.operators.ordered import hour_bucket
+from idloom.operators.ordered import ROWS_PER_BUCKET, time_buckets
 
 
 def first_seen_pairs(obs: DataFrame, key: str = "handle_name", owner: str = "tiktok_id",
@@ -32,7 +32,7 @@ def first_seen_pairs(obs: DataFrame, key: str = "handle_name", owner: str = "tik
 def timeline_from_pairs(pairs: DataFrame, key: str = "handle_name", owner: str = "tiktok_id",
                         start: str = "handle_start", end: str = "handle_end",
                         first_col: str = "created_at", flag: str = "is_current_owner",
-                        strategy: str = "buckets") -> DataFrame:
+                        strategy: str = "buckets", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``end`` (next pair's start), ``first_col`` (the key's first start)
     and ``flag`` (no end = current owner) to the first-sighting pairs, which
     are unique by (key, owner).
@@ -45,7 +45,7 @@ def timeline_from_pairs(pairs: DataFrame, key: str = "handle_name", owner: str =
         out = (pairs.withColumn(end, F.lead(start).over(w))
                     .withColumn(first_col, F.min(start).over(Window.partitionBy(key))))
     elif strategy == "buckets":
-        nexts = _next_starts(pairs, key, owner, start, first_col)
+        nexts = _next_starts(pairs, key, owner, start, first_col, rows_per_bucket)
         same = (F.col(f"p.{key}") == F.col(f"n.{key}")) & F.col(f"p.{start}").eqNullSafe(F.col(f"n.{start}"))
         # all but the last owner of a start are followed by that start again
         later = F.when(F.col(f"p.{owner}") < F.col("_last"), F.col(f"p.{start}")).otherwise(F.col("_next"))
@@ -56,19 +56,19 @@ def timeline_from_pairs(pairs: DataFrame, key: str = "handle_name", owner: str =
     return out.select(key, owner, first_col, start, end, F.col(end).isNull().alias(flag))
 
 
-def _next_starts(pairs: DataFrame, key: str, owner: str, start: str, first_col: str) -> DataFrame:
+def _next_starts(pairs: DataFrame, key: str, owner: str, start: str, first_col: str, rows_per_bucket: int) -> DataFrame:
     """(key, start, _last, _next, first): each distinct start of a key with its
     last owner, the key's next distinct start and its first one; and one row
     with a NULL start for each key that has a dated pair."""
-    starts = (pairs.filter(F.col(start).isNotNull()).groupBy(key, start).agg(F.max(owner).alias("_last"))
-                   .withColumn("_hour", hour_bucket(start)))
-    starts = starts.withColumn("_next", F.lead(start).over(Window.partitionBy(key, "_hour").orderBy(start)))
-    hours = starts.groupBy(key, "_hour").agg(F.min(start).alias("_head"))
-    hours = hours.select(key, "_hour", F.lead("_head").over(Window.partitionBy(key).orderBy("_hour")).alias("_after"),
-                         F.min("_head").over(Window.partitionBy(key)).alias(first_col))
-    dated = starts.join(hours, [key, "_hour"]).select(
+    starts = pairs.filter(F.col(start).isNotNull()).groupBy(key, start).agg(F.max(owner).alias("_last"))
+    starts = time_buckets(starts, key, start, counted="_last", most=rows_per_bucket)
+    starts = starts.withColumn("_next", F.lead(start).over(Window.partitionBy(key, "_bucket").orderBy(start)))
+    buckets = starts.groupBy(key, "_bucket").agg(F.min(start).alias("_head"))
+    buckets = buckets.select(key, "_bucket", F.lead("_head").over(Window.partitionBy(key).orderBy("_bucket")).alias("_after"),
+                             F.min("_head").over(Window.partitionBy(key)).alias(first_col))
+    dated = starts.join(buckets, [key, "_bucket"]).select(
         key, start, "_last", F.coalesce("_next", "_after").alias("_next"), first_col)
-    undated = hours.groupBy(key).agg(F.min(first_col).alias(first_col)).select(
+    undated = buckets.groupBy(key).agg(F.min(first_col).alias(first_col)).select(
         key, F.lit(None).cast("timestamp_ntz").alias(start), F.lit(None).cast("string").alias("_last"),
         F.lit(None).cast("timestamp_ntz").alias("_next"), first_col)
     return dated.unionByName(undated)

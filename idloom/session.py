@@ -66,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def materialize(df, label: str = "stage"):
+def materialize(df, label: str = "stage", paths: list | None = None):
     """Write ``df`` once as a Parquet table under the shared checkpoint folder
     and return a DataFrame reading it back.
 
@@ -77,7 +77,8 @@ def materialize(df, label: str = "stage"):
     readers get column pruning and filter push-down, and it lives on shared
     storage, so a lost executor does not force recomputation from the raw
     sources. The copies stay until ``cleanup_materialized`` (or the
-    checkpoint folder's retention policy) removes them.
+    checkpoint folder's retention policy) removes them; with ``paths``, the
+    copy is the caller's, listed there, for ``remove_written``.
     """
     import uuid
 
@@ -85,7 +86,7 @@ def materialize(df, label: str = "stage"):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/idloom-{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    _WRITTEN.append(path)
+    (_WRITTEN if paths is None else paths).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -93,14 +94,19 @@ _WRITTEN: list[str] = []
 
 
 def cleanup_materialized(spark) -> int:
-    """Delete the intermediate copies this process wrote (through the Hadoop
-    FileSystem API, so it works on HDFS and object stores). Call it once the
+    """Delete the intermediate copies this process wrote. Call it once the
     DataFrames built from them are no longer needed; returns the count."""
+    return remove_written(spark, _WRITTEN)
+
+
+def remove_written(spark, paths: list) -> int:
+    """Delete the copies in ``paths`` and empty the list (through the Hadoop
+    FileSystem API, so it works on HDFS and object stores)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
-    while _WRITTEN:
-        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+    while paths:
+        p = jvm.org.apache.hadoop.fs.Path(paths.pop())
         if p.getFileSystem(conf).delete(p, True):
             n += 1
     return n
