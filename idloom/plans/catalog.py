@@ -6,6 +6,7 @@ Every query reads the driver tables under ``sf_dir`` through the adapters
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,14 @@ from idloom.functions.casts import cast_to
 from idloom.functions.text import clean_lower, clean_text
 from idloom.operators import email as email_ops
 from idloom.operators import quality, spine, timeline
-from idloom.operators.pit import owner_at
+from idloom.operators.pit import overlapping_intervals, owner_at, owners_at
+from idloom.operators.ranking import with_positions
 from idloom.operators.observe import observed_at
 from idloom.plans.pipeline import Pipeline
+from idloom.plans.views import create_views
+from idloom.plans.writers import write_table
+from idloom.session import ensure_checkpoint_dir
+from idloom.sources import adapters
 from idloom.sources.adapters import raw_sources
 from idloom.sources.registry import read_driver_tables
 
@@ -102,10 +108,78 @@ def sighting_facts(obs: DataFrame) -> DataFrame:
 
 
 def q_owner_at_time(spark, sf_dir, config: PipelineConfig | None = None):
-    p = _pipe(spark, sf_dir, config)
+    # the facts are sightings, so the log and the facts read one copy of the map
+    p = _pipe(spark, sf_dir, config).share("stg_tiktok_id_handle_map", "dim_creator_handle_log")
     return owner_at(sighting_facts(p.observations), p.handle_log, ts="observed_at")
 
 
+def sighting_spans(obs: DataFrame) -> DataFrame:
+    """From the first to the last dated sighting of each (handle, id), a day at
+    least: spans of one handle overlap."""
+    at = observed_at()
+    spans = obs.filter(F.col("handle_name").isNotNull() & F.col("tiktok_id").isNotNull()).groupBy("handle_name", "tiktok_id")
+    spans = spans.agg(F.min(at).alias("valid_from"), F.max(at).alias("_last"))
+    return spans.select(F.col("handle_name").alias("handle"), "tiktok_id", "valid_from",
+                        F.greatest("_last", F.col("valid_from") + F.expr("interval 1 day")).alias("valid_to"))
+
+
+def q_owners_at_time(spark, sf_dir):
+    """Every owner in sight at each sighting: several for many facts."""
+    p = _pipe(spark, sf_dir).share("stg_tiktok_id_handle_map", "dim_creator_handle_log")
+    return owners_at(sighting_facts(p.observations), sighting_spans(p.observations), ts="observed_at")
+
+
+def q_overlapping_intervals(spark, sf_dir):
+    return overlapping_intervals(sighting_spans(_pipe(spark, sf_dir).observations))
+
+
+def q_timeline_positions(spark, sf_dir):
+    order = [F.col("handle_name").asc_nulls_last(), F.col("handle_start").asc_nulls_last()]
+    timeline_ = _pipe(spark, sf_dir).timeline.select("handle_name", "handle_start", "tiktok_id")
+    return with_positions(timeline_, order)
+
+
+def q_spine_positions(spark, sf_dir):
+    rank = (F.when(F.col("tiktok_id").isNotNull() & F.col("handle").isNotNull(), 0)
+             .when(F.col("tiktok_id").isNotNull(), 1).otherwise(2))
+    order = [rank, F.col("handle").asc_nulls_last(), F.col("tiktok_id").asc_nulls_last()]
+    return with_positions(_pipe(spark, sf_dir).spine.select("handle", "tiktok_id", "creator_key", "first_observed_at"), order)
+
+
+def q_first_seen_by_ordinals(spark, sf_dir):
+    """SQL text with grouping by position over a model."""
+    return _pipe(spark, sf_dir).sql("""select handle_name, tiktok_id, min(least(created_at, updated_at)) as handle_start
+from {stg_tiktok_id_handle_map} where handle_name is not null and tiktok_id is not null group by 1, 2""")
+
+
+def q_email_sources_by_ordinals(spark, sf_dir):
+    return _pipe(spark, sf_dir).sql("""select data_source, is_current, count(*) as n, min(created_at) as first_created
+from {dim_creator_email} group by 1, 2 having count(*) > 1 order by 3 desc, 1, 2""")
+
+
+def _stored_view(name: str):
+    """A view model as stored in the catalog, over raw relations that are views too."""
+    def q(spark, sf_dir):
+        relations = {}
+        raw = raw_sources(spark, sf_dir)
+        spark.sql("CREATE DATABASE IF NOT EXISTS idloom_raw")
+        for s in raw:
+            text = adapters.ADAPTER_SQL[s].format(**{t: f"parquet.`{sf_dir.rstrip('/')}/{t}.parquet`" for t in adapters.TABLES_USED})
+            spark.sql(f"CREATE OR REPLACE VIEW idloom_raw.{s.lower()} AS {text}")
+            relations[s] = f"idloom_raw.{s.lower()}"
+        create_views(spark, relations, PipelineConfig(base_schema="idloom_views"))
+        return spark.table(f"idloom_views.{name}")
+    return q
+
+
+def _published(name: str):
+    """A published table, written with its gate and read back."""
+    def q(spark, sf_dir):
+        df = _pipe(spark, sf_dir).core_tables()[name]
+        return write_table(spark, df, name, schema="CORE", root=f"{ensure_checkpoint_dir(spark)}/published-{uuid.uuid4().hex}")
+    return q
+
+
 # The *_range names stay registered; they run the one plan of all sizes.
 q_ownership_timeline_range = q_ownership_timeline
 q_owner_at_time_range = q_owner_at_time
@@ -219,6 +293,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "handle_log": q_handle_log,
     "owner_at_time": q_owner_at_time,
     "owner_at_time_range": q_owner_at_time_range,
+    "owners_at_time": q_owners_at_time,
+    "overlapping_intervals": q_overlapping_intervals,
+    "timeline_positions": q_timeline_positions,
+    "spine_positions": q_spine_positions,
+    "first_seen_by_ordinals": q_first_seen_by_ordinals,
+    "email_sources_by_ordinals": q_email_sources_by_ordinals,
+    "stored_view_handle_map": _stored_view("stg_tiktok_id_handle_map"),
+    "stored_view_timeline": _stored_view("stg_tiktok_id_handle_map_time"),
+    "stored_view_creator": _stored_view("stg_creator"),
+    "stored_view_market": _stored_view("stg_market"),
+    "published_handle_log": _published("dim_creator_handle_log"),
+    "published_id_map": _published("dim_creator_id_map"),
+    "published_email": _published("dim_creator_email"),
     "ids_without_handle": q_ids_without_handle,
     "handles_without_id": q_handles_without_id,
     "creator_spine": q_creator_spine,

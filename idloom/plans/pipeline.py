@@ -6,8 +6,10 @@ DataFrames; the three published tables are written with a full rebuild.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 from functools import cached_property
+from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,10 +18,20 @@ from idloom.operators import email as email_ops
 from idloom.operators import idmap, quality, spine, staging, timeline
 from idloom.operators.observe import observation_map
 from idloom.plans.writers import write_table
+from idloom.session import materialize, remove_written
 
 # Schema folder of each model group.
 MODEL_FOLDER = {"core": "core", "staging": "staging", "staging_clean": "staging"}
 
+# Which models read which.
+MODEL_READS = {
+    "stg_tiktok_id_handle_map_time": ("stg_tiktok_id_handle_map",),
+    "stg_creator": ("stg_tiktok_id_handle_map_time", "stg_tiktok_id_handle_map"),
+    "dim_creator_handle_log": ("stg_tiktok_id_handle_map_time",),
+}
+#: Models that more than one projection of a source goes into, by dependency.
+SHAREABLE = {"stg_tiktok_id_handle_map": "observations", "stg_tiktok_id_handle_map_time": "timeline", "dim_creator_handle_log": "handle_log"}
+
 
 def target_schema(env: str, custom_schema: str | None, base_schema: str) -> str:
     """Schema a model is written to: in "prod" the folder's schema in upper
@@ -61,6 +73,7 @@ class Pipeline:
         self.raw = raw
         self.config = config or PipelineConfig()
         self.missing = missing
+        self._shared: list[str] = []  # paths of models written once
 
     # cleaning layer (views)
     @cached_property
@@ -75,6 +88,8 @@ class Pipeline:
 
     @cached_property
     def timeline(self) -> DataFrame:
+        if "observations" in self.__dict__ and self._shared:  # written once, for several readers
+            return timeline.ownership_timeline(self.observations, self.config)
         # Only complete sightings matter to the timeline; this form pushes the
         # raw IS NOT NULL predicates into the scans.
         complete = observation_map(self.raw, self.config, complete_only=True)
@@ -114,6 +129,39 @@ class Pipeline:
                                                 self.config.blank_id_to_null)
         return out
 
+    def share(self, *targets: str) -> "Pipeline":
+        """Write each model once that ``targets`` read more than once, directly
+        or through others; a target's own reader counts as one. Readers built
+        afterwards read the copy. Cleaning views are not written: they are one
+        projection of their source. ``close`` removes the copies."""
+        readers: Counter = Counter(targets)
+        todo = list(dict.fromkeys(targets))
+        for name in todo:
+            for read in MODEL_READS.get(name, ()):
+                readers[read] += 1
+                if read not in todo:
+                    todo.append(read)
+        for name, attribute in SHAREABLE.items():  # in the order of their dependencies
+            if readers[name] > 1 and attribute not in self.__dict__:
+                self.__dict__[attribute] = materialize(getattr(self, attribute), name, self._shared)
+        return self
+
+    def close(self) -> None:
+        """Remove what ``share`` wrote; its readers are done with."""
+        if self._shared:
+            remove_written(SparkSession.active(), self._shared)
+        for attribute in SHAREABLE.values():
+            self.__dict__.pop(attribute, None)
+
+    def sql(self, text: str) -> DataFrame:
+        """The rows of SQL ``text`` in which ``{model}`` names a model, e.g.
+        ``select id_type, count(*) from {dim_creator_id_map} group by 1``. Only
+        the models named are built."""
+        names = {field for _, field, _, _ in Formatter().parse(text) if field}
+        models = {name: self._model(name) for name in names}
+        spark = next(iter(models.values())).sparkSession
+        return spark.sql(text, **models)
+
     def core_tables(self) -> dict[str, DataFrame]:
         """The published (table) models."""
         return {"dim_creator_handle_log": self.handle_log, "dim_creator_id_map": self.id_map,

@@ -140,12 +140,12 @@ ADAPTER_SQL: dict[str, str] = {s: _full(s)[0] for s in _BASE_SQL}
 # Columns each adapter produces (checked against Spark's schema in tests).
 ADAPTER_COLUMNS: dict[str, tuple] = {s: _full(s)[1] for s in _BASE_SQL}
 
-_TABLES_USED = ("orders", "events", "lineitem", "customer", "nation")
+TABLES_USED = ("orders", "events", "lineitem", "customer", "nation")
 
 
 def adapter_sql_for(name: str) -> str:
     """Adapter text with plain table names, for DuckDB (views pre-registered)."""
-    return ADAPTER_SQL[name].format(**{t: t for t in _TABLES_USED})
+    return ADAPTER_SQL[name].format(**{t: t for t in TABLES_USED})
 
 
 def adapter_ctes(names) -> str:
@@ -173,7 +173,7 @@ class LazySources(Mapping):
             raise KeyError(name)
         if name not in self._built:
             text = ADAPTER_SQL[name]
-            kwargs = {t: self._table(t) for t in _TABLES_USED if "{" + t + "}" in text}
+            kwargs = {t: self._table(t) for t in TABLES_USED if "{" + t + "}" in text}
             self._built[name] = self._spark.sql(text, **kwargs)
         return self._built[name]
 
