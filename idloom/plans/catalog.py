@@ -113,24 +113,22 @@ def q_owner_at_time(spark, sf_dir, config: PipelineConfig | None = None):
     return owner_at(sighting_facts(p.observations), p.handle_log, ts="observed_at")
 
 
-def sighting_spans(obs: DataFrame) -> DataFrame:
-    """From the first to the last dated sighting of each (handle, id), a day at
-    least: spans of one handle overlap."""
-    at = observed_at()
-    spans = obs.filter(F.col("handle_name").isNotNull() & F.col("tiktok_id").isNotNull()).groupBy("handle_name", "tiktok_id")
-    spans = spans.agg(F.min(at).alias("valid_from"), F.max(at).alias("_last"))
-    return spans.select(F.col("handle_name").alias("handle"), "tiktok_id", "valid_from",
-                        F.greatest("_last", F.col("valid_from") + F.expr("interval 1 day")).alias("valid_to"))
+def first_claims(obs: DataFrame) -> DataFrame:
+    """Thirty days from the first sighting of each (handle, id): claims of one
+    handle overlap."""
+    pairs = timeline.first_seen_pairs(obs)
+    return pairs.select(F.col("handle_name").alias("handle"), "tiktok_id", F.col("handle_start").alias("valid_from"),
+                        (F.col("handle_start") + F.expr("interval 30 days")).alias("valid_to"))
 
 
 def q_owners_at_time(spark, sf_dir):
-    """Every owner in sight at each sighting: several for many facts."""
+    """Every id with a claim at each sighting: several for many facts."""
     p = _pipe(spark, sf_dir).share("stg_tiktok_id_handle_map", "dim_creator_handle_log")
-    return owners_at(sighting_facts(p.observations), sighting_spans(p.observations), ts="observed_at")
+    return owners_at(sighting_facts(p.observations), first_claims(p.observations), ts="observed_at")
 
 
 def q_overlapping_intervals(spark, sf_dir):
-    return overlapping_intervals(sighting_spans(_pipe(spark, sf_dir).observations))
+    return overlapping_intervals(first_claims(_pipe(spark, sf_dir).observations))
 
 
 def q_timeline_positions(spark, sf_dir):

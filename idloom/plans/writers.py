@@ -115,8 +115,8 @@ def write_table(spark: SparkSession, df: DataFrame, name: str, schema: str | Non
     ones and take their place only when the job is done and committed, so a
     failing job changes nothing.
 
-    ``key``: a column that must be there and unique (by default the table's
-    declared key, if it has one; "" for none). Rows without it are counted by
+    ``key``: a column that must have values, each once (by default the table's
+    declared key, where ``df`` has it; "" for none). Rows without it are counted by
     the write job itself (an observed metric); repeats on the new files, before
     they take the place of the old. A table that fails raises ``RefusedTable``.
     """
@@ -124,7 +124,9 @@ def write_table(spark: SparkSession, df: DataFrame, name: str, schema: str | Non
 
     from pyspark.sql import Observation
 
-    key = (DECLARED_KEYS.get(name) if key is None else key) or None
+    if key is None and DECLARED_KEYS.get(name) in df.columns:
+        key = DECLARED_KEYS[name]
+    key = key or None
     out, seen = with_comments(df, name), Observation(f"gate-{name}")
     out = out.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col(key).isNull(), 1) if key else F.lit(None)).alias("keyless"))
     beside = f"__new_{uuid.uuid4().hex}"
