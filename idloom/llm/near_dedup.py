@@ -177,6 +177,18 @@ def _sets(docs: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
     return docs.select("key", "text").mapInArrow(run, f"key long, node {_NAME}, items array<long>")
 
 
+def _marked(sets: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """The rows of ``sets(node, items, mixed)`` whose hash may be wanted."""
+    shared = sets.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mixed = batch.column("mixed").to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(bitmaps.found(shared.value, mixed.view(np.uint64))))
+
+    return sets.mapInArrow(run, sets.schema)
+
+
 def most_differing(num: int, den: int, sure: float = SURE) -> int:
     """So many of the ``HASHES`` places may differ: a pair at the threshold
     shows more with odds below ``sure``."""
@@ -237,12 +249,12 @@ class NearDedup:
         chosen = written(chosen, "chosen-rows")
         found = _sets(self.docs, self.n, bitmaps.occurring(chosen, "key"))
         found = found.join(chosen, ["key", "node"], "left_semi").select("node", "items")
-        return written(found.dropDuplicates(["node"]), "sets")
+        return written(found.dropDuplicates(["node"]).withColumn("mixed", F.xxhash64("node")), "sets")
 
     def _similar(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b, ca, cb) whose whole sets are similar. Few nodes lead,
-        so that the sets of b are few."""
-        sets = [self.sets.join(pairs.select(F.col(x).alias("node")).distinct(), "node", "left_semi") for x in "ab"]
+        """The pairs (a, b, ca, cb) whose whole sets are similar. Only sets of
+        their nodes are sent; few nodes lead, so that the sets of b are few."""
+        sets = [_marked(self.sets, bitmaps.occurring(pairs.select(F.xxhash64(x).alias("mixed")), "mixed")) for x in "ab"]
         sets = [s.select(F.col("node").alias(x), F.col("items").alias(f"items_{x}")) for x, s in zip("ab", sets)]
         both = pairs.join(sets[0], "a").join(sets[1], "b")
         both = both.select("ca", "cb", F.size("items_a").alias("na"), F.size("items_b").alias("nb"), F.size(F.array_intersect("items_a", "items_b")).alias("common"))
