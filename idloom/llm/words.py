@@ -124,7 +124,7 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``most`` bytes of text, so that the
     arrays over bytes stay small. A longer text is a run of its own."""
     size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
