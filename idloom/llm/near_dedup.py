@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from . import bitmaps
 from . import words as W
 from .components import components
-from .ngram_join import shingle_sets
+from .ngram_join import NAME, decimals, node_names, shingle_sets
 from .ranks import rank_in_groups
 from .storage import written
 
@@ -59,8 +59,6 @@ GROWTH = 16
 _rng = np.random.default_rng(20240311)
 _XOR = _rng.integers(1, 2**63, HASHES, dtype=np.uint64)
 _TIMES = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) | np.uint64(1)
-#: Names of nodes stay below 10^38, the most that decimal(38) holds.
-_NAME = "decimal(38,0)"
 
 
 def minima(own: np.ndarray, shingles: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,24 +87,6 @@ def band_keys(lows: np.ndarray, rows: int) -> np.ndarray:
     return W.mix(total + W.mix(np.arange(bands, dtype=np.uint64) + np.uint64(77)))
 
 
-def node_names(own: np.ndarray, shingles: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Set sizes, and 126 bits for each text's set as (low, high); 0 for an empty set."""
-    size = np.bincount(own, minlength=texts)
-    out = np.zeros((texts, 2), np.uint64)
-    some = size > 0
-    if len(shingles):
-        first = np.flatnonzero(np.diff(own, prepend=-1))
-        for half, salt in enumerate((0x632BE59BD9B4E019, 0xD6E8FEB86659FD93)):
-            total = np.add.reduceat(W.mix(shingles + np.uint64(salt)), first)
-            out[some, half] = W.mix(total + size[some].astype(np.uint64) * np.uint64(salt))
-        out[:, 1] >>= np.uint64(2)
-    return size, out
-
-
-def _decimals(names: np.ndarray) -> pa.Array:
-    return pa.Array.from_buffers(pa.decimal128(38, 0), len(names), [None, pa.py_buffer(np.ascontiguousarray(names).tobytes())])
-
-
 def _signatures(docs: DataFrame, n: int, rows: int) -> DataFrame:
     """(doc, key, size, node, bands, low0...) of each row. A task sends bands
     and bits of a set once, with its first row; the others have nulls."""
@@ -134,11 +114,11 @@ def _signatures(docs: DataFrame, n: int, rows: int) -> DataFrame:
                 bits = np.zeros((part.num_rows, LONGS), np.uint64)
                 bits[text] = packed(lows)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc"), part.column("key"), pa.array(size.astype(np.int32)), _decimals(names), lists, *(pa.array(c.view(np.int64)) for c in np.ascontiguousarray(bits.T))],
+                    [part.column("doc"), part.column("key"), pa.array(size.astype(np.int32)), decimals(names), lists, *(pa.array(c.view(np.int64)) for c in np.ascontiguousarray(bits.T))],
                     ["doc", "key", "size", "node", "bands", *(f"low{i}" for i in range(LONGS))])
 
     lows = ", ".join(f"low{i} long" for i in range(LONGS))
-    return docs.mapInArrow(run, f"doc long, key long, size int, node {_NAME}, bands array<long>, {lows}")
+    return docs.mapInArrow(run, f"doc long, key long, size int, node {NAME}, bands array<long>, {lows}")
 
 
 def _of_bands(nodes: DataFrame, shared: np.ndarray) -> DataFrame:
@@ -172,9 +152,9 @@ def _sets(docs: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
                 _, names = node_names(own, h, part.num_rows)
                 ends = np.concatenate(([0], np.cumsum(np.bincount(own, minlength=part.num_rows)))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), _decimals(names), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], ["key", "node", "items"])
+                    [part.column("key"), decimals(names), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], ["key", "node", "items"])
 
-    return docs.select("key", "text").mapInArrow(run, f"key long, node {_NAME}, items array<long>")
+    return docs.select("key", "text").mapInArrow(run, f"key long, node {NAME}, items array<long>")
 
 
 def _marked(sets: DataFrame, wanted: np.ndarray) -> DataFrame:

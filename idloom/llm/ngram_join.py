@@ -5,27 +5,31 @@ A document's set: the distinct n-word shingles of its words
 sequence as one shingle; without words, empty and linked with nothing. Two
 documents link when |A and B| * den >= |A or B| * num.
 
-1. Documents with one set are one node. Its id is a 64-bit sum over the set,
-   so two sets among k share an id by chance with odds of k^2 / 2^65.
+1. Documents with one set are one node, named by 126 bits of it. A task sends
+   the prefix of a node once.
 2. Shingles get one order for all documents, rare first: by how often they were
    counted, then by hash. (Counts of the commonest ``heavy`` shingles, first of
    those that tasks see several times, then of those that many prefixes by that
    order hold; any order gives the same links, a rarer prefix gives fewer candidates.) Documents at
    the threshold share a shingle of their prefixes, the first
    size - ceil(t * size) + 1 shingles.
-3. Prefix shingles are grouped with size classes, each set in its own and the
-   next one, so that sets of similar size meet; groups of one node are dropped.
-   Along the others, nodes are joined, under the length filter (t * larger <= smaller) and the
-   positional filter (1 + what follows the shared shingle in both must reach
-   the needed overlap; for the first shared one this bounds the overlap).
-   A group of near copies must not give all its pairs, so joining goes in
-   rounds: along each shingle every node is paired with four leaders only; links
-   found make components; the next round leaves out shingles whose nodes are
-   all in one component, and pairs within one. As soon as what is left is small
-   (or ``rounds`` are over) all its pairs are taken, so that no link between two
-   components is missed.
-4. A pair, each once, passes the suffix filter (the overlap within each of 256
-   hash ranges adds up to the needed one at most) and is verified on the sets.
+3. One aggregate over the prefix shingles, with partial sums in every task,
+   tells which of them two nodes hold. Most are held by two rows: these are a pair,
+   read from the aggregate itself. The prefixes of the others are sent again, each
+   with its size class and, where a larger partner could be met, the next one. Pairs pass
+   the length filter (t * larger <= smaller) and the positional filter (1 + what
+   follows the shared shingle in both must reach the needed overlap; for the first
+   shared one this bounds the overlap).
+4. A group of near copies must not give all its pairs. The nodes of a shingle
+   are ranked, those that meet most others first, and leaders are taken from the
+   top: one, then the next 16, 256 and so on. Every node of another component
+   is paired with them, and links found merge components before more leaders
+   are taken. A shingle is done when its nodes are in one component or when all
+   have led, so that no link between two components is missed.
+5. A pair, each once, passes the suffix filter: sets are cut into hash ranges,
+   about one for each shingle, and each range in which the parities of the two
+   sets differ holds a shingle that one of them lacks; there may be no more of these than the
+   needed overlap leaves. What is left is verified on the sets.
 
 Defined results: rows without a doc_id rank last (their component's id is null
 only if none in it has one); equal rows and rows with one doc_id are separate
@@ -38,17 +42,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import bitmaps
 from . import words as W
 from .components import components
 from .line_dedup import NO_ID, document_key
+from .ranks import rank_in_groups
 from .storage import written
 
-RANGES = 256
-#: Leaders of a group in one round.
-LEADERS = 4
+#: Leaders grow so many times from round to round.
+GROWTH = 16
+#: Names of nodes stay below 10^38, the most that decimal(38) holds.
+NAME = "decimal(38,0)"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,15 +77,33 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
     return own[new], h[new]
 
 
-def node_ids(own: np.ndarray, h: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's set size and node id (0 for an empty set)."""
+def node_names(own: np.ndarray, shingles: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Set sizes, and 126 bits for each text's set as (low, high); 0 for an empty set."""
     size = np.bincount(own, minlength=texts)
-    total = np.zeros(texts, np.uint64)
+    out = np.zeros((texts, 2), np.uint64)
     some = size > 0
-    if len(h):
-        first = np.concatenate(([0], np.cumsum(size)))[:-1][some]
-        total[some] = W.mix(np.add.reduceat(W.mix(h + np.uint64(0x5851F42D4C957F2D)), first) + size[some].astype(np.uint64))
-    return size, total.view(np.int64)
+    if len(shingles):
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        for half, salt in enumerate((0x632BE59BD9B4E019, 0xD6E8FEB86659FD93)):
+            total = np.add.reduceat(W.mix(shingles + np.uint64(salt)), first)
+            out[some, half] = W.mix(total + size[some].astype(np.uint64) * np.uint64(salt))
+        out[:, 1] >>= np.uint64(2)
+    return size, out
+
+
+def decimals(names: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.decimal128(38, 0), len(names), [None, pa.py_buffer(np.ascontiguousarray(names).tobytes())])
+
+
+def parities(own: np.ndarray, shingles: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(longs of all texts one after the other, their ends): a bit for each of
+    64 * 2^k >= size hash ranges, set where the text has an odd number of shingles."""
+    longs = np.where(size > 64, 1 << np.ceil(np.log2(np.maximum(size, 64) / 64)).astype(np.int64), 1)
+    ends = np.concatenate(([0], np.cumsum(longs)))
+    place = W.mix(shingles).astype(np.int64) & (64 * longs[own] - 1)
+    cell = 64 * ends[own] + place
+    odd = (np.bincount(cell, minlength=64 * ends[-1]) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64), ends
 
 
 def _commonest(blocks: Iterator[np.ndarray], flush: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
@@ -112,46 +137,51 @@ def _ordered(keys, counts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pass_sets(docs: DataFrame, n: int) -> DataFrame:
-    """For each row (doc, row, size, node), and rows (shingle as node, count as
-    size) with a null ``row`` for what repeats within a task."""
+    """For each row (doc, row, size, half, node), ``half`` being the name's low
+    64 bits; and rows (shingle as half, count as size) with a null ``row`` for
+    what repeats within a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[pa.RecordBatch] = []
-        names = ["doc", "row", "size", "node"]
+        names = ["doc", "row", "size", "half", "node"]
 
         def blocks() -> Iterator[np.ndarray]:
             for batch in batches:
                 for part in W.slices(batch, "text"):
                     own, h = shingle_sets(*W.text_buffers(part.column("text")), n)
-                    size, node = node_ids(own, h, part.num_rows)
-                    out.append(pa.RecordBatch.from_arrays([part.column("doc"), part.column("row"), pa.array(size), pa.array(node)], names))
+                    size, node = node_names(own, h, part.num_rows)
+                    out.append(pa.RecordBatch.from_arrays(
+                        [part.column("doc"), part.column("row"), pa.array(size), pa.array(node[:, 0].copy().view(np.int64)), decimals(node)], names))
                     yield h
 
         keys, counts = _commonest(blocks())
         yield from out
         keys, counts = keys[counts > 2], counts[counts > 2]
         none = pa.nulls(len(keys), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, pa.array(counts), pa.array(keys.view(np.int64))], names)
+        yield pa.RecordBatch.from_arrays([none, none, pa.array(counts), pa.array(keys.view(np.int64)), pa.nulls(len(keys), pa.decimal128(38, 0))], names)
 
-    return docs.mapInArrow(run, "doc long, row long, size long, node long")
+    return docs.mapInArrow(run, f"doc long, row long, size long, half long, node {NAME}")
 
 
-def _prefixes(docs: DataFrame, n: int, num: int, den: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(token, node, size, place) of each set's prefix."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+def _prefixes(docs: DataFrame, n: int, num: int, den: int, common: tuple[np.ndarray, np.ndarray], only: np.ndarray | None = None) -> DataFrame:
+    """(token, half, size, place) of each set's prefix. With the bitmap ``only``,
+    (token, node, size, place) of the tokens that may be in it."""
+    shared = docs.sparkSession.sparkContext.broadcast((common, only))
+    name = "half" if only is None else "node"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = shared.value
-        done: set[int] = set()  # a task sends the prefix of a set once
+        (keys, counts), wanted = shared.value
+        done: set[bytes] = set()  # a task sends the prefix of a set once
         for batch in batches:
             for part in W.slices(batch, "text"):
                 own, h = shingle_sets(*W.text_buffers(part.column("text")), n)
-                size, node = node_ids(own, h, part.num_rows)
-                if len(done) > 500_000:
+                size, node = node_names(own, h, part.num_rows)
+                if len(done) > 300_000:
                     done = set()
                 fresh = np.zeros(part.num_rows, bool)
-                for i, v in enumerate(node.tolist()):
-                    if size[i] and v not in done:
+                for i in np.flatnonzero(size):
+                    v = node[i].tobytes()
+                    if v not in done:
                         done.add(v)
                         fresh[i] = True
                 keep = fresh[own]
@@ -164,146 +194,176 @@ def _prefixes(docs: DataFrame, n: int, num: int, den: int, common: tuple[np.ndar
                 own, h = own[order], h[order]
                 place = np.arange(len(h)) - np.searchsorted(own, own)
                 first = place < (size - -(-num * size // den) + 1)[own]
+                if wanted is not None:
+                    first &= bitmaps.found(wanted, h)
                 own, h, place = own[first], h[first], place[first]
+                named = pa.array(node[own, 0].view(np.int64)) if wanted is None else decimals(node[own])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(node[own]), pa.array(size[own].astype(np.int32)), pa.array(place.astype(np.int32))],
-                    ["token", "node", "size", "place"])
+                    [pa.array(h.view(np.int64)), named, pa.array(size[own].astype(np.int32)), pa.array(place.astype(np.int32))],
+                    ["token", name, "size", "place"])
 
-    return docs.select("text").mapInArrow(run, "token long, node long, size int, place int")
+    return docs.select("text").mapInArrow(run, f"token long, {name} {'long' if only is None else NAME}, size int, place int")
 
 
-def _sizes(texts: DataFrame, n: int) -> DataFrame:
-    """(node, size, ranges) of ``texts(node, text)``: the set's size, and how
-    much of it is in each hash range. A node has one row, or equal ones where
-    rows of its document repeat."""
+def _of_rows(docs: DataFrame, n: int, rows: DataFrame, whole: bool) -> DataFrame:
+    """(node, size, parity) of ``rows(node, row)``, or (node, items), the set
+    itself, if ``whole``; a node has one row. A bitmap of the wanted rows keeps
+    the other texts from being read, and no text is sent."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmaps.occurring(rows, "row"))
+    columns = ["items"] if whole else ["size", "parity"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            row = batch.column("row").to_numpy(zero_copy_only=False)
+            batch = batch.take(pa.array(np.flatnonzero(bitmaps.found(shared.value, row.view(np.uint64)))))
             for part in W.slices(batch, "text"):
                 own, h = shingle_sets(*W.text_buffers(part.column("text")), n)
-                size = np.bincount(own, minlength=part.num_rows)
-                cell = own * RANGES + (h >> np.uint64(56)).astype(np.int64)
-                ranges = np.bincount(cell, minlength=part.num_rows * RANGES).astype(np.int32)
-                ends = np.arange(0, len(ranges) + 1, RANGES, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), pa.array(size.astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(ranges))], ["node", "size", "ranges"])
+                size, node = node_names(own, h, part.num_rows)
+                longs, ends = (h.view(np.int64), np.concatenate(([0], np.cumsum(size)))) if whole else parities(own, h, size)
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(longs))
+                found = [lists] if whole else [pa.array(size.astype(np.int32)), lists]
+                yield pa.RecordBatch.from_arrays([part.column("row"), decimals(node), *found], ["row", "node", *columns])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, size int, ranges array<int>")
+    kinds = "items array<long>" if whole else "size int, parity array<long>"
+    out = docs.select("row", "text").mapInArrow(run, f"row long, node {NAME}, {kinds}")
+    return out.join(rows.select("row", "node"), ["row", "node"], "left_semi").dropDuplicates(["node"]).select("node", *columns)
 
 
-def _items(texts: DataFrame, n: int) -> DataFrame:
-    """(node, items) of ``texts(node, text)``: the set itself."""
+def _differing(a: str, b: str) -> Column:
+    """Ranges in which two parity arrays differ; the longer one is folded."""
+    ranges = F.least(F.size(a), F.size(b))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in W.slices(batch, "text"):
-                own, h = shingle_sets(*W.text_buffers(part.column("text")), n)
-                ends = np.concatenate(([0], np.cumsum(np.bincount(own, minlength=part.num_rows)))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(ends, pa.array(h.view(np.int64)))], ["node", "items"])
+    def folded(x: str) -> Column:
+        half = F.zip_with(F.slice(x, F.lit(1), ranges), F.slice(x, ranges + 1, ranges), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > ranges, half).otherwise(F.col(x))
 
-    return texts.select("node", "text").mapInArrow(run, "node long, items array<long>")
+    bits = F.zip_with(folded(a), folded(b), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(bits, F.lit(0), lambda s, v: s + v)
 
 
 class NgramJoin:
-    """The join over the rows of ``docs(doc_id, text)``."""
+    """The join over the rows of ``docs(doc_id, text)``. After ``rounds`` rounds
+    all nodes that have not led yet do so together."""
 
-    def __init__(self, docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, heavy: int = 1 << 18, rounds: int = 4):
+    def __init__(self, docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, heavy: int = 1 << 18, rounds: int = 6):
+        if 2 * num < den:
+            raise ValueError("the similarity must be a half or more")
         self.n, self.num, self.den, self.rounds = n, num, den, rounds
         key = F.xxhash64(document_key(), F.coalesce("text", F.lit("")))
         docs = docs.select(document_key(), key.alias("row"), "text")
         passed = written(_pass_sets(docs, n), "shingle-sets")
-        self.rows = passed.where("row is not null")
-        common = passed.where("row is null").groupBy("node").agg(F.sum("size").alias("n")).where("n > 7")
-        common = common.orderBy(F.desc("n"), "node").limit(heavy).toPandas()  # bounded by ``heavy``
-        found = _ordered(common["node"], common["n"])
+        self.rows, self.docs = passed.where("row is not null").select("doc", "row", "size", "half", "node"), docs.select("row", "text")
+        common = passed.where("row is null").groupBy("half").agg(F.sum("size").alias("n")).where("n > 7")
+        common = common.orderBy(F.desc("n"), "half").limit(heavy).toPandas()  # bounded by ``heavy``
+        found = _ordered(common["half"], common["n"])
         # shingles that many prefixes hold are common too, though no single task saw it: with them
         # put behind, passages that many documents share leave the prefixes
         held = written(_prefixes(docs, n, num, den, found).groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 3"), "held-shingles")
         held = held.orderBy(F.desc("n"), "token").limit(heavy).toPandas()
-        found = _ordered(np.concatenate((common["node"], held["token"])), np.concatenate((common["n"], held["n"])))
-        prefixes = _prefixes(docs, n, num, den, found)
-        # all of the next steps need the rows of a shingle together, and use one shuffle by it
-        shared = self._shared(prefixes, Window.partitionBy("token"))
-        kind = F.floor(F.log("size") / F.lit(1.0001 * np.log(den / num))).cast("int")
-        shared = shared.withColumn("kind", F.explode(F.array(kind, kind + 1)))
-        near = Window.partitionBy("token", "kind")
-        shared = self._shared(shared, near).withColumn("_small", F.min("size").over(near)).withColumn("_rest", F.max(F.col("size") - F.col("place")).over(near))
-        rest = F.least(F.col("size") - F.col("place"), "_rest")
-        shared = shared.where(rest >= self._needed("size", "_small"))  # the positional filter against the best partner there could be
-        self.shared = written(self._shared(shared, near).select("token", "kind", "node", "size", "place").distinct(), "shared-prefixes")
-        nodes = self.shared.select("node").distinct()
-        chosen = self.rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
-        self.docs, self.chosen = docs.select("row", "text"), written(chosen, "chosen-rows")
-        self.sizes = written(_sizes(self.docs.join(self.chosen, "row"), n), "set-sizes")
-        self.links = self._links()
-
-    @staticmethod
-    def _shared(rows: DataFrame, along) -> DataFrame:
-        """The rows whose group has two nodes or more."""
-        rows = rows.withColumn("_lo", F.min("node").over(along)).withColumn("_hi", F.max("node").over(along))
-        return rows.where("_lo < _hi").drop("_lo", "_hi")
-
-    def _needed(self, a: str, b: str):
-        total = F.col(a) + F.col(b)
+        found = _ordered(np.concatenate((common["half"], held["token"])), np.concatenate((common["n"], held["n"])))
+        named = self.rows.where("size > 0").groupBy("node").agg(F.min("half").alias("half"), F.min("row").alias("row"))
+        self.named = written(named, "named-rows")
+        shared = _prefixes(docs, n, num, den, found).groupBy("token").agg(
+            F.count(F.lit(1)).alias("n"), F.min("half").alias("lo"), F.max("half").alias("hi"),
+            F.min("size").alias("size"), F.max("size").alias("size2"), F.min(F.col("size") - F.col("place")).alias("rest"))
+        shared = written(shared.where("lo < hi"), "shared-shingles")
+        self.couples = self._couples(shared.where("n = 2"))
+        self.members = self._members(_prefixes(docs, n, num, den, found, bitmaps.occurring(shared.where("n > 2"), "token")))
+        nodes = self.members.select("node")
+        for x in "ab":
+            nodes = nodes.unionByName(self.couples.select(F.col(x).alias("node")))
+        self.nodes = written(self.named.join(nodes.distinct(), "node", "left_semi").select("node", "row"), "candidates")
+        self.light = written(_of_rows(self.docs, n, self.nodes, whole=False), "parities")
+        self.links = self._link()
+
+    def _needed(self, a: str | Column, b: str | Column) -> Column:
+        """The overlap that sets of these sizes need."""
+        total = (F.col(a) if isinstance(a, str) else a) + (F.col(b) if isinstance(b, str) else b)
         return F.ceil(total * self.num / F.lit(float(self.num + self.den)) - F.lit(1e-9))
 
-    def _may_link(self, x: DataFrame) -> DataFrame:
-        """Length and positional filter over (size, place, size2, place2)."""
-        small, large = F.least("size", "size2"), F.greatest("size", "size2")
-        rest = F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2"))
-        return x.where((small * self.den >= large * self.num) & (rest >= self._needed("size", "size2")))
+    def _couples(self, shared: DataFrame) -> DataFrame:
+        """The pairs (a, b) of shingles that are in two prefixes alone."""
+        near = shared.where((F.col("size") * self.den >= F.col("size2") * self.num) & (F.col("rest") >= self._needed("size", "size2")))
+        near = near.select("lo", "hi").distinct()
+        for half, x in (("lo", "a"), ("hi", "b")):  # halves that two nodes share stand for both
+            near = near.join(self.named.select(F.col("half").alias(half), F.col("node").alias(x)), half)
+        return written(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "couples")
+
+    def _members(self, prefixes: DataFrame) -> DataFrame:
+        """(token, kind, node, size, place, rank): the nodes of each shingle and
+        size class that may link there."""
+        log = float(1.0001 * np.log(self.den / self.num))
+        kind = F.floor(F.log("size") / F.lit(log)).cast("int")
+        rows = written(prefixes.distinct(), "prefixes")
+        rows = rows.withColumn("_own", kind).withColumn("kind", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
+        # partners in the next class are larger; those in the own one are met there
+        larger = F.greatest(F.col("size").cast("double"), F.floor(F.exp(F.col("kind") * F.lit(log))) - 1)
+        rows = rows.where((F.col("kind") == F.col("_own")) | (F.col("size") - F.col("place") >= self._needed("size", larger))).drop("_own")
+        rest = F.col("size") - F.col("place")
+        groups = rows.groupBy("token", "kind").agg(F.count(F.lit(1)).alias("_n"), F.min("size").alias("_small"), F.max(rest).alias("_rest"))
+        groups = written(groups.where("_n > 1"), "prefix-groups")
+        rows = rows.join(groups, ["token", "kind"])
+        # the positional filter against the best partner there could be
+        rows = written(rows.where(F.least(rest, "_rest") >= self._needed("size", "_small")).select("token", "kind", "node", "size", "place", "_n"), "shared-prefixes")
+        met = rows.groupBy("node").agg(F.sum("_n").alias("_met"))
+        rows = written(rows.drop("_n").join(met, "node"), "met-prefixes")
+        # what meets most others leads; nodes that meet equally many are dealt to 64 parts by a hash
+        part = -F.floor(F.log2("_met") * 4).cast("long") * 64 + F.pmod(F.xxhash64("node"), F.lit(64))
+        ranked = rank_in_groups(rows, ["token", "kind"], part, [F.desc("_met"), F.asc("node")], "rank")
+        return written(ranked.drop("_met"), "members")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sets are similar."""
-        light = [self.sizes.select(F.col("node").alias(x), F.col("size").alias(f"size{x}"), F.col("ranges").alias(f"ranges{x}")) for x in "ab"]
-        overlap = F.aggregate(F.zip_with("rangesa", "rangesb", lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v)
-        pairs = pairs.join(light[0], "a").join(light[1], "b").where(overlap >= self._needed("sizea", "sizeb"))
-        pairs = written(pairs.select("a", "b", "sizea", "sizeb").distinct(), "close-pairs")
+        """(a, b): the components ca and cb of the pairs (a, b, ca, cb) whose sets are similar."""
+        light = [self.light.select(F.col("node").alias(x), F.col("size").alias(f"size{x}"), F.col("parity").alias(f"parity{x}")) for x in "ab"]
+        spare = F.col("sizea") + F.col("sizeb") - 2 * self._needed("sizea", "sizeb")
+        pairs = pairs.join(light[0], "a").join(light[1], "b").where(_differing("paritya", "parityb") <= spare)
+        pairs = written(pairs.select("a", "b", "ca", "cb", "sizea", "sizeb"), "close-pairs")
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        texts = self.docs.join(self.chosen.join(nodes, "node", "left_semi"), "row")
-        items = written(_items(texts, self.n), "sets")  # of what is left alone
+        wanted = written(self.nodes.join(nodes, "node", "left_semi"), "wanted-rows")
+        items = written(_of_rows(self.docs, self.n, wanted, whole=True), "sets")  # of what is left alone
         whole = [items.select(F.col("node").alias(x), F.col("items").alias(f"items{x}")) for x in "ab"]
-        pairs = pairs.join(whole[0], "a").join(whole[1], "b")
         common = F.size(F.array_intersect("itemsa", "itemsb"))
-        pairs = pairs.select("a", "b", "sizea", "sizeb", common.alias("common"))
-        return pairs.where((F.col("sizea") + F.col("sizeb") - F.col("common")) * self.num <= F.col("common") * self.den).select("a", "b")
-
-    def _links(self) -> DataFrame:
-        """(node, comp) of every node with a link."""
-        spark = self.shared.sparkSession
-        found: list[DataFrame] = []
-        comp = spark.createDataFrame([], "node long, comp long")
-        left = self.shared.withColumn("comp", F.col("node"))
-        along = Window.partitionBy("token", "kind")
+        pairs = pairs.join(whole[0], "a").join(whole[1], "b").select("ca", "cb", "sizea", "sizeb", common.alias("common"))
+        similar = (F.col("sizea") + F.col("sizeb") - F.col("common")) * self.num <= F.col("common") * self.den
+        return pairs.where(similar).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+
+    def _met(self, left: DataFrame, done: int, more: int | None) -> DataFrame:
+        """The pairs (a, b, ca, cb) of the next leaders and nodes of other components."""
+        leads = left.where(F.col("rank") >= done)
+        if more:
+            leads = leads.where(F.col("rank") < done + more)
+        leads = leads.select("token", "kind", *(F.col(c).alias(f"{c}2") for c in ("node", "size", "place", "rank", "comp")))
+        small, large = F.least("size", "size2"), F.greatest("size", "size2")
+        rest = F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2"))
+        near = (
+            (left["token"] == leads["token"]) & (left["kind"] == leads["kind"]) & (F.col("rank") > F.col("rank2")) & (F.col("comp") != F.col("comp2"))
+            & (small * self.den >= large * self.num) & (rest >= self._needed("size", "size2")))
+        first = F.col("node") < F.col("node2")
+        chosen = [F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("node", "node2"), ("node2", "node"), ("comp", "comp2"), ("comp2", "comp"))]
+        return left.join(leads, near).select(*(c.alias(x) for c, x in zip(chosen, ("a", "b", "ca", "cb"))))
+
+    def _link(self) -> DataFrame:
+        """(node, comp) of the nodes with candidates."""
+        left = self.members.withColumn("comp", F.col("node"))
+        labels = self.nodes.select("node", F.col("node").alias("comp"))
+        done, more = 0, 1
         for turn in range(self.rounds + 1):
-            # groups whose nodes are in two components or more, with the pairs between components along them
-            left = left.withColumn("_lo", F.min("comp").over(along)).withColumn("_hi", F.max("comp").over(along))
-            left = written(left.where("_lo < _hi").drop("_lo", "_hi"), "open-prefixes")
-            in_comp = left.groupBy("token", "kind", "comp").agg(F.count(F.lit(1)).alias("n"))
-            open_ = in_comp.groupBy("token", "kind").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
-            sums = open_.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs")).first()
-            if not sums["rows"]:
-                break
-            last = turn == self.rounds or sums["pairs"] <= 2 * sums["rows"]
-            if last:
-                other = left.select("token", "kind", *(F.col(c).alias(f"{c}2") for c in ("node", "size", "place", "comp")))
-                near = left.join(other, ["token", "kind"]).where("node < node2 and comp <> comp2")
-            else:
-                leaders = [
-                    F.min(F.struct(F.xxhash64("node", F.lit(LEADERS * turn + i)).alias("by"), *(F.col(c).alias(f"{c}2") for c in ("node", "size", "place", "comp")))).over(along)
-                    for i in range(LEADERS)]
-                near = left.withColumn("_lead", F.array(*leaders)).withColumn("_lead", F.explode("_lead"))
-                near = near.select(*left.columns, "_lead.*").where("comp <> comp2")
-            near = self._may_link(near).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-            found.append(written(self._verified(written(near, "pairs")), "links"))
-            edges = found[0]
-            for more in found[1:]:
-                edges = edges.unionByName(more)
-            comp = components(edges)
-            if last:
+            pairs = self._met(left, done, more if turn < self.rounds else None)
+            if not turn:
+                pairs = pairs.unionByName(self.couples.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")))
+            edges = written(self._verified(written(pairs.distinct(), "pairs")).distinct(), "links")
+            done, more = done + more, more * GROWTH
+            if edges.limit(1).count():
+                merged = components(edges).select(F.col("node").alias("comp"), F.col("comp").alias("_to"))
+                labels = written(labels.join(merged, "comp", "left").select("node", F.coalesce("_to", "comp").alias("comp")), "labels")
+                left = left.join(merged, "comp", "left").withColumn("comp", F.coalesce("_to", "comp")).drop("_to")
+            # shingles whose nodes are in two components or more and have not all led
+            open_ = left.groupBy("token", "kind").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.max("rank").alias("_last"))
+            open_ = open_.where((F.col("_lo") < F.col("_hi")) & (F.col("_last") >= done)).select("token", "kind")
+            left = written(left.join(open_, ["token", "kind"], "left_semi"), "open-prefixes")
+            if not left.limit(1).count():
                 break
-            left = left.drop("comp").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        return comp
+        return labels
 
     def result(self) -> DataFrame:
         """(doc, row, n_shingles, keep_row, component) for each row of the
