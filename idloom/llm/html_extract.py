@@ -27,7 +27,9 @@ decoded, white space inside a block becomes one space, and blocks are joined by
 a line feed in page order.
 
 Defined results: a null or empty html gives an empty text; tags left open are
-closed where their parent closes; stray end tags are ignored; equal rows are extracted each;
+closed where their parent closes; stray end tags are ignored; a tag that never ends is
+text, and so is all after it; of more than ``DEEPEST`` open elements the last one
+closes where the next starts; equal rows are extracted each;
 extra columns are ignored; without any labelled page the smoothed counts leave
 the choice to the elements' names alone (``article`` and ``main``).
 """
@@ -36,6 +38,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,10 +74,20 @@ CLOSED_BY = {
 #: An element of these keeps open paragraphs and items outside of it open.
 SCOPE = _names("article aside body div table td th section main nav footer header form blockquote ul ol dl html")
 
+#: An end tag that none of these lets through closes nothing outside of them.
+CELL = _names("td th table")
+THROUGH = _names("table tr tbody thead tfoot body html")
+#: The elements that a tag closes.
+CLOSES = {tag: [own for own, by in CLOSED_BY.items() if tag in by] for tag in frozenset().union(*CLOSED_BY.values())}
+#: So many elements are open at once; one below these stands beside the last of them.
+DEEPEST = 512
+
 #: Quotes hold a value right after an equals sign alone; any other is an ordinary character.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*+)|[^>])*+)>""", re.S)
+#: What would be a tag if it had an end.
+NO_END = re.compile(r"</?[a-zA-Z]")
 ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I | re.S)
 PARTS = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
@@ -82,31 +95,60 @@ SPACE = re.compile(r"\s+")
 
 class Tree:
     """Elements in page order: tags, parents and class words; and the texts,
-    each with its element. Element 0 is the page."""
+    each with its element. Element 0 is the page. Open elements are counted by
+    tag, so that no tag walks over others than those it closes: the time
+    is in proportion to the page, however odd it is."""
 
     def __init__(self, page: str):
         self.tags, self.parents, self.marks = [""], [-1], [frozenset()]
         self.texts: list[tuple[int, str]] = []  # (element, raw text); a text of None starts a block
-        stack, at, n = [0], 0, len(page)
-        while at < n:
-            m = TOKEN.search(page, at)
-            end = m.start() if m else n
-            if end > at:
-                self.texts.append((stack[-1], page[at:end]))
+        self.stack = [0]
+        # how many of each tag are open: in all, and from the innermost element of CELL (of SCOPE) on, for each such element
+        self.open, self.cells, self.scopes = Counter(), [Counter()], [Counter()]
+        at = look = 0  # the text from ``at`` on is not yet taken
+        while (look := page.find("<", look)) >= 0:
+            m = TOKEN.match(page, look)
             if not m:
-                break
-            at = m.end()
-            tag = m[2]
-            if not tag:
+                if NO_END.match(page, look):  # a tag without an end: what follows is text
+                    break
+                look += 1
                 continue
-            tag = tag.lower()
-            if m[1]:
-                self._close(stack, tag)
+            if look > at:
+                self.texts.append((self.stack[-1], page[at:look]))
+            at = m.end()
+            if tag := (m[2] or "").lower():
+                if m[1]:
+                    self._close(tag)
+                else:
+                    at = self._start(tag, m[3] or "", page, at)
+            look = at
+        if at < len(page):
+            self.texts.append((self.stack[-1], page[at:]))
+
+    def _push(self, element: int) -> None:
+        tag = self.tags[element]
+        if len(self.stack) > DEEPEST:
+            self._pop()
+            self.parents[element] = self.stack[-1]
+        self.stack.append(element)
+        self.open[tag] += 1
+        for counts, bounds in ((self.cells, CELL), (self.scopes, SCOPE)):
+            if tag in bounds:
+                counts.append(Counter())
+            counts[-1][tag] += 1
+
+    def _pop(self) -> str:
+        tag = self.tags[self.stack.pop()]
+        self.open[tag] -= 1
+        for counts, bounds in ((self.cells, CELL), (self.scopes, SCOPE)):
+            if tag in bounds:
+                counts.pop()
             else:
-                at = self._open(stack, tag, m[3] or "", page, at)
+                counts[-1][tag] -= 1
+        return tag
 
-    def _open(self, stack: list[int], tag: str, attributes: str, page: str, at: int) -> int:
-        self._close_implied(stack, tag)
+    def _start(self, tag: str, attributes: str, page: str, at: int) -> int:
+        self._close_implied(tag)
         marks = frozenset()
         if attributes and ("=" in attributes):
             found = [v for a in ATTRIBUTE.findall(attributes) for v in a[1:] if v]
@@ -114,42 +156,37 @@ class Tree:
                 marks = frozenset(PARTS.findall(" ".join(found).lower()))
         element = len(self.tags)
         self.tags.append(tag)
-        self.parents.append(stack[-1])
+        self.parents.append(self.stack[-1])
         self.marks.append(marks)
         if tag in BLOCK:
             self.texts.append((element, None))
         elif tag == "br":
-            self.texts.append((stack[-1], " "))
+            self.texts.append((self.stack[-1], " "))
         if tag in RAW:  # up to its own end tag, and never text
-            close = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I).search(page, at)
-            return close.end() if close else len(page)
-        if tag not in VOID and not attributes.rstrip().endswith("/"):
-            stack.append(element)
-        elif tag not in VOID and tag in BLOCK:
-            stack.append(element)  # a slash does not close these
+            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+            end = page.find(">", close.end()) if close else -1
+            return end + 1 if end >= 0 else len(page)
+        if tag not in VOID and (tag in BLOCK or not attributes.rstrip().endswith("/")):  # a slash does not close a block
+            self._push(element)
         return at
 
-    def _close_implied(self, stack: list[int], tag: str) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            own = self.tags[stack[i]]
-            if tag in CLOSED_BY.get(own, ()):
-                del stack[i:]
-                if own != "td" and own != "th":
-                    return
-                continue
-            if own in SCOPE:
+    def _close_implied(self, tag: str) -> None:
+        owners = CLOSES.get(tag)
+        while owners and any(self.scopes[-1][own] for own in owners):
+            while (own := self._pop()) not in owners:
+                pass
+            if own not in ("td", "th"):
                 return
 
-    def _close(self, stack: list[int], tag: str) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            own = self.tags[stack[i]]
-            if own == tag:
-                if tag in BLOCK:
-                    self.texts.append((self.parents[stack[i]], None))
-                del stack[i:]
-                return
-            if own in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
-                return
+    def _close(self, tag: str) -> None:
+        if not (self.open if tag in THROUGH else self.cells[-1])[tag]:
+            return
+        while True:
+            element = self.stack[-1]
+            if self._pop() == tag:
+                break
+        if tag in BLOCK:
+            self.texts.append((self.parents[element], None))
 
 
 def _bucket(n: np.ndarray) -> np.ndarray:
