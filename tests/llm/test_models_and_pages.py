@@ -2,6 +2,7 @@
 
 import collections
 import re
+import time
 import zlib
 
 import numpy as np
@@ -98,6 +99,34 @@ def test_names_on_the_frame_of_a_page(spark):
     assert learnt.sum() == 3  # the article and its paragraphs
 
 
+def test_long_odd_pages_take_little_time():
+    """What made the parser walk over open elements or to the end again and again."""
+    n = 1 << 16
+    bricks = ["<span>", "<a ", "<p><span><div>", "<span></b>", "<table><span></i>", "<hr><b>", "< ", "</script ", "<td><p>", "<li><i>", '<a x="', "<!--", "<x =' ", "<ul><li>"]
+    for brick in bricks:
+        for before in ("", "<b><i>", "<script>"):
+            start = time.process_time()
+            tree = html_extract.Tree(before + brick * (n // len(brick)) + "end")
+            assert time.process_time() - start < 3, brick
+            assert max(_depths(tree)) <= html_extract.DEEPEST + 1
+
+
+def _depths(tree):
+    out = [0]
+    for p in tree.parents[1:]:
+        out.append(out[p] + 1)
+    return out
+
+
+def test_tags_without_an_end_and_deep_pages():
+    texts = lambda page: [t for _, t in html_extract.Tree(page).texts if t]
+    assert texts("<p>one</p><a two <b three") == ["one", "<a two <b three"]
+    assert texts("1 < 2 <3 <p>four") == ["1 < 2 <3 ", "four"]
+    assert texts("<script>no</script >yes<style>no</stylex></style/>also") == ["yes", "also"]
+    deep = html_extract.Tree("<div>" * 2000 + "x" + "</div>" * 2000 + "<p>y")
+    assert [t for _, t in deep.texts if t] == ["x", "y"] and max(_depths(deep)) == html_extract.DEEPEST
+
+
 def test_odd_quotes():
     texts = lambda page: [t for _, t in html_extract.Tree(page).texts if t]
     assert texts("<p data-t=it's>one</p><p>two isn't three</p>") == ["one", "two isn't three"]
@@ -166,6 +195,16 @@ def test_trust_follows_links_and_distrust_goes_against_them(spark):
     assert edges == {("good.com", "near.org"), ("bad.net", "near.org"), ("near.org", "far.org"), ("shill.org", "bad.net")}
 
 
+def test_trust_reaches_hosts_at_any_distance(spark):
+    """Hosts that each link to the next, the last to a blocked one; and links that are none."""
+    link = lambda h: f'<a class="x" href="http:&#47;&#x2f;{h}/">x</a>'
+    rows = [(0, "http://bad.net/x/1", "")] + [(k, f"http://h{k}.org/", link("bad.net" if k == 1 else f"h{k - 1}.org")) for k in range(1, 25)]
+    rows += [(31, "http://c.org/", "<!-- " + link("bad.net") + " -->"), (32, "http://d.org/", '<a data-href="http://bad.net/">x</a>')]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages, RULES, damping=0.3).collect()}
+    assert got == {r[0]: "allow" if r[0] > 30 else "block" for r in rows}
+
+
 def test_pagerank_by_hand(spark):
     edges = [("t", "a", "b"), ("t", "b", "c"), ("t", "c", "a"), ("t", "a", "c")]
     e = spark.createDataFrame(edges, "kind string, src string, dst string")
