@@ -38,7 +38,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,7 +104,7 @@ class Tree:
         self.texts: list[tuple[int, str]] = []  # (element, raw text); a text of None starts a block
         self.stack = [0]
         # how many of each tag are open: in all, and from the innermost element of CELL (of SCOPE) on, for each such element
-        self.open, self.cells, self.scopes = Counter(), [Counter()], [Counter()]
+        self.open, self.cells, self.scopes = defaultdict(int), [defaultdict(int)], [defaultdict(int)]
         at = look = 0  # the text from ``at`` on is not yet taken
         while (look := page.find("<", look)) >= 0:
             m = TOKEN.match(page, look)
@@ -134,7 +134,7 @@ class Tree:
         self.open[tag] += 1
         for counts, bounds in ((self.cells, CELL), (self.scopes, SCOPE)):
             if tag in bounds:
-                counts.append(Counter())
+                counts.append(defaultdict(int))
             counts[-1][tag] += 1
 
     def _pop(self) -> str:
