@@ -4,11 +4,14 @@ State, in tables written to the shared folder:
 
 * references: one signed row (key, document, n) for each line of a document
   that entered (+) or left (-). Sums over them are the exact reference counts.
-* cuckoo filters: one for each of a fixed number of shards of the key space,
-  16-bit fingerprints of the keys with a count above 0 in buckets of four. A
-  lookup that misses proves that a key is new; only keys that hit are looked up
-  in the exact counts. Fingerprints can be taken out again, so that a document
-  can leave.
+* cuckoo filters: one for each shard of the key space, 16-bit fingerprints of
+  the keys with a count above 0 in buckets of four. The number of shards follows
+  the number of keys; when the keys outgrow the filters, these are built anew.
+  Fingerprints can be taken out again, so that a document can leave.
+* hits: documents enter in parts, by a hash of the document. The keys of a part
+  first look into the filters, which hold all that entered before, and then
+  enter them. A key that misses is new; a key that hits, or that comes in two
+  documents of its part, may repeat. Only these keys are counted exactly.
 
 A line's key is the line without `[\\x20\\x09-\\x0D]` at both ends, A-Z
 lower-cased, as 128 hashed bits; lines whose key is shorter than ``min_chars``
@@ -23,6 +26,7 @@ line they share stays in each; extra columns pass through.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -153,10 +157,17 @@ class LineIndex:
 
     KEY = ["k1", "k2"]
 
-    def __init__(self, spark, min_chars: int = 10, shards: int = 64):
-        self.spark, self.min_chars, self.shards = spark, min_chars, shards
+    PARTS = 8
+    SHARD_KEYS = 1 << 18
+
+    def __init__(self, spark, min_chars: int = 10, shards: int = 16):
+        """``shards`` is the least number of filters."""
+        self.spark, self.min_chars, self.least_shards, self.shards = spark, min_chars, shards, shards
         self.log: list[DataFrame] = []
+        self.entered: list[DataFrame] = []
+        self.hits: list[DataFrame] = []
         self.filters: DataFrame | None = None
+        self.held = self.room = 0
         self.signed = False
 
     def _lines(self, rows: DataFrame) -> DataFrame:
@@ -180,9 +191,7 @@ class LineIndex:
 
     def references(self) -> DataFrame:
         """(k1, k2, doc, n): the lines with each key in each document, n > 0."""
-        rows = self.log[0]
-        for more in self.log[1:]:
-            rows = rows.unionByName(more)
+        rows = reduce(DataFrame.unionByName, self.log)
         if self.signed:
             rows = rows.groupBy(*self.KEY, "doc").agg(F.sum("n").alias("n")).where("n > 0")
         return rows
@@ -193,14 +202,15 @@ class LineIndex:
         return self.references().groupBy(*self.KEY).agg(F.sum("n").alias("n"), F.min("doc").alias("doc"), F.max("doc").alias("last"))
 
     def _by_shard(self, keys: DataFrame, work, out: str) -> DataFrame:
-        """``work(keys, blob or None)`` over the distinct keys of each shard."""
+        """``work(keys, blob or None, shard)`` over the rows of ``keys`` of each
+        shard."""
         shard = F.pmod(F.col("k2"), F.lit(self.shards)).cast("int").alias("shard")
         old = self.filters if self.filters is not None else self.spark.createDataFrame([], "shard int, blob binary")
 
         def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            return work(left, right["blob"].iloc[0] if len(right) else None, right["shard"].iloc[0] if len(right) else None)
+            return work(left, right["blob"].iloc[0] if len(right) else None, (left if len(left) else right)["shard"].iloc[0])
 
-        return keys.select(shard, "k1", "k2").groupBy("shard").cogroup(old.groupBy("shard")).applyInPandas(run, out)
+        return keys.select(shard, *keys.columns).groupBy("shard").cogroup(old.groupBy("shard")).applyInPandas(run, out)
 
     def _seen(self, keys: DataFrame) -> DataFrame:
         """Distinct ``keys`` (k1, k2) with a count above 0: the filters name
@@ -215,24 +225,48 @@ class LineIndex:
 
         return self._by_shard(keys, probe, "k1 long, k2 long").join(self.counts().select(*self.KEY), self.KEY, "left_semi")
 
-    def _change(self, keys: DataFrame, add: bool) -> None:
-        def work(left: pd.DataFrame, blob: bytes | None, shard) -> pd.DataFrame:
-            k = left["k1"].to_numpy().view(np.uint64)
-            f = CuckooFilter.load(blob) if blob is not None else CuckooFilter.for_keys(2 * len(k))
-            (f.add if add else f.remove)(k)
-            return pd.DataFrame({"shard": [shard if shard is not None else left["shard"].iloc[0]], "blob": [f.dump()]})
-
-        self.filters = written(self._by_shard(keys, work, "shard int, blob binary"), "line-filters")
+    def _enter(self, keys: DataFrame) -> None:
+        """``keys`` (k1, k2, part, twice, old), one row for each key of a part,
+        look into the filters and enter them part by part, but for ``old`` ones,
+        which are in them. A key that hits by chance enters as any other, so
+        that it can leave again."""
+
+        def work(left: pd.DataFrame, blob: bytes | None, shard: int) -> pd.DataFrame:
+            left = left.sort_values("part", kind="stable")
+            k, part, hit = left["k1"].to_numpy().view(np.uint64), left["part"].to_numpy(), left["twice"].to_numpy(copy=True)
+            fresh = ~(left["old"].to_numpy() | left.duplicated(["k1", "k2"]).to_numpy())
+            f = CuckooFilter.load(blob) if blob is not None else CuckooFilter.for_keys(2 * int(fresh.sum()))
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+            for a, b in zip(cuts, cuts[1:]):
+                hit[a:b] |= f.has(k[a:b])
+                f.add(k[a:b][fresh[a:b]])
+            found = left.loc[hit, ["k1", "k2"]]
+            return pd.concat([pd.DataFrame({"shard": [shard], "blob": [f.dump()], "k1": [0], "k2": [0]}), found.assign(shard=shard, blob=None)])
+
+        done = written(self._by_shard(keys, work, "shard int, blob binary, k1 long, k2 long"), "line-filters")
+        self.filters = done.where("blob is not null").select("shard", "blob")
+        self.hits.append(done.where("blob is null").select(*self.KEY))
 
     def insert(self, docs: DataFrame) -> None:
-        """The documents enter: references are appended, and keys that are new
-        to the index enter the filters."""
+        """The documents enter: references are appended, their keys are looked
+        up, and keys that are new to the index enter the filters."""
         new = self._references(docs, 1)
-        keys = new.select(*self.KEY).distinct()
-        if self.filters is not None:
-            keys = keys.join(self._seen(keys), self.KEY, "left_anti")
-        self._change(keys, add=True)
+        part = F.pmod(F.xxhash64("doc"), F.lit(self.PARTS)).cast("int").alias("part")
+        entered = written(new.groupBy(*self.KEY, part).agg(F.min("doc").alias("doc"), F.max("doc").alias("last")), "line-keys")
+        keys = entered.select(*self.KEY, "part", (F.col("doc") < F.col("last")).alias("twice"))
+        self.held += entered.count()
+        if self.filters is not None and self.held <= self.room:
+            seen = self._seen(keys.select(*self.KEY).distinct()).withColumn("old", F.lit(True))
+            keys = keys.join(seen, self.KEY, "left").fillna(False, ["old"])
+        else:  # filters for twice the keys; those of before enter ahead of the new ones
+            if self.log:
+                keys = keys.unionByName(self.counts().select(*self.KEY, F.lit(-1).alias("part"), F.lit(False).alias("twice")))
+            keys = keys.withColumn("old", F.lit(False))
+            self.filters, self.room = None, 2 * self.held
+            self.shards = max(self.least_shards, -(-self.held // self.SHARD_KEYS))
+        self._enter(keys)
         self.log.append(new)
+        self.entered.append(entered)
 
     def delete(self, docs: DataFrame) -> None:
         """The documents, as they entered, leave: their references are taken
@@ -242,13 +276,33 @@ class LineIndex:
         before = written(before, "line-keys")
         self.log.append(gone)
         self.signed = True
-        self._change(before.join(self.counts().select(*self.KEY), self.KEY, "left_anti"), add=False)
+
+        def work(left: pd.DataFrame, blob: bytes, shard: int) -> pd.DataFrame:
+            f = CuckooFilter.load(blob)
+            f.remove(left["k1"].to_numpy().view(np.uint64))
+            return pd.DataFrame({"shard": [shard], "blob": [f.dump()]})
+
+        away = before.join(self.counts().select(*self.KEY), self.KEY, "left_anti")
+        self.filters = written(self._by_shard(away, work, "shard int, blob binary"), "line-filters")
+
+    def repeated(self) -> DataFrame:
+        """(k1, k2, keeper): the keys that two or more documents hold, counted
+        exactly among those that hit."""
+        if not self.log:
+            raise ValueError("no documents entered")
+        if self.signed:
+            rows = self.counts().select(*self.KEY, "doc", "last")
+        else:  # a key has one row for each part, however many lines have it
+            rows = reduce(DataFrame.unionByName, self.entered).select(*self.KEY, "doc", "last")
+        rows = rows.join(reduce(DataFrame.unionByName, self.hits), self.KEY, "left_semi")
+        ends = rows.groupBy(*self.KEY).agg(F.min("doc").alias("keeper"), F.max("last").alias("last"))
+        return ends.where("keeper < last").drop("last")
 
     def dedup(self, docs: DataFrame) -> DataFrame:
         """``docs`` with ``text`` as it is without repeated lines, and
         ``n_lines``, ``n_dropped`` (in place of columns of those names)."""
         # written, so that the join below has shuffles of its own, which Spark can split at a key that many lines have
-        repeated = written(self.counts().where("doc < last").select(*self.KEY, F.col("doc").alias("keeper")), "repeated-lines")
+        repeated = written(self.repeated(), "repeated-lines")
         # a row is known by its id and text, so that rows without an id do not share one group
         docs = docs.select(*[c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")])
         docs = docs.withColumn("_row", F.xxhash64(document_key(), F.coalesce("text", F.lit(""))))
@@ -269,7 +323,7 @@ class LineIndex:
             F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("n_dropped"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 10, shards: int = 64) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 10, shards: int = 16) -> DataFrame:
     """All documents enter an empty index and are returned without the lines
     that repeat."""
     index = LineIndex(docs.sparkSession, min_chars, shards)

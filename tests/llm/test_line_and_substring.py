@@ -79,6 +79,35 @@ def test_a_document_can_leave_and_come_back(spark, sf_docs):
     assert {(r.k1, r.k2, r.n, r.doc) for r in index.counts().collect()} == before
 
 
+def test_filters_name_the_keys_that_are_counted(spark, sf_docs):
+    want = {(r.k1, r.k2, r.doc) for r in _entered(spark, sf_docs, 1).counts().where("doc < last").collect()}
+    for inserts in (1, 3):  # the filters of the first insertion are outgrown by the last
+        index = _entered(spark, sf_docs, inserts)
+        assert {tuple(r) for r in index.repeated().select("k1", "k2", "keeper").collect()} == want
+        hits = {tuple(r) for more in index.hits for r in more.collect()}
+        assert {k[:2] for k in want} <= hits
+        assert len(hits) < len(want) + 0.01 * index.counts().count()
+        index.filters = index.filters.limit(0)  # a lookup in empty filters finds nothing
+        assert index._seen(index.counts().select("k1", "k2")).count() == 0
+    index.hits = [more.limit(0) for more in index.hits]
+    assert index.repeated().count() == 0
+
+
+def _entered(spark, docs, inserts):
+    index = LineIndex(spark, shards=4)
+    for i in range(inserts):
+        index.insert(docs.where(F.pmod("doc_id", F.lit(inserts)) == i))
+    return index
+
+
+def test_shards_follow_the_keys(spark, sf_docs, monkeypatch):
+    monkeypatch.setattr(LineIndex, "SHARD_KEYS", 100)
+    index = _entered(spark, sf_docs, 2)
+    assert index.shards > 4 and index.filters.count() <= index.shards
+    got = [(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in index.dedup(sf_docs).collect()]
+    assert order(got) == order(by_hand(rows_of(sf_docs)))
+
+
 def test_cuckoo_filter_loses_no_key():
     rng = np.random.default_rng(5)
     keys = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64))
