@@ -380,18 +380,3 @@ def apply_spec(df: DataFrame, spec: StagingSpec, mode: str = "strict",
 def clean_source(df: DataFrame, source: str, mode: str = "strict",
                  missing: str = "error", blank_ids: bool = False) -> DataFrame:
     return apply_spec(df, SPECS[source.upper()], mode, missing, blank_ids)
-
-
-def sql_expr(c: ColumnSpec) -> str:
-    """The same column rule as ANSI SQL text (used by the oracles)."""
-    t = {"varchar": "varchar", "number": "decimal(38,0)", "float": "double",
-         "timestamp_ntz": "timestamp", "date": "date", "boolean": "boolean"}[c.wtype]
-    if c.rule == "TL":
-        x = f"lower(nullif(trim({c.name}), ''))"
-    elif c.rule == "T":
-        x = f"nullif(trim({c.name}), '')"
-    else:
-        x = c.name
-    if c.wtype == "boolean":
-        x = f"case lower(trim({x})) when 'on' then 'true' when 'off' then 'false' else {x} end"
-    return f"cast({x} as {t}) as {c.name}"

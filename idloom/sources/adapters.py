@@ -15,7 +15,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from idloom.operators.staging import SPECS
+from idloom.sources.raw_columns import RAW_COLUMNS
 from idloom.sources.registry import read_driver_tables
 
 _BASE_SQL: dict[str, str] = {
@@ -103,21 +103,21 @@ _BASE_COLUMNS = {
 _ROW = {"orders": "o_orderkey", "events": "event_id", "lineitem": "(l_orderkey * 8 + l_linenumber)"}
 
 
-def _derived(row: str, k: int, wtype: str, rule: str) -> str:
+def _derived(row: str, k: int, form: str) -> str:
     """A raw text for the k-th further column of a source, in the forms that its
     cleaning has to deal with: blanks, spaces, capitals, fractions, signs,
     on/off and NULLs."""
     n = f"({row} + {k})"
-    if wtype == "number":
+    if form == "number":
         value = f"concat(cast({n} % 1000 - 500 as string), case {n} % 4 when 1 then '.5' else '' end)"
-    elif wtype == "float":
+    elif form == "float":
         value = f"concat(cast({n} % 997 - 400 as string), '.25')"
-    elif wtype in ("timestamp_ntz", "date"):
-        time = f", ' 0', cast({n} % 10 as string), ':30:00'" if wtype == "timestamp_ntz" else ""
+    elif form in ("timestamp", "date"):
+        time = f", ' 0', cast({n} % 10 as string), ':30:00'" if form == "timestamp" else ""
         value = f"concat('202', cast({row} % 5 as string), '-0', cast(1 + {n} % 9 as string), '-1', cast({row} % 10 as string){time})"
-    elif wtype == "boolean":
+    elif form == "boolean":
         value = f"case {n} % 6 when 0 then 'on' when 1 then 'OFF' when 2 then 'yes' when 3 then 'no' when 4 then 'true' else 'false' end"
-    elif rule == "C":
+    elif form == "varchar":
         value = f"concat('V', cast({n} % 29 as string))"
     else:
         value = f"case when {n} % 13 = 0 then '  ' else concat('  Val_', cast({n} % 23 as string), ' ') end"
@@ -125,15 +125,15 @@ def _derived(row: str, k: int, wtype: str, rule: str) -> str:
 
 
 def _full(source: str) -> tuple[str, tuple]:
-    """The adapter with every column that the source's cleaning reads."""
+    """The adapter with every raw column of the source."""
     text, names = _BASE_SQL[source], _BASE_COLUMNS[source]
     head, table = text.rsplit("\nfrom {", 1)
     table = table.rstrip("}")
-    more = [c for c in SPECS[source].columns if c.name not in names]
+    more = [(c, form) for c, form in RAW_COLUMNS[source].items() if c not in names]
     if not more:
         return text, names
-    exprs = ",\n       ".join(f"{_derived(_ROW[table], k, c.wtype, c.rule)} as {c.name}" for k, c in enumerate(more))
-    return f"{head},\n       {exprs}\nfrom {{{table}}}", (*names, *(c.name for c in more))
+    exprs = ",\n       ".join(f"{_derived(_ROW[table], k, form)} as {c}" for k, (c, form) in enumerate(more))
+    return f"{head},\n       {exprs}\nfrom {{{table}}}", (*names, *(c for c, _ in more))
 
 
 ADAPTER_SQL: dict[str, str] = {s: _full(s)[0] for s in _BASE_SQL}
