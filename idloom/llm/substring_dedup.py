@@ -12,17 +12,18 @@ earlier in the document) go. Windows are judged on the input.
 2. Extension. Windows around hits are candidates; their hashes decide which
    place is the first, and the others, merged, are the maximal repeats.
 
-Documents are dealt into chunks by a hash. A chunk sends each distinct probe
+Documents are dealt into chunks by a hash of the row and of the partition it
+was read in, so that equal rows do not all meet in one. A chunk sends each distinct probe
 once, as 32 bits beside its bucket (chance hits only add candidates), to the
 bucket of its hash, and gets one bit back for each; likewise the distinct
-candidate windows, as 64 bits with the first document that has them. So a
+candidate windows, as 128 bits with the first document that has them. So a
 passage that very many documents share is one entry for each chunk, no task
 holds more than a bucket or a chunk, and both grow in number with the input,
 not in size. The texts are shuffled once; the three passes over them reuse it.
 
 Defined results: null and empty texts have no words; a row without a doc_id
-ranks after all others; rows with one doc_id are ordered by a hash of their text
-(equal rows by chance); documents shorter than a window lose nothing; extra
+ranks after all others; rows with one doc_id follow each other by chunk, then by
+a hash of their text, so that all but one of equal rows lose every window; documents shorter than a window lose nothing; extra
 columns are ignored.
 """
 
@@ -79,12 +80,18 @@ class Chunk:
         h, valid = W.ngrams(self.words, self.window, salt=1)
         starts = np.flatnonzero(valid)
         starts = starts[total[starts + self.window - self.half + 1] > total[starts]]
-        hashes, first, inverse = np.unique(h[starts], return_index=True, return_inverse=True)
-        return starts, hashes, inverse, first
+        both = np.stack((h[starts], W.ngrams(self.words, self.window, salt=2)[0][starts]), 1)
+        order = np.lexsort((both[:, 1], both[:, 0]))  # stable: equal windows stay in the order of their starts
+        hashes = both[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]).any(1)
+        inverse = np.zeros(len(order), np.int64)
+        inverse[order] = np.cumsum(new) - 1
+        return starts, hashes[new], inverse, order[new]
 
     def removed(self, told: dict[int, bytes], told_windows: dict[int, bytes]) -> np.ndarray:
         starts, hashes, inverse, first = self.candidates(told)
-        later = _answers(hashes >> np.uint64(64 - self.bits), told_windows)[inverse] | (np.arange(len(starts)) != first[inverse])
+        later = _answers(hashes[:, 0] >> np.uint64(64 - self.bits), told_windows)[inverse] | (np.arange(len(starts)) != first[inverse])
         cover = np.zeros(len(self.words.hashes) + 1, np.int64)
         np.add.at(cover, starts[later], 1)
         np.add.at(cover, starts[later] + self.window, -1)
@@ -136,13 +143,13 @@ def _later(table: pa.Table) -> pa.Table:
     """For each window of a bucket and chunk: whether its first place in the
     chunk is not the first of all."""
     rows = table.to_pylist()
-    hashes = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
+    hashes = [np.frombuffer(r["hashes"], np.uint64).reshape(-1, 2) for r in rows]
     docs = np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows])
     chunk = np.repeat([r["chunk"] for r in rows], [len(h) for h in hashes])
     every = np.concatenate(hashes)
-    order = np.lexsort((chunk, docs, every))
+    order = np.lexsort((chunk, docs, every[:, 1], every[:, 0]))
     later = np.zeros(len(every), bool)
-    later[order[1:]] = every[order[1:]] == every[order[:-1]]
+    later[order[1:]] = (every[order[1:]] == every[order[:-1]]).all(1)
     ends = np.cumsum([0, *(len(h) for h in hashes)])
     return _answer_table(rows, [np.packbits(later[a:b]).tobytes() for a, b in zip(ends, ends[1:])])
 
@@ -164,7 +171,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, chunk_bytes: int = 12 << 2
     bits = max(8, math.ceil(math.log2(max(1, total / 6 / bucket_words))))
     row = F.xxhash64(document_key(), F.coalesce("text", F.lit("")))
     dealt = docs.select(document_key(), row.alias("row"), F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id").isNull().alias("nameless"))
-    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int"))
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("row", F.spark_partition_id()), F.lit(chunks)).cast("int"))
     by_chunk = dealt.groupBy("chunk")
 
     def ask_probes(key: tuple, table: pa.Table) -> pa.Table:
@@ -184,7 +191,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, chunk_bytes: int = 12 << 2
         c = Chunk(table, window, bits)
         starts, hashes, _, first = c.candidates(_told(told, 0))
         doc = c.doc[np.searchsorted(c.first, starts[first], side="right") - 1]
-        rows = [(b, hashes[i:j].tobytes(), None, doc[i:j].astype(np.int64).tobytes()) for b, i, j in _spans(hashes >> np.uint64(64 - bits))]
+        rows = [(b, hashes[i:j].tobytes(), None, doc[i:j].astype(np.int64).tobytes()) for b, i, j in _spans(hashes[:, 0] >> np.uint64(64 - bits))]
         return _asked(key[0].as_py(), 1, rows)
 
     def cut(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:

@@ -4,10 +4,11 @@ import collections
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from idloom.llm.line_dedup import CuckooFilter, LineIndex, dedup_lines
-from idloom.llm.substring_dedup import remove_repeats
+from idloom.llm.substring_dedup import Chunk, remove_repeats
 
 WHITE = " \t\n\x0b\x0c\r"
 LOW = {i: i + 32 for i in range(65, 91)}
@@ -163,6 +164,22 @@ def test_passages_of_odd_rows(odd):
     assert remove_repeats(odd.limit(0)).count() == 0
 
 
+def test_passages_of_repeated_rows(spark):
+    text = " ".join(f"r{i}" for i in range(30))
+    rows = [(5, text)] * 40 + [(None, "n " + text)] * 40 + [(2, "a b c")] * 3 + [(9, " ".join(f"s{i}" for i in range(25)))]
+    for parts in (1, 7):
+        check_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts), 20)
+
+
+def test_windows_are_told_apart_by_both_hashes():
+    table = pa.table({"doc": [1, 2], "row": [1, 2], "text": [" ".join(f"w{i}" for i in range(8)), " ".join(f"w{i}" for i in range(2, 9))]})
+    chunk = Chunk(table, 4, 8)
+    told = {int(b): b"\xff" * 8 for b in np.unique(chunk.probes()[1] >> np.uint64(32))}
+    starts, hashes, inverse, first = chunk.candidates(told)
+    assert hashes.shape == (6, 2) and len(starts) == 9 and len(np.unique(hashes)) == 12
+    assert starts[first].tolist() == [starts[np.flatnonzero(inverse == g)[0]] for g in range(6)]
+
+
 def test_a_third_of_rows_with_one_passage(spark):
     passage = " ".join(f"p{i}" for i in range(30))
     df = spark.range(300).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("u"), F.col("id"), F.lit(" " + passage))).otherwise(
