@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from idloom.config import PipelineConfig
 from idloom.operators.observe import OBSERVATION_SPECS
 from idloom.operators.staging import SPECS, ColumnSpec
+from idloom.session import limit_methods
 
 _LEAST = "least(created_at, updated_at)"
 
@@ -84,9 +85,12 @@ def view_texts(relations: Mapping[str, str], schema: str, config: PipelineConfig
 
 
 def create_views(spark: SparkSession, relations: Mapping[str, str], config: PipelineConfig | None = None) -> list[str]:
-    """Store the view models in the target schema; returns their names."""
+    """Store the view models in the target schema; returns their names. Other
+    sessions that read wide ones set ``spark.sql.codegen.hugeMethodLimit`` to
+    8000 themselves (see ``limit_methods``)."""
     from idloom.plans.pipeline import MODEL_FOLDER, target_schema
 
+    limit_methods(spark)
     config = config or PipelineConfig()
     schema = target_schema(config.env, MODEL_FOLDER["staging"], config.base_schema)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")

@@ -133,3 +133,13 @@ def test_strict_casts_need_ansi(spark):
             clean_source(spark.createDataFrame([("1",)], "tiktok_id string"), "CREATORINFO", missing="drop")
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_wide_cleaning_runs_in_methods_that_the_jvm_compiles(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    s = spark.newSession()
+    for limit, kept in (("65535", "8000"), ("20000", "20000")):  # Spark's default, a session's own choice
+        s.conf.set(key, limit)
+        raw = s.range(3).select(*[F.lit(None).cast("string").alias(c.name) for c in SPECS["MARKET"].columns])
+        assert clean_source(raw, "MARKET").count() == 3
+        assert s.conf.get(key) == kept
