@@ -92,3 +92,21 @@ def test_positions_are_gapless_and_ties_are_split(spark):
     assert [p for p, _, _ in got] == list(range(1, 4001))
     assert [(k, v) for _, k, v in got] == sorted(rows, key=lambda r: (r[0] is None, r[0] or "", r[1]))
     assert with_positions(df.limit(0), [F.col("k").asc()]).count() == 0
+
+
+def test_owners_meet_facts_last_and_at_every_level(spark):
+    """Thousands of ends of one key, intervals of every length, ties."""
+    micros = lambda c: F.expr(f"timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, cast({c} as decimal(18, 6)) / 1000)")
+    spans = spark.range(3000).select(F.concat(F.lit("o"), "id").alias("tiktok_id"), F.when(F.col("id") % 10 == 0, "k").otherwise("hot").alias("handle"), F.expr("id * 7919 % 5003").alias("a"),
+                                     F.when(F.col("id") % 101 == 0, None).otherwise(F.expr("id * 7919 % 5003 + shiftleft(1, cast(id % 13 as int)) - 1")).alias("b"))
+    log = spans.select("tiktok_id", "handle", micros("a").alias("valid_from"), micros("b").alias("valid_to"))
+    facts = spark.range(400).select(F.when(F.col("id") % 10 == 0, "k").otherwise("hot").alias("handle"), micros("id * 6007 % 9001 - 20").alias("ts"), "id")
+    got = owners_at(facts, log)
+    same = "f.handle = l.handle and f.ts >= l.valid_from and (l.valid_to is null or f.ts < l.valid_to)"
+    want = facts.alias("f").join(log.alias("l"), F.expr(same), "left").select("f.*", "tiktok_id", "valid_from", "valid_to")
+    assert want.count() > 20 * 400
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # the answer is made by the outermost join and not moved again
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    outermost = next(line for line in plan if "Join " in line)
+    assert "_block" in outermost and "_level" in outermost
