@@ -42,6 +42,14 @@ from .storage import written
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+def _learned_anew(new: set[str], known: dict[str, bytes], past: dict[str, bytes]) -> list[str]:
+    """What of ``new`` is not in ``past`` either; the others go to ``known``."""
+    fresh = new.difference(past)  # looks up each of new; an intersection would go through past
+    for c in new - fresh:
+        known[c] = past[c]
+    return list(fresh)
+
+
 class ChunkEncoder:
     """Token ids, as little-endian 32-bit bytes, of whole texts.
 
@@ -49,7 +57,8 @@ class ChunkEncoder:
     are those of its chunks between spaces. Chunks of Latin letters, digits and
     marks are split further, by the tokenizer's own pattern, into words, which
     repeat more often; other chunks go to the tokenizer whole. The ids of up to
-    ``keep`` chunks and of as many words are remembered.
+    ``keep`` chunks and of as many words are remembered, and of those before them
+    as many again: what comes up once more is taken over, not learned anew.
     """
 
     @classmethod
@@ -69,6 +78,8 @@ class ChunkEncoder:
         self.tokenizer, self.keep = Tokenizer.from_str(definition), keep
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {}
+        self.past_chunks: dict[str, bytes] = {}
+        self.past_words: dict[str, bytes] = {}
         parts = json.loads(definition)
         self.suffix = parts["model"].get("end_of_word_suffix")
         split = [p["pattern"]["Regex"] for p in (parts.get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split"]
@@ -96,7 +107,8 @@ class ChunkEncoder:
                 plain[c] = (c.lower(),)
             else:
                 plain[c] = self.find(c.lower())
-        words = list(set().union(*plain.values()).difference(self.words)) if plain else []
+        words = set().union(*plain.values()).difference(self.words) if plain else set()
+        words = _learned_anew(words, self.words, self.past_words)
         for i in range(0, len(words), 2000):
             part = words[i : i + 2000]
             ids = np.asarray(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
@@ -113,12 +125,12 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         chunks = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
-        new = list(set().union(*chunks).difference(self.chunks))
+        new = set().union(*chunks).difference(self.chunks)
         if len(self.chunks) + len(new) > self.keep:
-            self.chunks, new = {"": b""}, list(set().union(*chunks) - {""})
+            self.past_chunks, self.chunks, new = self.chunks, {"": b""}, set().union(*chunks) - {""}
         if len(self.words) > self.keep:
-            self.words = {}
-        self._learn(new)
+            self.past_words, self.words = self.words, {}
+        self._learn(_learned_anew(new, self.chunks, self.past_chunks))
         return [b"".join(map(self.chunks.__getitem__, c)) for c in chunks]
 
 

@@ -111,3 +111,14 @@ def test_plan_places_every_piece_once():
         total = sum(c * n for c, n in histogram.items())
         if total > 256 * 200:
             assert len(load) <= 1.01 * total / 256 + 2
+
+
+def test_what_comes_up_again_is_not_learned_anew(tokenizer):
+    encoder = ChunkEncoder(public_definition(), keep=40)
+    learned, learn = [], encoder._learn
+    encoder._learn = lambda new: (learned.extend(new), learn(new))
+    texts = [" ".join(["everywhere", "again", *(f"once{i}x{k}" for k in range(9))]) for i in range(30)]
+    got = [np.frombuffer(encoder.encode([t])[0], "<u4").tolist() for t in texts]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert learned.count("everywhere") == learned.count("again") == 1
+    assert len(encoder.chunks) <= 50 and len(encoder.past_chunks) <= 50
