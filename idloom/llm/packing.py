@@ -101,7 +101,9 @@ class ChunkEncoder:
             return self._whole(new, self.chunks)
         plain, other = {}, []
         for c in new:
-            if not self.plain(c) or "<|" in c:
+            if c.isascii() and c.isalpha():
+                plain[c] = (c.lower(),)
+            elif not self.plain(c) or "<|" in c:
                 other.append(c)
             elif c.isalpha():
                 plain[c] = (c.lower(),)
