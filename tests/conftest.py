@@ -16,3 +16,14 @@ def spark():
                       extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True)
+def no_temp_views_left(request):
+    """Temporary views of one test are not listed in the next."""
+    yield
+    if "spark" in request.fixturenames:
+        catalog = request.getfixturevalue("spark").catalog
+        for t in catalog.listTables():
+            if t.isTemporary:
+                catalog.dropTempView(t.name)
