@@ -39,26 +39,39 @@ from . import words as W
 from .ranks import rank_in_groups
 from .storage import written
 
+#: What chunks are cut at.
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0D]] = True
+#: The pattern of words of the public tokenizers. Its matches never hold two of
+#: these kinds of ASCII characters: letters, digits, and marks other than ' < | >
+#: (of "'s" and of special tokens), so a text may be cut between two kinds.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_KIND = np.array([0 if b > 126 or b < 33 or chr(b) in "'<|>" else 1 if chr(b).isalpha() else 2 if chr(b).isdigit() else 3 for b in range(256)], np.uint8)
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def _learned_anew(new: set[str], known: dict[str, bytes], past: dict[str, bytes]) -> list[str]:
+def _learned_anew(new: list[str] | set[str], known: dict[str, bytes], past: dict[str, bytes]) -> list[str]:
     """What of ``new`` is not in ``past`` either; the others go to ``known``."""
-    fresh = new.difference(past)  # looks up each of new; an intersection would go through past
-    for c in new - fresh:
-        known[c] = past[c]
-    return list(fresh)
+    fresh = []
+    for c in new:
+        ids = past.get(c)
+        if ids is None:
+            fresh.append(c)
+        else:
+            known[c] = ids
+    return fresh
 
 
 class ChunkEncoder:
     """Token ids, as little-endian 32-bit bytes, of whole texts.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its chunks between spaces. Chunks of Latin letters, digits and
-    marks are split further, by the tokenizer's own pattern, into words, which
-    repeat more often; other chunks go to the tokenizer whole. The ids of up to
-    ``keep`` chunks and of as many words are remembered, and of those before them
-    as many again: what comes up once more is taken over, not learned anew.
+    are those of its chunks between spaces. Arrow finds the distinct chunks of a
+    batch of texts and puts their ids in the order of the texts. Chunks of Latin
+    letters, digits and marks are split further, by the tokenizer's own pattern,
+    into words, which repeat more often; other chunks go to the tokenizer whole.
+    The ids of about ``keep`` chunks and words are remembered, and of those before
+    them as many again: what comes up once more is taken over, not learned anew.
     """
 
     @classmethod
@@ -70,21 +83,20 @@ class ChunkEncoder:
             store.update(definition=definition, encoder=cls(definition))
         return store["encoder"]
 
-    def __init__(self, definition: str, keep: int = 500_000):
+    def __init__(self, definition: str, keep: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep = Tokenizer.from_str(definition), keep
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}  # a word is the chunk of itself alone
         self.past_chunks: dict[str, bytes] = {}
-        self.past_words: dict[str, bytes] = {}
         parts = json.loads(definition)
         self.suffix = parts["model"].get("end_of_word_suffix")
         split = [p["pattern"]["Regex"] for p in (parts.get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split"]
         lowers = any(n["type"] == "Lowercase" for n in (parts.get("normalizer") or {}).get("normalizers", []))
         self.by_word = bool(self.suffix and lowers and len(split) == 1)
+        self.known_words = self.by_word and split[0] == WORDS
         if self.by_word:
             self.find = regex.compile(split[0]).findall
             self.plain = regex.compile(r"[!-~\u00a1-\u024f]+").fullmatch
@@ -92,48 +104,83 @@ class ChunkEncoder:
             self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
             self.ends[ends] = True
 
-    def _whole(self, chunks: list[str], into: dict[str, bytes]) -> None:
+    def _whole(self, chunks: list[str]) -> None:
         for chunk, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
-            into[chunk] = np.asarray(e.ids, "<u4").tobytes()
+            self.chunks[chunk] = np.asarray(e.ids, "<u4").tobytes()
 
     def _learn(self, new: list[str]) -> None:
         if not self.by_word:
-            return self._whole(new, self.chunks)
-        plain, other = {}, []
+            return self._whole(new)
+        words, several, other = [], {}, []  # ``several``: chunks that are not one word in lower case
         for c in new:
             if c.isascii() and c.isalpha():
-                plain[c] = (c.lower(),)
+                if c.islower():
+                    words.append(c)
+                else:
+                    several[c] = (c.lower(),)
             elif not self.plain(c) or "<|" in c:
                 other.append(c)
             elif c.isalpha():
-                plain[c] = (c.lower(),)
+                several[c] = (c.lower(),)
             else:
-                plain[c] = self.find(c.lower())
-        words = set().union(*plain.values()).difference(self.words) if plain else set()
-        words = _learned_anew(words, self.words, self.past_words)
+                several[c] = self.find(c.lower())
+        parts = set().union(*several.values()).difference(self.chunks, words)
+        words += _learned_anew(parts, self.chunks, self.past_chunks)
         for i in range(0, len(words), 2000):
             part = words[i : i + 2000]
-            ids = np.asarray(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1  # a word's last token carries the suffix
             if len(cuts) != len(part):
-                self._whole(part, self.words)
+                self._whole(part)
                 continue
             raw, at = ids.tobytes(), [0, *(cuts * 4).tolist()]
-            self.words.update((w, raw[a:b]) for w, a, b in zip(part, at, at[1:]))
-        known = self.words.__getitem__
-        for c, found in plain.items():
+            self.chunks.update((w, raw[a:b]) for w, a, b in zip(part, at, at[1:]))
+        known = self.chunks.__getitem__
+        for c, found in several.items():
             self.chunks[c] = known(found[0]) if len(found) == 1 else b"".join(map(known, found))
-        self._whole(other, self.chunks)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
-        new = set().union(*chunks).difference(self.chunks)
-        if len(self.chunks) + len(new) > self.keep:
-            self.past_chunks, self.chunks, new = self.chunks, {"": b""}, set().union(*chunks) - {""}
-        if len(self.words) > self.keep:
-            self.past_words, self.words = self.words, {}
-        self._learn(_learned_anew(new, self.chunks, self.past_chunks))
-        return [b"".join(map(self.chunks.__getitem__, c)) for c in chunks]
+        self._whole(other)
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        data, ends = W.text_buffers(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+        chunks, first = _chunks(data, ends, self.known_words and b"<|" not in data.tobytes())
+        coded = chunks.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
+        known = list(map(self.chunks.get, distinct))
+        new = [i for i, ids in enumerate(known) if ids is None]
+        if new and len(self.chunks) + len(new) > self.keep:
+            self.past_chunks, self.chunks, new = self.chunks, {}, range(len(distinct))
+        if new:
+            self._learn(_learned_anew([distinct[i] for i in new], self.chunks, self.past_chunks))
+            for i in new:
+                known[i] = self.chunks[distinct[i]]
+        ids = pa.array(known, pa.large_binary())
+        size = np.diff(np.frombuffer(ids.buffers()[1], np.int64)[: len(known) + 1]) if known else np.zeros(0, np.int64)
+        at = np.concatenate(([0], np.cumsum(size[coded.indices.to_numpy()])))[first].tolist()
+        raw = memoryview(ids.take(coded.indices).buffers()[2] or b"")
+        return [raw[a:b].tobytes() for a, b in zip(at, at[1:])]
+
+
+def _chunks(data: np.ndarray, ends: np.ndarray, by_kind: bool) -> tuple[pa.Array, np.ndarray]:
+    """The runs of other bytes between spaces, tabs and line ends in texts that
+    end at ``ends``, and where each text's runs begin. ``by_kind``: runs also end
+    where ``WORDS`` starts a new word, and A-Z are lower-cased unless a byte
+    that is not ASCII, perhaps of an accent, follows."""
+    inside = ~_SPACE[data]
+    kept, spaces = data[inside], np.flatnonzero(~inside)
+    ends = ends - np.searchsorted(spaces, ends)
+    cut = np.zeros(len(kept) + 1, bool)
+    cut[spaces - np.arange(len(spaces))] = True
+    if by_kind and len(kept):
+        kind = _KIND[kept]
+        cut[1:-1] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+        lower = W.LOWER[kept]
+        accented = np.flatnonzero(np.append(data[1:] > 127, False)[inside])
+        lower[accented] = kept[accented]
+        kept = lower
+    cut[ends] = True
+    cuts = np.flatnonzero(cut)
+    chunks = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(kept))
+    return chunks, np.searchsorted(cuts, ends)
 
 
 def public_definition(name: str = "word_bpe_49k.json") -> str:
@@ -153,10 +200,9 @@ def cut(docs: DataFrame, definition: str, capacity: int = 2048, end_id: int = 1,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ChunkEncoder.of_worker(shared.value)
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", 1 << 20):
                 rows: list[tuple] = []
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for doc, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(texts)):
+                for doc, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text"))):
                     ids += end
                     total = len(ids) // 4
                     for start in range(0, total, capacity):

@@ -122,3 +122,22 @@ def test_what_comes_up_again_is_not_learned_anew(tokenizer):
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert learned.count("everywhere") == learned.count("again") == 1
     assert len(encoder.chunks) <= 50 and len(encoder.past_chunks) <= 50
+
+
+def test_a_word_is_learned_once_whatever_is_around_it(tokenizer):
+    encoder = ChunkEncoder(public_definition())
+    learned, learn = [], encoder._learn
+    encoder._learn = lambda new: (learned.extend(new), learn(new))
+    texts = ["woodland", "Woodland, WOODLAND;", "(woodland) ###woodland$$$", "woodland2 'woodland'", "J\u030c j\u030c Ì I\u0307, it's <|endoftext|>, IT'S"]
+    got = [np.frombuffer(encoder.encode([t])[0], "<u4").tolist() for t in texts]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [c for c in learned if "woodland" in c.lower()] == ["woodland", "'woodland'"]
+
+
+def test_remembered_chunks_and_words_are_bounded_together(tokenizer):
+    encoder = ChunkEncoder(public_definition(), keep=300)
+    texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + k % 26)}'{chr(97 + k // 26)}q," for k in range(50)) for i in range(60)]
+    got = [np.frombuffer(encoder.encode([t])[0], "<u4").tolist() for t in texts]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    held = [v for v in vars(encoder).values() if isinstance(v, dict)]
+    assert max(map(len, held)) <= 500 and sum(map(len, held)) <= 1000  # two generations, words among the chunks
