@@ -229,7 +229,7 @@ def _of_rows(docs: DataFrame, n: int, rows: DataFrame, whole: bool) -> DataFrame
     return out.join(rows.select("row", "node"), ["row", "node"], "left_semi").dropDuplicates(["node"]).select("node", *columns)
 
 
-def _differing(a: str, b: str) -> Column:
+def differing_ranges(a: str, b: str) -> Column:
     """Ranges in which two parity arrays differ; the longer one is folded."""
     ranges = F.least(F.size(a), F.size(b))
 
@@ -316,7 +316,7 @@ class NgramJoin:
         """(a, b): the components ca and cb of the pairs (a, b, ca, cb) whose sets are similar."""
         light = [self.light.select(F.col("node").alias(x), F.col("size").alias(f"size{x}"), F.col("parity").alias(f"parity{x}")) for x in "ab"]
         spare = F.col("sizea") + F.col("sizeb") - 2 * self._needed("sizea", "sizeb")
-        pairs = pairs.join(light[0], "a").join(light[1], "b").where(_differing("paritya", "parityb") <= spare)
+        pairs = pairs.join(light[0], "a").join(light[1], "b").where(differing_ranges("paritya", "parityb") <= spare)
         pairs = written(pairs.select("a", "b", "ca", "cb", "sizea", "sizeb"), "close-pairs")
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = written(self.nodes.join(nodes, "node", "left_semi"), "wanted-rows")
