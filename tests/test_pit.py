@@ -1,3 +1,4 @@
+import contextlib
 import random
 import re
 
@@ -95,3 +96,79 @@ def test_tied_facts_of_a_hot_handle_are_joined_not_gathered(spark):
     windows = [line for line in plan.splitlines() if re.search(r"\bWindow \[", line)]
     assert windows and not any("payload" in line for line in windows)
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def _facts_with_ties(spark):
+    """9000 facts of 31 handles: a third ties on one (handle, time), some have no handle or time."""
+    n = F.col("id")
+    return spark.range(9000).select(
+        F.when(n % 3 == 0, "hot").when(n % 50 == 1, None).otherwise(F.concat(F.lit("h"), n % 30)).alias("handle"),
+        F.when(n % 3 == 0, F.lit("2024-03-01")).when(n % 70 == 1, None).otherwise(F.date_add(F.lit("2024-01-01"), (n % 90).cast("int"))).cast("timestamp_ntz").alias("ts"),
+        n.alias("payload"))
+
+
+def _log_of_many(spark):
+    pairs = spark.range(4000).select(F.when(F.col("id") % 4 == 0, "hot").otherwise(F.concat(F.lit("h"), F.col("id") % 30)).alias("handle_name"),
+                                     F.col("id").cast("string").alias("tiktok_id"),
+                                     F.date_add(F.lit("2024-01-01"), (F.col("id") * 7 % 80).cast("int")).cast("timestamp_ntz").alias("handle_start"))
+    return handle_log(timeline_from_pairs(pairs, strategy="window"))
+
+
+@contextlib.contextmanager
+def _settings(spark, **conf):
+    conf = {f"spark.sql.{k.replace('__', '.')}": v for k, v in conf.items()}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_tasks_of_a_lookup_follow_the_rows(spark):
+    """What a task sorts is a share of the rows, whatever the session's shuffle partitions; the rows found are the same."""
+    facts, log = _facts_with_ties(spark), _log_of_many(spark)
+    with _settings(spark, autoBroadcastJoinThreshold="-1"):
+        dealt = owner_at(facts, log, rows_per_bucket=200, rows_per_task=100)
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+    both = re.findall(r"Exchange hashpartitioning\((?:handle|_h)#\d+, (?:ts|_t)#\d+, _o_part#\d+L?, (\d+)\), (\w+)", plan)
+    assert both == [("90", "ENSURE_REQUIREMENTS"), ("90", "REPARTITION_BY_NUM")]
+    plain = owner_at(facts, log)
+    assert "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_NUM" not in plain._jdf.queryExecution().executedPlan().toString()
+    rows = sorted((tuple(r) for r in dealt.collect()), key=str)
+    assert len(rows) == 9000 and rows == sorted((tuple(r) for r in plain.collect()), key=str)
+    raw = [tuple(r) for r in facts.collect()]
+    assert rows == sorted(((h, t, p, *o) for h, t, p, *o in brute_force(raw, [tuple(r) for r in log.select("tiktok_id", "handle", "valid_from", "valid_to").collect()])), key=str)
+
+
+def test_a_hot_time_is_parted_when_rows_are_dealt(spark):
+    """3000 facts of one time and 3000 without any: no partition of the join gets many more rows than its share."""
+    facts = _facts_with_ties(spark).filter("ts is not null").unionByName(spark.range(3000).selectExpr("'hot' as handle", "cast(null as timestamp_ntz) as ts", "id as payload"))
+    log = _log_of_many(spark)
+    with _settings(spark, autoBroadcastJoinThreshold="20k", adaptive__autoBroadcastJoinThreshold="-1"):  # as of large tables: only the hot times are few
+        out = owner_at(facts, log, rows_per_task=250)
+        sizes = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sum(sizes) == facts.count() and max(sizes) < 1000
+    want = owner_at(facts, log)
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+
+
+def test_the_query_deals_its_written_sightings(spark, monkeypatch):
+    """A split of the written copy may hold any number of rows: no aggregate sees them before they are dealt."""
+    from helpers import SF_SMALL
+    from idloom.operators import ordered, pit, timeline
+    from idloom.plans import catalog, pipeline
+    seen = []
+    small = lambda s, rows, most=0: ordered.tasks_for(s, rows, 500)
+    monkeypatch.setattr(pit, "tasks_for", small)
+    monkeypatch.setattr(pipeline, "tasks_for", small)
+    first = timeline.first_seen_pairs
+    monkeypatch.setattr(timeline, "first_seen_pairs", lambda *a, **k: seen.append(first(*a, **k)) or seen[-1])
+    want = sorted((tuple(r) for r in catalog.q_owner_at_time(spark, SF_SMALL).collect()), key=str)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+    assert plan.index("Exchange hashpartitioning") > plan.rindex("HashAggregate(")
+    monkeypatch.undo()
+    assert want == sorted((tuple(r) for r in catalog.q_owner_at_time(spark, SF_SMALL).collect()), key=str)

@@ -151,3 +151,15 @@ def test_ordered_option_sorts_output(spark):
     got = [(r.handle_name, r.tiktok_id) for r in
            ownership_timeline(o, PipelineConfig(ordered=True)).collect()]
     assert got == [("h1", "A"), ("h1", "C"), ("h2", "B")]
+
+
+def test_dealt_rows_give_the_same_timeline(spark):
+    from idloom.operators.timeline import first_seen_pairs
+    n = F.col("id")
+    obs = spark.range(6000).select(F.when(n % 3 == 0, "hot").when(n % 40 == 1, None).otherwise(F.concat(F.lit("h"), n % 25)).alias("handle_name"),
+                                   F.when(n % 7 == 0, "a").otherwise((n % 900).cast("string")).alias("tiktok_id"),
+                                   F.when(n % 11 != 0, F.date_add(F.lit("2024-01-01"), (n % 60).cast("int"))).cast("timestamp_ntz").alias("created_at"),
+                                   F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+    want = sorted(map(str, timeline_from_pairs(first_seen_pairs(obs), strategy="window").collect()))
+    assert want == sorted(map(str, timeline_from_pairs(first_seen_pairs(obs, tasks=40), rows_per_bucket=50, tasks=40).collect()))
+    assert want == sorted(map(str, timeline_from_pairs(first_seen_pairs(obs)).collect()))
