@@ -155,7 +155,8 @@ def test_a_hot_time_is_parted_when_rows_are_dealt(spark):
     assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
 
 
-def test_the_query_deals_its_written_sightings(spark, monkeypatch):
+@pytest.mark.parametrize("name", ["owner_at_time", "owner_at_time_range"])
+def test_the_query_deals_its_written_sightings(spark, monkeypatch, name):
     """A split of the written copy may hold any number of rows: no aggregate sees them before they are dealt."""
     from helpers import SF_SMALL
     from idloom.operators import ordered, pit, timeline
@@ -166,9 +167,9 @@ def test_the_query_deals_its_written_sightings(spark, monkeypatch):
     monkeypatch.setattr(pipeline, "tasks_for", small)
     first = timeline.first_seen_pairs
     monkeypatch.setattr(timeline, "first_seen_pairs", lambda *a, **k: seen.append(first(*a, **k)) or seen[-1])
-    want = sorted((tuple(r) for r in catalog.q_owner_at_time(spark, SF_SMALL).collect()), key=str)
+    want = sorted((tuple(r) for r in catalog.QUERIES[name](spark, SF_SMALL).collect()), key=str)
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
     assert plan.index("Exchange hashpartitioning") > plan.rindex("HashAggregate(")
     monkeypatch.undo()
-    assert want == sorted((tuple(r) for r in catalog.q_owner_at_time(spark, SF_SMALL).collect()), key=str)
+    assert want == sorted((tuple(r) for r in catalog.QUERIES[name](spark, SF_SMALL).collect()), key=str)
