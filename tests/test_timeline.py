@@ -163,3 +163,28 @@ def test_dealt_rows_give_the_same_timeline(spark):
     want = sorted(map(str, timeline_from_pairs(first_seen_pairs(obs), strategy="window").collect()))
     assert want == sorted(map(str, timeline_from_pairs(first_seen_pairs(obs, tasks=40), rows_per_bucket=50, tasks=40).collect()))
     assert want == sorted(map(str, timeline_from_pairs(first_seen_pairs(obs)).collect()))
+
+
+def test_starts_and_pairs_are_dealt_by_rows(spark):
+    """Neither the distinct starts nor the join of the pairs keep the session's shuffle partitions, and a start
+    of many owners, or their undated pairs, go to several tasks."""
+    import re
+    n = F.col("id")
+    pairs = spark.range(9000).select(
+        F.when(n % 3 != 0, "hot").otherwise(F.concat(F.lit("h"), n % 25)).alias("handle_name"), n.cast("string").alias("tiktok_id"),
+        F.when(n % 3 == 1, F.lit("2024-03-01")).when(n % 3 == 0, F.date_add(F.lit("2024-01-01"), (n % 90).cast("int"))).cast("timestamp_ntz").alias("handle_start"))
+    want = sorted(map(str, timeline_from_pairs(pairs, strategy="window").collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")  # as of large tables: only the hot starts are few
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        out = timeline_from_pairs(pairs, rows_per_bucket=200, tasks=40, rows_per_task=250)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        sizes = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[0])
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold") if old[1] is None else spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old[1])
+    assert set(re.findall(r"Exchange hashpartitioning\(handle_name#\d+, _at#\d+, _dated#\d+, _part#\d+L?, (\d+)\)", plan)) == {"40"}
+    assert set(re.findall(r"Exchange hashpartitioning\(handle_name#\d+, handle_start#\d+, (\d+)\)", plan)) == {"40"}
+    assert sum(sizes) == 9000 and max(sizes) < 1000
+    assert want == sorted(map(str, out.collect()))
