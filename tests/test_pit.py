@@ -173,3 +173,17 @@ def test_the_query_deals_its_written_sightings(spark, monkeypatch, name):
     assert plan.index("Exchange hashpartitioning") > plan.rindex("HashAggregate(")
     monkeypatch.undo()
     assert want == sorted((tuple(r) for r in catalog.QUERIES[name](spark, SF_SMALL).collect()), key=str)
+
+
+def test_dealt_rows_are_not_sorted_by_the_shuffle_that_deals_them(spark):
+    """Beyond 200 partitions the shuffle's writer holds a split's rows in memory; a split of a dense copy has tens of millions."""
+    from idloom.operators.ordered import tasks_for
+    with _settings(spark, shuffle__partitions="12"):
+        assert tasks_for(spark, 100, 100) is None
+        assert tasks_for(spark, 15000, 100) == 150
+        assert tasks_for(spark, 25000, 100) == 200
+    with _settings(spark, shuffle__partitions="300"):  # sorted anyway
+        assert tasks_for(spark, 50000, 100) == 500
+    big = spark.range(50000).select(F.concat(F.lit("h"), F.col("id") % 1000).alias("handle"), F.lit("2024-03-01").cast("timestamp_ntz").alias("ts"))
+    plan = owner_at(big, spark.createDataFrame([], LOG), rows_per_task=100)._jdf.queryExecution().executedPlan().toString()
+    assert max(map(int, re.findall(r"hashpartitioning\([^()]*, (\d+)\)", plan))) == 200
