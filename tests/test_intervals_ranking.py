@@ -1,6 +1,8 @@
 """Data-driven buckets, interval joins, global positions."""
 
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from idloom.operators.ordered import time_buckets
 from idloom.operators.pit import overlapping_intervals, owner_at, owners_at
 from idloom.operators.ranking import with_positions
 from idloom.operators.timeline import timeline_from_pairs
+from idloom.session import ensure_checkpoint_dir
 from test_pit import LOG, brute_force
 
 
@@ -110,3 +113,57 @@ def test_owners_meet_facts_last_and_at_every_level(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
     outermost = next(line for line in plan if "Join " in line)
     assert "_block" in outermost and "_level" in outermost
+
+
+def shuffled_rows(df):
+    """Rows that the answer's own plan shuffles, without the copies made before; the answer's rows."""
+    n = len(df.collect())
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        plan = todo.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "ShuffleExchangeExec":
+            total += plan.metrics().apply("shuffleRecordsWritten").value()
+        inner = [plan.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [plan.plan()] if kind.endswith("QueryStageExec") else []
+        todo += inner + [plan.children().apply(i) for i in range(plan.children().size())]
+    return total, n
+
+
+def test_equal_facts_go_as_one_and_claims_to_few_cells(spark):
+    at = lambda c: F.expr(f"timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, cast({c} as int))")
+    log = spark.range(2000).select(F.concat(F.lit("o"), "id").alias("tiktok_id"), F.lit("hot").alias("handle"), at("id").alias("valid_from"), at("id + 900").alias("valid_to"))
+    facts = spark.range(40000).select(F.when(F.col("id") % 4000 == 1, None).when(F.col("id") % 10 == 0, "none").otherwise("hot").alias("handle"),
+                                      F.when(F.col("id") % 10 > 4, at("3000")).when(F.col("id") % 10 == 4, at("2795")).alias("ts"), F.expr("cast(id % 2 as string)").alias("s"))
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(broadcast, "-1")
+    try:
+        got = owners_at(facts, log)
+        moved, n = shuffled_rows(got)
+    finally:
+        spark.conf.unset(broadcast)
+    assert 2000 < moved < 2000 * 15
+    want = facts.alias("f").join(log.alias("l"), F.expr("f.handle = l.handle and f.ts >= l.valid_from and f.ts < l.valid_to"), "left").select("f.*", "tiktok_id", "valid_from", "valid_to")
+    count = lambda df: sorted((tuple(r) for r in df.groupBy(*df.columns).count().collect()), key=str)
+    assert count(got) == count(want) and n == want.count() > 400_000  # 4000 equal facts with 104 owners each
+    signed = facts.limit(3).withColumn("s", F.when(F.col("s") == "0", -0.0).otherwise(0.0))
+    assert sorted(str(r.s) for r in owners_at(signed, log).collect()) == sorted(str(r.s) for r in signed.collect())
+
+
+def test_steps_of_owners_leave_only_what_the_answer_reads(spark):
+    jvm = spark._jvm
+    disk = lambda: {f.getName() for f in jvm.scala.jdk.javaapi.CollectionConverters.asJava(jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    copies = lambda: {p for p in os.listdir(ensure_checkpoint_dir(spark).removeprefix("file:")) if p.startswith("idloom-")}
+    shuffles, before = disk(), copies()
+    log = spark.createDataFrame([("A", "h", ts("2024-01-01"), None), ("B", "h", ts("2024-01-03"), ts("2024-01-09"))], LOG).repartition(3)
+    facts = spark.createDataFrame([("h", ts("2024-01-04"), 1), ("x", None, 2), (None, ts("2024-01-04"), 3)], "handle string, ts timestamp_ntz, n long").repartition(3)
+    held = owners_at(facts, log)
+    for _ in range(50):  # removed in the background
+        if not disk() - shuffles:
+            break
+        time.sleep(0.2)
+    assert not disk() - shuffles
+    assert sorted(p.rsplit("-", 1)[0] for p in copies() - before) == ["idloom-interval-ranges", "idloom-positioned-facts"]
+    assert sorted((r.n, r.tiktok_id) for r in held.collect() if r.n == 1) == [(1, "A"), (1, "B")]
+    # a log of a type that Parquet does not hold is read where it is
+    open_ended = log.select("tiktok_id", "handle", "valid_from", F.lit(None).alias("valid_to"))
+    assert sorted(str((r.n, r.tiktok_id)) for r in owners_at(facts, open_ended).collect()) == ["(1, 'A')", "(1, 'B')", "(2, None)", "(3, None)"]
